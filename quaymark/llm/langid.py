@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,3 +157,16 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
 def identify(documents: DataFrame, per_language: int = 20_000) -> DataFrame:
     """Learn from the documents that are not held out, then predict all."""
     return predict(documents, train(documents.where(~held_out()), per_language))
+
+
+def select_recognised(documents: DataFrame, model: Model, least_share: float) -> DataFrame:
+    """The documents, all columns kept, whose text is in a learnt language with at least that score."""
+    spark = prepare(documents.sparkSession)
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def recognised(text: pd.Series) -> pd.Series:
+        lang, score = shared.value.score([t or "" for t in text])
+        return pd.Series([k != UNKNOWN and s >= least_share for k, s in zip(lang, score, strict=True)], dtype=bool)
+
+    return documents.where(recognised("text"))
