@@ -31,7 +31,7 @@ SCHEMA = "doc_id long, part int, first long, n_tokens long, ids array<int>"
 #: Bytes of a row group and a page, and rows of a page: a page holds some hundred documents.
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 512
 LAYOUT = {
-    "compression": "zstd",
+    "compression": "snappy",
     "parquet.writer.version": "v2",
     "parquet.block.size": str(ROW_GROUP),
     "parquet.page.size": str(PAGE),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 
@@ -34,69 +35,88 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        # Lower-case Latin-1 words need no normaliser and are one pre-token each: the same model without those steps.
+        from tokenizers import pre_tokenizers
+
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
 
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        """Chunks of a text.  Latin-1 text is put in lower case first: the normaliser does the same to it, letter by letter."""
-        if "<|" not in text:
-            try:
-                text.encode("latin-1")
-                text = text.lower()
-            except UnicodeEncodeError:
-                pass
-        return text.replace("\n", " ").split(" ")
-
-    def learn(self, chunks: set[str]) -> None:
-        missing = chunks - self.cache.keys()
+    def learn(self, missing: set[str]) -> None:
+        """Encode chunks that the younger generation lacks."""
         if len(self.cache) + len(missing) > CACHE_ENTRIES:
             self.older, self.cache = self.cache, {"": b""}
-            missing = chunks - self.cache.keys()
         kept = missing & self.older.keys()
-        self.cache.update((c, self.older[c]) for c in kept)
-        missing = list(missing - kept)
-        if missing:
-            stems = [self.stem(c) for c in missing]
-            self.library(list(set(stems) - self.cache.keys()))
-            get, tails = self.cache.__getitem__, {}
-            for c, stem in zip(missing, stems, strict=True):
-                if (n := len(c) - len(stem)) == 0:
-                    continue
-                tail = c[-n:]
+        self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
+        missing -= kept
+        stems = list(map(self.stem, missing))
+        self.library(set(stems) - self.cache.keys())
+        get, tails = self.cache.__getitem__, {"": b""}
+        for c, stem in zip(missing, stems, strict=True):
+            if len(c) > len(stem):
+                tail = c[len(stem) :]
                 if tail not in tails:
-                    self.library([tail])
+                    self.library({tail})
                     tails[tail] = get(tail)
                 self.cache[c] = get(stem) + tails[tail]
 
     @staticmethod
     def stem(chunk: str) -> str:
-        """The chunk without full stops and commas after a Latin letter: those are always tokens of their own."""
-        stem = chunk.rstrip(".,")
-        if not stem or stem[-1] > "\u024f" or not stem[-1].lower().isalpha():
-            return chunk
-        return stem
+        """The chunk without the ASCII signs after its last Latin letter: they are always tokens of their own."""
+        stem = chunk.rstrip(punctuation)
+        return stem if stem and stem[-1] <= "\u024f" and stem[-1].lower().isalpha() and "<|" not in chunk else chunk
 
-    def library(self, chunks: list[str]) -> None:
+    def library(self, chunks: set[str]) -> None:
         """One call for many chunks: a marked character, a token of its own, stands between them."""
+        plain = [c for c in chunks if c.isalpha() and c.islower() and max(c) < "\u0100"]
+        self._encode(self.letters, plain)
+        if len(plain) < len(chunks):
+            self._encode(self.tokenizer, list(chunks.difference(plain)))
+
+    def _encode(self, tokenizer, chunks: list[str]) -> None:
         usual = [c for c in chunks if MARK not in c] if len(self.mark) == 1 else []
         for i in range(0, len(usual), 2000):
             part = usual[i : i + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(ids == self.mark[0])
             if len(at) != len(part) - 1:
                 raise ValueError("the vocabulary joins the mark with its neighbours")
             data = ids.tobytes()
-            self.cache.update((c, data[4 * j : 4 * k]) for c, j, k in zip(part, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)], strict=True))
+            self.cache.update((c, data[j:k]) for c, j, k in zip(part, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)], strict=True))
         rest = [c for c in chunks if MARK in c] if len(self.mark) == 1 else chunks
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
+        found = tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
         self.cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, found, strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [self.cut(t) for t in texts]
-        self.learn(set().union(*cut))
-        get = self.cache.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        texts = list(map(self.lower, texts))
+        flat = "\n".join(texts).replace("\n", " ").split(" ")
+        parts = list(map(self.cache.get, flat))
+        unknown = [i for i, x in enumerate(parts) if x is None]
+        if unknown:
+            self.learn({flat[i] for i in unknown})
+            for i in unknown:
+                parts[i] = self.cache[flat[i]]
+        out, at = [], 0
+        for t in texts:
+            stop = at + t.count(" ") + t.count("\n") + 1
+            out.append(b"".join(parts[at:stop]))
+            at = stop
+        return out
+
+    @staticmethod
+    def lower(text: str) -> str:
+        """Latin-1 text in lower case: the normaliser does the same to it, letter by letter."""
+        return text.lower() if "<|" not in text and (text.isascii() or _latin(text)) else text
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
 
 
 @lru_cache(2)
