@@ -1,11 +1,14 @@
 """Operator 7 — exact n-gram Jaccard join with a prefix tree.
 
 1. Every text becomes its set of word shingles (64-bit hashes); equal sets form a class.
-2. A table of fixed size counts shingles by hash.  Shingles are ordered by (magnitude of that count,
-   hash): an order on shingles alone, rare ones first, so passages that many documents share come last.
-3. Sets that are similar enough share one of their first n - ceil(t n) + 1 shingles.  These are dealt
-   out by shingle; streams sorted by (shingle, size) link neighbours whose sizes allow a link, which
-   groups classes into families: two similar sets are always in one family.
+2. Shingles are ordered: a fixed share of them, picked by hash, by document frequency (rare first),
+   then the others by hash.  It is an order on shingles alone; the share is larger than a prefix, so
+   passages that many documents have come last without counting every shingle.
+3. Sets that are similar enough share one of their first n - ceil(t n) + 1 shingles.  Postings of the
+   picked share are dealt out by shingle and streamed in order: shingles of one class go, the others
+   learn their frequency.  A class keeps those of its postings that are in its prefix; classes whose
+   prefix is theirs alone go.  Streams sorted by (shingle, size) then link neighbours whose sizes
+   allow a link, which groups classes into families: two similar sets are always in one family.
 4. Families are cut into chunks of bounded weight; a block is a pair of chunks with a shingle in
    common, and holds only the members that have one.  Within a block the ordered sets are stored in a
    path-compressed prefix tree; probes traverse it, share the overlap of common beginnings, and leave
@@ -27,14 +30,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import batches, count_rows, doc_columns, prepare, release, stage, texts_of
+from ._shared import arrow_rows, batches, count_rows, doc_columns, prepare, release, stage, texts_of
 from .components import components
 from .shingles import fingerprint, shingle_sets
 
-TABLE_BITS = 20
-CHUNK_BITS = 16
+#: The share of shingles that is ordered by frequency: PICKED of 8 by hash.
+PICKED = 3
+#: Frequencies are counted exactly up to this number, which also bounds what a task holds back.
+MOST = 1 << 16
+#: Texts hashed together, and narrow rows in an Arrow batch of a stream.
+TEXTS, ROWS = 256, 2048
 #: Members and shingles of a chunk, on average.
 CHUNK_MEMBERS, CHUNK_SHINGLES = 96, 60_000
 #: Classes up to which their ids are broadcast to pick texts; beyond, texts and ids are shuffled.
@@ -47,68 +55,104 @@ def needed(n: int, percent: int) -> int:
 
 
 def measure(documents: DataFrame, words: int) -> DataFrame:
-    """A row for each document (doc_id, n, cls) and, for each task, its shingle counts in chunks."""
+    """doc_id, n and cls (fingerprint of the set) of every document."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << TABLE_BITS, np.uint32)
         for b in batches(parts):
             sets = shingle_sets(texts_of(b.column("text")), words)
-            buckets = np.concatenate(sets) & np.uint64((1 << TABLE_BITS) - 1)
-            table += np.bincount(buckets.astype(np.int64), minlength=1 << TABLE_BITS).astype(np.uint32)
-            rows = len(sets)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(fingerprint, sets), pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names=names)
-        if table.any():
-            parts_of = table.reshape(-1, 1 << CHUNK_BITS)
-            rows = len(parts_of)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(rows, pa.int64())] * 3, pa.array(range(rows), pa.int32()), pa.array([x.astype("<u4").tobytes() for x in parts_of], pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(fingerprint, sets), pa.int64())], names=["doc_id", "n", "cls"])
 
-    names = ["doc_id", "n", "cls", "part", "counts"]
-    return doc_columns(documents, "doc_id", "text").mapInArrow(run, "doc_id long, n long, cls long, part int, counts binary")
+    return doc_columns(documents, "doc_id", "text").mapInArrow(run, "doc_id long, n long, cls long")
 
 
-def magnitudes(measured: DataFrame) -> np.ndarray:
-    """The size of the count of each bucket of hashes on a logarithmic scale: a table of fixed size."""
+def postings(documents: DataFrame, words: int, percent: int) -> DataFrame:
+    """token, cls, n and picked (how many of the class's shingles are picked) for every picked shingle.
+
+    Where they do not fill a prefix, the first of the other shingles follow, with picked = -1.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
         for b in batches(parts):
-            for part, counts in zip(b.column("part").to_pylist(), b.column("counts").to_pylist(), strict=True):
-                x = np.frombuffer(counts, "<u4").astype(np.int64)
-                total[part] = total[part] + x if part in total else x
-        for part, x in total.items():
-            level = np.minimum(31, np.log2(x + 1)).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([level.tobytes()], pa.binary())], names=["part", "levels"])
+            texts = texts_of(b.column("text"))
+            for i in range(0, len(texts), TEXTS):
+                tokens, kinds, sizes, classes, lengths = [], [], [], [], []
+                for found in shingle_sets(texts[i : i + TEXTS], words):
+                    n = len(found)
+                    if not n:
+                        continue
+                    in_share = (found & np.uint64(7)) < PICKED
+                    mine = found[in_share]
+                    rest = found[~in_share][: max(0, n - needed(n, percent) + 1 - len(mine))]
+                    tokens += (mine, rest)
+                    kinds += (np.full(len(mine), len(mine), np.int32), np.full(len(rest), -1, np.int32))
+                    sizes.append(len(mine) + len(rest))
+                    classes.append(fingerprint(found))
+                    lengths.append(n)
+                if sizes:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(classes, np.int64), sizes)), pa.array(np.repeat(np.array(lengths, np.int32), sizes)), pa.array(np.concatenate(kinds))], names=["token", "cls", "n", "picked"])
+
+    return documents.select("text").mapInArrow(run, "token long, cls long, n int, picked int")
+
+
+def frequencies(dealt: DataFrame) -> DataFrame:
+    """The postings of tokens that several classes have, with df, the number of these classes (at most ``MOST``).
+
+    ``dealt`` is partitioned by token and sorted by (token, cls); at most ``MOST`` rows are held back.
+    """
+    names = ["token", "cls", "n", "picked", "df"]
 
-    found = measured.where("part is not null").select("part", "counts").repartition("part").mapInArrow(run, "part int, levels binary").toArrow()
-    levels = np.zeros(1 << TABLE_BITS, np.uint8)
-    for part, x in zip(found.column("part").to_pylist(), found.column("levels").to_pylist(), strict=True):
-        levels[part << CHUNK_BITS : (part + 1) << CHUNK_BITS] = np.frombuffer(x, np.uint8)
-    return levels
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((0, 4), np.int64)
+        long_token, last = None, None  # a token whose list is already being passed on, and the last row seen
 
+        def out(rows: np.ndarray, df: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), *(pa.array(rows[:, k].astype(np.int32)) for k in (2, 3)), pa.array(df.astype(np.int32))], names=names)
 
-def ordered(found: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """A set's shingles as integers whose natural order is the global order."""
-    level = levels[(found & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)].astype(np.int64)
-    return np.sort(level << 58 | (found >> np.uint64(6)).astype(np.int64))
+        for b in batches(parts):
+            rows = np.stack([b.column(c).to_numpy().astype(np.int64) for c in names[:4]], 1)
+            new = np.r_[last is None or bool((rows[0, :2] != last).any()), (rows[1:, :2] != rows[:-1, :2]).any(1)]
+            last = rows[-1, :2]
+            rows = np.concatenate([held, rows[new]])
+            if long_token is not None and len(rows):
+                n = int(np.searchsorted(rows[:, 0] != long_token, True))
+                if n:
+                    yield out(rows[:n], np.full(n, MOST))
+                    rows = rows[n:]
+                if len(rows):
+                    long_token = None
+            if not len(rows):
+                held = rows
+                continue
+            starts = np.flatnonzero(np.r_[True, rows[1:, 0] != rows[:-1, 0]])
+            done, held = rows[: starts[-1]], rows[starts[-1] :]
+            sizes = np.diff(starts)
+            df = np.repeat(sizes, sizes)
+            if (df > 1).any():
+                yield out(done[df > 1], np.minimum(df[df > 1], MOST))
+            if len(held) > MOST:
+                yield out(held, np.full(len(held), MOST))
+                long_token, held = int(held[0, 0]), held[:0]
+        if len(held) > 1:
+            yield out(held, np.full(len(held), len(held)))
 
+    return dealt.mapInArrow(run, "token long, cls long, n int, picked int, df int")
 
-def prefixes(documents: DataFrame, words: int, percent: int, levels) -> DataFrame:
-    """token, cls and n for the first shingles of every set."""
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches(parts):
-            sets = [s for s in shingle_sets(texts_of(b.column("text")), words) if len(s)]
-            if not sets:
-                continue
-            tokens = [ordered(s, levels.value)[: len(s) - needed(len(s), percent) + 1] for s in sets]
-            sizes = [len(t) for t in tokens]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.repeat([fingerprint(s) for s in sets], sizes)), pa.array(np.repeat([len(s) for s in sets], sizes).astype(np.int32))], names=["token", "cls", "n"])
+def in_prefix(shared: DataFrame, percent: int) -> DataFrame:
+    """token, cls and n of the shared postings that are in their class's prefix.
 
-    return documents.select("text").mapInArrow(run, "token long, cls long, n int")
+    Picked shingles of one class alone come first, then the shared ones by frequency.
+    """
+    by_class = W.partitionBy("cls")
+    mine = F.sum(F.when(F.col("picked") >= 0, 1).otherwise(0)).over(by_class)
+    place = F.row_number().over(by_class.orderBy(F.col("picked") < 0, "df", "token"))
+    length = F.expr(f"n - (({percent} * cast(n as bigint) + 99) div 100) + 1")
+    ranked = shared.withColumn("mine", mine).withColumn("place", place)
+    return ranked.where((F.col("picked") < 0) | (F.col("place") + F.col("picked") - F.col("mine") <= length)).select("token", "cls", "n")
 
 
-def shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
-    """The postings of tokens that several classes have, each with its predecessor in the order of sizes.
+def neighbours(prefix: DataFrame, percent: int) -> DataFrame:
+    """The prefix postings of tokens that several classes have, each with the class before it in the order of sizes.
 
     Sorted streams: one row is held back, whatever the length of a token's list.
     """
@@ -125,7 +169,6 @@ def shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
         for b in batches(parts):
             rows = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("token", "cls", "n")], 1)
             rows = np.concatenate([held, rows])
-            rows = rows[np.r_[True, (rows[1:] != rows[:-1]).any(1)]]
             same = rows[1:, 0] == rows[:-1, 0]
             has = np.r_[joined, same]
             previous = np.concatenate([[before], rows[:-1, 1:]])
@@ -135,7 +178,7 @@ def shared_tokens(postings: DataFrame, percent: int) -> DataFrame:
         if len(held) and joined:
             yield out(held, np.array([before]), np.array([True]), np.array([True]))
 
-    dealt = postings.repartition("token").sortWithinPartitions("token", "n", "cls")
+    dealt = prefix.repartition("token").sortWithinPartitions("token", "n", "cls")
     return dealt.mapInArrow(run, "token long, cls long, n int, prev long")
 
 
@@ -143,7 +186,7 @@ class Tree:
     """A path-compressed prefix tree over ordered sets."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">i8").tobytes())
+        self.order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u8").tobytes())
         self.sets = [sets[k] for k in self.order]
         shared = [0]
         for a, b in zip(self.sets, self.sets[1:], strict=False):
@@ -239,15 +282,15 @@ def blocks(shared: DataFrame, families: DataFrame) -> DataFrame:
     return small.unionByName(split.select("root", F.least("chunk", "p").alias("i"), F.greatest("chunk", "p").alias("j"), "cls", "chunk"))
 
 
-def class_sets(documents: DataFrame, wanted: DataFrame, words: int, levels) -> DataFrame:
-    """cls and tokens (in order) of the wanted classes, from the text of their least doc_id."""
+def class_sets(documents: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """cls and sorted tokens of the wanted classes, from the text of their least doc_id."""
     few = count_rows(wanted, BROADCAST_CLASSES) <= BROADCAST_CLASSES
     picked = documents.join(F.broadcast(wanted) if few else wanted, "doc_id").select("cls", "text")
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             sets = shingle_sets(texts_of(b.column("text")), words)
-            right = [(c, ordered(s, levels.value)) for c, s in zip(b.column("cls").to_pylist(), sets, strict=True) if fingerprint(s) == c]
+            right = [(c, s.view(np.int64)) for c, s in zip(b.column("cls").to_pylist(), sets, strict=True) if fingerprint(s) == c]
             if right:
                 yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in right]), pa.array([s for _, s in right], pa.list_(pa.int64()))], names=["cls", "tokens"])
 
@@ -261,7 +304,7 @@ def find_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         table = table.combine_chunks()
         classes = table.column("cls").to_pylist()
         tokens = table.column("tokens").combine_chunks()
-        sets = [np.asarray(x.values) for x in tokens]
+        sets = [x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in tokens]
         i, j, chunk = table.column("i")[0].as_py(), table.column("j")[0].as_py(), table.column("chunk").to_pylist()
         left = [k for k, c in enumerate(chunk) if c == i]
         right = left if i == j else [k for k, c in enumerate(chunk) if c == j]
@@ -275,14 +318,16 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     """doc_id, n_shingles and component_id of every document."""
     spark = prepare(documents.sparkSession)
     documents = doc_columns(documents, "doc_id", "text")
-    measured = stage(spark, measure(documents, words), "measured")
-    members = measured.where("part is null").select("doc_id", "n", "cls")
-    levels = spark.sparkContext.broadcast(magnitudes(measured))
-    shared = _shared_postings(spark, documents, words, percent, levels)
+    members = stage(spark, measure(documents, words), "members")
+    with arrow_rows(spark, ROWS):
+        dealt = postings(documents, words, percent).repartition("token").sortWithinPartitions("token", "cls")
+        counted = stage(spark, frequencies(dealt), "counted")
+        shared = stage(spark, neighbours(in_prefix(counted, percent), percent), "shared")
+    release(spark, counted)
     families = stage(spark, _families(spark, shared), "families")
     classes = members.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
     wanted = stage(spark, families.select("cls").join(classes, "cls").where("doc_id is not null"), "wanted")
-    sets = stage(spark, class_sets(documents, wanted, words, levels), "sets")
+    sets = stage(spark, class_sets(documents, wanted, words), "sets")
     links = stage(spark, find_links(blocks(shared, families), sets, percent), "links")
     for x in (shared, families, wanted, sets):
         release(spark, x)
@@ -294,11 +339,6 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def _shared_postings(spark: SparkSession, documents: DataFrame, words: int, percent: int, levels) -> DataFrame:
-    postings = prefixes(documents, words, percent, levels)
-    return stage(spark, shared_tokens(postings, percent), "shared")
-
-
 def _families(spark: SparkSession, shared: DataFrame) -> DataFrame:
     """cls, n and root (the family) of every class with a shared token and a neighbour."""
     edges = shared.where("prev is not null").select(F.col("cls").alias("u"), F.col("prev").alias("v"))
