@@ -1,4 +1,8 @@
-"""Connected components of a table of edges by alternating large and small stars."""
+"""Connected components of a table of edges by alternating large and small stars.
+
+Each half-round is one exchange: edges are dealt out by node and streamed in order, so a node's least
+neighbour is the first one seen and its other edges are turned towards it, however many there are.
+"""
 
 from __future__ import annotations
 
@@ -13,6 +17,8 @@ from ._shared import arrow_rows, batches, release, stage
 
 #: Edges that a task unites in memory at a time.
 UNITED = 200_000
+#: Edges of a partition.
+EDGES = 100_000
 
 
 def spanning(left: list[int], right: list[int]) -> list[tuple[int, int]]:
@@ -57,29 +63,54 @@ def contract(edges: DataFrame) -> DataFrame:
     return edges.mapInArrow(run, "u long, v long")
 
 
+def _turned(edges: DataFrame, partitions: int, small: bool) -> DataFrame:
+    """One half-round over (u, v) with u > v: edges of a node go to the least of its neighbours and itself."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, least = None, 0  # the node whose edges are being read, and its target
+        for b in batches(parts):
+            u, v = b.column("u").to_numpy(), b.column("v").to_numpy()
+            new = np.r_[node is None or u[0] != node, u[1:] != u[:-1]]
+            first = np.maximum.accumulate(np.where(new, np.arange(len(u)), -1))
+            m = np.where(first >= 0, np.minimum(u, v[np.maximum(first, 0)]), least)
+            node, least = u[-1], m[-1]
+            if small:
+                pairs = np.concatenate([np.stack([v, m], 1), np.stack([u[new], m[new]], 1)])
+            else:
+                pairs = np.stack([v, m], 1)[v > u]
+            pairs = pairs[pairs[:, 0] != pairs[:, 1]]
+            if len(pairs):
+                pairs = np.unique(pairs, axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], names=["u", "v"])
+
+    return edges.repartition(partitions, "u").sortWithinPartitions("u", "v").mapInArrow(run, "u long, v long")
+
+
 def components(spark: SparkSession, edges: DataFrame, rounds: int = 60) -> DataFrame:
     """node and root (the least node of its component), for every node that has an edge to another.
 
     Each round keeps the components and shrinks the paths; it ends when nothing changes, and raises
     if that does not happen within ``rounds``.
     """
-    with arrow_rows(spark, 50_000):
-        now = stage(spark, contract(edges.where("u <> v")).distinct(), "edges")
 
     def state(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    before = state(now)
-    for _ in range(rounds):
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        after = stage(spark, small.where("u <> v").distinct(), "edges")
-        release(spark, now)
-        now, old = after, before
-        before = state(now)
-        if before == old:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        return tuple(e.agg(F.count("*"), F.sum("u"), F.sum("v")).first())
+
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with arrow_rows(spark, 50_000):
+        now = stage(spark, contract(edges.where("u <> v")), "edges")
+        if (left := now.count()) <= UNITED:  # few enough for one task; more are turned round by round
+            return stage(spark, contract(now.coalesce(1)), "stars").toDF("node", "root")
+        before = (-1, None, None)
+        for _ in range(rounds):
+            partitions = max(1, min(most, 1 + left // EDGES))
+            both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            turned = _turned(_turned(both, partitions, small=False), partitions, small=True)
+            turned = stage(spark, turned.repartition(partitions, "u").dropDuplicates(["u", "v"]), "edges")
+            release(spark, now)
+            now, old = turned, before
+            before = state(now.select(F.col("u").cast("decimal(38,0)"), F.col("v").cast("decimal(38,0)")))
+            left = before[0]
+            if before == old:
+                return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     raise RuntimeError("the components did not settle")
