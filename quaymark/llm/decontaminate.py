@@ -22,6 +22,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ BLOCK_WINDOWS = 1 << 20
 #: Words that a worker remembers before it starts anew.
 CACHE_ENTRIES = 600_000
 NUMBER, NAME, UNIT = 1, 2, 3
+LOW_BITS = 20
+LOW = np.uint64((1 << LOW_BITS) - 1)
 SCHEMA = "doc_id long, item_id long, windows long, item_windows long, coverage double, slots long, changed_slots long, kind string"
 
 #: Units, in lower case.
@@ -46,16 +49,17 @@ _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
 def describe(word: str) -> tuple[int, int, int, str]:
     """Code of a word (placeholder or hash), its code within a sentence, flags (1: unit, 2: ends a sentence), and its value."""
-    core = _EDGES.sub("", word)
-    flags = 2 * word.rstrip("\"')]}»”’").endswith((".", "!", "?", ":"))
+    core = word if word.isalnum() else word.strip(punctuation)
+    if not core.isalnum():
+        core = _EDGES.sub("", core)
+    flags = 2 * (core is not word and word.rstrip("\"')]}»”’").endswith((".", "!", "?", ":")))
     if not core:
         return 0, 0, flags, ""
     lower = core.lower()
-    number = _NUMBER.fullmatch(core)
-    if number and (not number[1] or number[1].lower() in UNITS):
+    if not core.isalpha() and (number := _NUMBER.fullmatch(core)) and (not number[1] or number[1].lower() in UNITS):
         return NUMBER, NUMBER, flags, lower
     code = xxhash.xxh64_intdigest(lower) | 8
-    name = len(core) > 1 and core[0].isupper() and core[1:] == core[1:].lower()
+    name = len(core) > 1 and core[0].isupper() and core[1:] == lower[1:]
     return code, NAME if name else code, flags | (lower in UNITS), lower
 
 
@@ -153,6 +157,9 @@ class Block:
         self.where = np.concatenate(where) if where else np.zeros((0, 2), np.int64)
         order = np.argsort(self.hashes, kind="stable")
         self.hashes, self.where = self.hashes[order], self.where[order]
+        # A table of the hashes' low bits: most windows need no search.
+        self.seen = np.zeros(1 << LOW_BITS, bool)
+        self.seen[self.hashes & LOW] = True
 
 
 def compare(item: tuple, size: int, hits: list[tuple[int, int]], values: list[str], coverage: float) -> tuple | None:
@@ -188,13 +195,15 @@ def find(block: Block, texts: list[str], coverage: float) -> list[tuple]:
     hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
     for width in sorted(block.widths):
         hashes = window_hashes(flat, width)
-        at = np.searchsorted(block.hashes, hashes)
+        near = np.flatnonzero(block.seen[hashes & LOW] & (hashes != 0))
+        at = np.searchsorted(block.hashes, hashes[near])
         at[at == len(block.hashes)] = 0
-        for p in np.flatnonzero((block.hashes[at] == hashes) & (hashes != 0)).tolist():
+        exact = block.hashes[at] == hashes[near]
+        for p, first in zip(near[exact].tolist(), at[exact].tolist(), strict=True):
             doc = int(np.searchsorted(stops, p, side="right"))
             if p + width > stops[doc]:
                 continue
-            k = int(at[p])
+            k = first
             while k < len(block.hashes) and block.hashes[k] == hashes[p]:
                 item, position = block.where[k].tolist()
                 if min(WIDTH, len(block.items[item][1])) == width:
