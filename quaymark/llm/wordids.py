@@ -15,8 +15,9 @@ from string import punctuation
 import numpy as np
 
 #: Distinct chunks in each of the two generations that a Python worker remembers.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 300_000
 MARK = "\x01"
+PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
 
 
 class ChunkEncoder:
@@ -90,33 +91,38 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        texts = list(map(self.lower, texts))
-        flat = "\n".join(texts).replace("\n", " ").split(" ")
+        flat: list[str] = []
+        stops = []
+        for t in texts:
+            flat += self.cut(t)
+            stops.append(len(flat))
         parts = list(map(self.cache.get, flat))
         unknown = [i for i, x in enumerate(parts) if x is None]
         if unknown:
             self.learn({flat[i] for i in unknown})
+            get = self.cache.__getitem__
             for i in unknown:
-                parts[i] = self.cache[flat[i]]
-        out, at = [], 0
-        for t in texts:
-            stop = at + t.count(" ") + t.count("\n") + 1
-            out.append(b"".join(parts[at:stop]))
-            at = stop
-        return out
+                parts[i] = get(flat[i])
+        return [b"".join(parts[i:j]) for i, j in zip([0, *stops], stops, strict=False)]
 
     @staticmethod
-    def lower(text: str) -> str:
-        """Latin-1 text in lower case: the normaliser does the same to it, letter by letter."""
-        return text.lower() if "<|" not in text and (text.isascii() or _latin(text)) else text
-
-
-def _latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+    def cut(text: str) -> list[str]:
+        """Chunks of a text.
+
+        Latin-1 text is put in lower case first: the normaliser does the same to it, letter by letter.
+        If it then holds nothing but letters, spaces, line feeds and single full stops and commas,
+        these stand alone: they are always tokens of their own.
+        """
+        if "<|" not in text:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return text.replace("\n", " ").split(" ")
+            text = text.lower()
+            raw = text.encode("latin-1")
+            if not raw.translate(None, PLAIN) and not any(x in raw for x in (b"..", b".,", b",.", b",,")):
+                return text.replace(".", " . ").replace(",", " , ").split()
+        return text.replace("\n", " ").split(" ")
 
 
 @lru_cache(2)
