@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -96,3 +97,16 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+_CACHES: dict[str, object] = {}
+
+
+def worker_cache(name: str, make):
+    """What a Python worker remembers between tasks: of one operator at a time, as workers serve many."""
+    if name not in _CACHES:
+        if _CACHES:
+            _CACHES.clear()
+            gc.collect()
+        _CACHES[name] = make()
+    return _CACHES[name]

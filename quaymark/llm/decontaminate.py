@@ -20,7 +20,6 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 from itertools import repeat
 from string import punctuation
 
@@ -29,13 +28,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from ._shared import batches, doc_columns, mix64, prepare, texts_of
+from ._shared import batches, doc_columns, mix64, prepare, texts_of, worker_cache
 
 WIDTH = 8
 #: Template windows of a block of benchmark items: what a broadcast may hold.
 BLOCK_WINDOWS = 1 << 20
 #: Words that a worker remembers before it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 NUMBER, NAME, UNIT = 1, 2, 3
 LOW_BITS = 20
 LOW = np.uint64((1 << LOW_BITS) - 1)
@@ -89,9 +88,8 @@ class Words:
         return at
 
 
-@lru_cache(1)
 def _words() -> Words:
-    return Words()
+    return worker_cache("template words", Words)
 
 
 def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:

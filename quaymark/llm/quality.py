@@ -29,14 +29,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, prepare, texts_of
+from ._shared import batches, doc_columns, prepare, texts_of, worker_cache
 
 WORD_BITS = 16
 METADATA = 64 + 16 + 24
 #: Words whose features a worker remembers before it starts anew.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 _TAIL = re.compile(r"[\W_]+$")
-_CACHE: dict[str, int] = {}
 
 
 def _feature(word: str) -> int:
@@ -53,16 +52,17 @@ def _feature(word: str) -> int:
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text in one array, and how many each text has."""
     out = []
+    cache = worker_cache("word features", dict)
     for t in texts:
         words = t.split()
-        found = set(map(_CACHE.get, words))
+        found = set(map(cache.get, words))
         if None in found:
-            if len(_CACHE) > CACHE_ENTRIES:
-                _CACHE.clear()
+            if len(cache) > CACHE_ENTRIES:
+                cache.clear()
             for w in set(words):
-                if w not in _CACHE:
-                    _CACHE[w] = _feature(w)
-            found = set(map(_CACHE.__getitem__, words))
+                if w not in cache:
+                    cache[w] = _feature(w)
+            found = set(map(cache.__getitem__, words))
         out.append(found)
     sizes = np.fromiter(map(len, out), np.int64, len(out))
     return np.fromiter((x for s in out for x in s), np.int64, int(sizes.sum())), sizes

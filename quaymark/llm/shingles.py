@@ -6,6 +6,8 @@ import numpy as np
 
 from ._shared import mix64
 
+#: Characters hashed together; a longer text is alone.
+GROUP_CHARS = 1 << 20
 _PRIME = 0x100000001B3
 _INVERSE = pow(_PRIME, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
@@ -22,7 +24,7 @@ def _powers(base: int, n: int) -> np.ndarray:
         known = np.full(max(n, 1 << 16), base, np.uint64)
         known[0] = 1
         known = np.cumprod(known, dtype=np.uint64)
-        if n <= 1 << 23:
+        if n <= GROUP_CHARS:
             _POWERS[base] = known
     return known[:n]
 
@@ -44,6 +46,17 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str], words: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; a shorter text is one shingle, an empty one none."""
+    out: list[np.ndarray] = []
+    start = total = 0
+    for i, t in enumerate(texts):
+        if total and total + len(t) > GROUP_CHARS:
+            out += _sets(texts[start:i], words)
+            start, total = i, 0
+        total += len(t) + 1
+    return out + _sets(texts[start:], words) if start < len(texts) else out
+
+
+def _sets(texts: list[str], words: int) -> list[np.ndarray]:
     hashes, sizes = word_hashes(texts)
     n = max(0, len(hashes) - words + 1)
     joined = np.zeros(n, np.uint64)

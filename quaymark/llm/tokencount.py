@@ -13,17 +13,16 @@ rows give repeated results; extra columns are ignored; an empty table gives no r
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._shared import batches, doc_columns, prepare, texts_of
+from ._shared import batches, doc_columns, prepare, texts_of, worker_cache
 
 SPACE = "▁"
 #: Distinct pre-tokens in each of the two generations that a Python worker remembers.
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 400_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -190,9 +189,8 @@ class PieceModel:
         return change
 
 
-@lru_cache(2)
 def piece_model(path: str) -> PieceModel:
-    return PieceModel(path)
+    return worker_cache(f"pieces {path}", lambda: PieceModel(path))
 
 
 def count_tokens(documents: DataFrame, model_path: str, limit: int = 4096) -> DataFrame:

@@ -9,13 +9,14 @@ the ids that the library gives for the whole text.
 from __future__ import annotations
 
 import os
-from functools import lru_cache
 from string import punctuation
 
 import numpy as np
 
+from ._shared import worker_cache
+
 #: Distinct chunks in each of the two generations that a Python worker remembers.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 180_000
 MARK = "\x01"
 PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
 
@@ -125,6 +126,5 @@ class ChunkEncoder:
         return text.replace("\n", " ").split(" ")
 
 
-@lru_cache(2)
 def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return worker_cache(f"chunks {path}", lambda: ChunkEncoder(path))
