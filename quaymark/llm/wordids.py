@@ -12,12 +12,16 @@ import os
 from string import punctuation
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from ._shared import worker_cache
 
 #: Distinct chunks in each of the two generations that a Python worker remembers.
-CACHE_ENTRIES = 180_000
+CACHE_ENTRIES = 300_000
 MARK = "\x01"
+#: Chunks of one library call.
+GROUP = 2000
 PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
 
 
@@ -34,6 +38,9 @@ class ChunkEncoder:
         pre = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         if r"\s+" not in steps or not (pre.get("behavior") == "Removed" and pre.get("invert")):
             raise ValueError("this vocabulary keeps white space in its tokens; texts cannot be cut there")
+        suffix = spec["model"].get("end_of_word_suffix")
+        if not suffix:
+            raise ValueError("this vocabulary does not tell the last token of a word")
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
@@ -44,6 +51,9 @@ class ChunkEncoder:
         self.letters.normalizer = None
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        vocab = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocab.values()) + 1, bool)
+        self.closing[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
 
     def learn(self, missing: set[str]) -> None:
         """Encode chunks that the younger generation lacks."""
@@ -52,10 +62,11 @@ class ChunkEncoder:
         kept = missing & self.older.keys()
         self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
         missing -= kept
-        stems = list(map(self.stem, missing))
-        self.library(set(stems) - self.cache.keys())
+        signed = [c for c in missing if not c.isalpha()]
+        stems = list(map(self.stem, signed))
+        self.library(missing.difference(signed).union(stems) - self.cache.keys())
         get, tails = self.cache.__getitem__, {"": b""}
-        for c, stem in zip(missing, stems, strict=True):
+        for c, stem in zip(signed, stems, strict=True):
             if len(c) > len(stem):
                 tail = c[len(stem) :]
                 if tail not in tails:
@@ -70,45 +81,64 @@ class ChunkEncoder:
         return stem if stem and stem[-1] <= "\u024f" and stem[-1].lower().isalpha() and "<|" not in chunk else chunk
 
     def library(self, chunks: set[str]) -> None:
-        """One call for many chunks: a marked character, a token of its own, stands between them."""
-        plain = [c for c in chunks if c.isalpha() and c.islower() and max(c) < "\u0100"]
-        self._encode(self.letters, plain)
-        if len(plain) < len(chunks):
-            self._encode(self.tokenizer, list(chunks.difference(plain)))
-
-    def _encode(self, tokenizer, chunks: list[str]) -> None:
-        usual = [c for c in chunks if MARK not in c] if len(self.mark) == 1 else []
-        for i in range(0, len(usual), 2000):
-            part = usual[i : i + 2000]
-            ids = np.array(tokenizer.encode_batch_fast([f" {MARK} ".join(part)], add_special_tokens=False)[0].ids, "<u4")
-            at = np.flatnonzero(ids == self.mark[0])
-            if len(at) != len(part) - 1:
-                raise ValueError("the vocabulary joins the mark with its neighbours")
-            data = ids.tobytes()
-            self.cache.update((c, data[j:k]) for c, j, k in zip(part, [0, *(4 * at + 4).tolist()], [*(4 * at).tolist(), len(data)], strict=True))
-        rest = [c for c in chunks if MARK in c] if len(self.mark) == 1 else chunks
-        found = tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
+        """One call for many chunks.  Words of one pre-token each end with the only token that closes a word;
+        between other chunks stands a marked character, a token of its own."""
+        plain = [c for c in chunks if c.isalpha() and c.islower() and (c.isascii() or max(c) < "\u0100")]
+        for i in range(0, len(plain), GROUP):
+            part = plain[i : i + GROUP]
+            ids = self.ids_of(self.letters, " ".join(part))
+            self.remember(part, ids, np.flatnonzero(self.closing[ids]) + 1, 0)
+        if len(plain) == len(chunks):
+            return
+        others = chunks.difference(plain)
+        usual = [c for c in others if MARK not in c] if len(self.mark) == 1 else []
+        for i in range(0, len(usual), GROUP):
+            part = usual[i : i + GROUP]
+            ids = self.ids_of(self.tokenizer, f" {MARK} ".join(part))
+            self.remember(part, ids, np.r_[np.flatnonzero(ids == self.mark[0]), len(ids)], 1)
+        rest = list(others.difference(usual))
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
         self.cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, found, strict=True))
 
+    @staticmethod
+    def ids_of(tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def remember(self, chunks: list[str], ids: np.ndarray, stops: np.ndarray, gap: int) -> None:
+        """Keep each chunk's ids: they run up to its stop, and ``gap`` ids follow before the next chunk's."""
+        if len(stops) != len(chunks) or stops[-1] != len(ids):
+            raise ValueError("the vocabulary joins a chunk with its neighbours")
+        data, at = ids.tobytes(), (4 * stops).tolist()
+        self.cache.update(zip(chunks, map(data.__getitem__, map(slice, [0, *(j + 4 * gap for j in at[:-1])], at)), strict=True))
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        flat: list[str] = []
-        stops = []
-        for t in texts:
-            flat += self.cut(t)
-            stops.append(len(flat))
-        parts = list(map(self.cache.get, flat))
-        unknown = [i for i, x in enumerate(parts) if x is None]
-        if unknown:
-            self.learn({flat[i] for i in unknown})
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        parts = list(map(self.cache.get, chunks))
+        if None in parts:
+            unknown = [i for i, x in enumerate(parts) if x is None]
+            self.learn({chunks[i] for i in unknown})
             get = self.cache.__getitem__
             for i in unknown:
-                parts[i] = get(flat[i])
-        return [b"".join(parts[i:j]) for i, j in zip([0, *stops], stops, strict=False)]
+                parts[i] = get(chunks[i])
+        # Each chunk's ids stand once in ``flat``; the texts' ids are gathered from there.
+        flat = np.frombuffer(b"".join(parts), "<u4")
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        which = coded.indices.to_numpy()
+        counts = sizes[which]
+        stops = np.cumsum(counts)
+        shift = (np.cumsum(sizes) - sizes)[which] - (stops - counts)
+        data = flat[np.repeat(shift, counts) + np.arange(stops[-1])].tobytes()
+        ends = (4 * stops[np.cumsum(cut.value_lengths().to_numpy()) - 1]).tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """Chunks of a text.
+    def spaced(text: str) -> str:
+        """The text with a space between its chunks.
 
         Latin-1 text is put in lower case first: the normaliser does the same to it, letter by letter.
         If it then holds nothing but letters, spaces, line feeds and single full stops and commas,
@@ -118,12 +148,12 @@ class ChunkEncoder:
             try:
                 text.encode("latin-1")
             except UnicodeEncodeError:
-                return text.replace("\n", " ").split(" ")
+                return text.replace("\n", " ")
             text = text.lower()
             raw = text.encode("latin-1")
             if not raw.translate(None, PLAIN) and not any(x in raw for x in (b"..", b".,", b",.", b",,")):
-                return text.replace(".", " . ").replace(",", " , ").split()
-        return text.replace("\n", " ").split(" ")
+                text = text.replace(".", " . ").replace(",", " , ")
+        return text.replace("\n", " ")
 
 
 def chunk_encoder(path: str) -> ChunkEncoder:
