@@ -148,3 +148,62 @@ def chunk_id(url: Cols, title: Cols, index: Cols) -> Column:
 def hk_mobile(x: Cols) -> Column:
     """eight digits that start with 5 to 9."""
     return F.replace(F.replace(_c(x), F.lit(" "), F.lit("")), F.lit("-"), F.lit("")).rlike("^[5-9][0-9]{7}$")
+
+
+#: Marks of a page that the site's guard put in the place of the real one.
+BLOCKED = ("attention required! | cloudflare", "sorry, you have been blocked", 'id="cf-error-details"')
+#: Words of navigation lines.
+NAV_WORDS = (
+    "menu", "navigation", "cookie", "privacy", "terms", "subscribe", "follow", "share", "login", "signup", "register", "home", "contact",
+    "關於", "聯絡", "登入", "註冊", "主頁", "首頁", "私隱", "條款", "版權", "返回", "廣告", "贊助",
+)
+
+
+def navigation_ratio(x: Cols) -> Column:
+    """share of the lines that hold a navigation word."""
+    found = lines(x)
+    return F.size(F.filter(found, lambda t: F.lower(t).rlike("|".join(NAV_WORDS)))) / F.greatest(F.lit(1), F.size(found))
+
+
+def host(url: Cols) -> Column:
+    """The lower-case host of an http address, without www."""
+    return F.regexp_replace(F.lower(F.regexp_extract(_c(url), r"(?i)^https?://([^/?#]*)", 1)), r"^www\.", "")
+
+
+def valid_listing_url(url: Cols, site: str, path_pattern: str) -> Column:
+    """F8: an address of ``site`` whose path matches; null is not valid."""
+    path = F.regexp_extract(_c(url), r"(?i)^https?://[^/?#]*([^?#]*)", 1)
+    return F.coalesce((host(url) == site) & path.rlike(path_pattern), F.lit(False))
+
+
+def blocked_page(html: Cols) -> Column:
+    """F9."""
+    low = F.lower(F.coalesce(_c(html), F.lit("")))
+    return low.contains(BLOCKED[0]) | low.contains(BLOCKED[1]) | low.contains(BLOCKED[2])
+
+
+def price_in_text(x: Cols) -> Column:
+    """The first price with a currency sign, else the first before the currency's name, else empty."""
+    text = collapse(F.coalesce(_c(x), F.lit("")))
+    signed = F.regexp_extract(text, r"(?i)(?:HK\$|\$)\s*([0-9][0-9,]{2,})", 1)
+    return F.when(signed != "", signed).otherwise(F.regexp_extract(text, r"([0-9][0-9,]{3,})\s*港元", 1))
+
+
+def bare_phone(x: Cols) -> Column:
+    """A telephone link or number without the country code, dashes and spaces."""
+    out = strip(F.coalesce(_c(x), F.lit("")))
+    for part in ("tel:", "+852", "852-", "-", " "):
+        out = F.replace(out, F.lit(part), F.lit(""))
+    return out
+
+
+def language_or(x: Cols, known: tuple[str, ...], default: str) -> Column:
+    """A known language code, lower case, or the default."""
+    code = F.lower(strip(_c(x)))
+    return F.when(code.isin(*known), code).otherwise(default)
+
+
+def links(html: Cols) -> Column:
+    """Targets of anchors in page order, each once."""
+    found = F.regexp_extract_all(_c(html), F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]+)[\"']"), F.lit(1))
+    return F.array_distinct(found)

@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import chunking, district
 from ..functions import numbers as N
 from ..functions import text as X
 from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ranking as R
+from ..session import ship
 from . import monitor
 
 NOW = "2024-01-31 00:00:00"
@@ -433,3 +435,37 @@ def doc_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def distinct_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S17, A18."""
     return table(spark, sf_dir, "nation").select("n_name").where("n_name is not null and n_name <> ''").distinct().orderBy("n_name")
+
+
+@query("SELECT c_custkey, n_nationkey, round(miles+1e-9,3) AS miles FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY miles, n_nationkey) AS place FROM (SELECT c_custkey, n_nationkey, 2*3958.8*asin(sqrt(least(1.0, power(sin(radians(slat-plat)/2),2) + cos(radians(plat))*cos(radians(slat))*power(sin(radians(slng-plng)/2),2)))) AS miles FROM (SELECT c_custkey, (c_custkey*37%1601)/20.0 - 40 AS plat, (c_custkey*91%3203)/10.0 - 160 AS plng FROM customer) p, (SELECT n_nationkey, (n_nationkey*7%25)*3.1 - 38 AS slat, (n_nationkey*11%25)*12.7 - 155 AS slng FROM nation) s)) WHERE place = 1")
+def nearest_site(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and nations with positions made from their keys."""
+    points = table(spark, sf_dir, "customer").selectExpr("c_custkey AS pid", "(c_custkey*37%1601)/20.0D - 40 AS plat", "(c_custkey*91%3203)/10.0D - 160 AS plng")
+    sites = table(spark, sf_dir, "nation").selectExpr("n_nationkey AS sid", "(n_nationkey*7%25)*3.1D - 38 AS slat", "(n_nationkey*11%25)*12.7D - 155 AS slng")
+    return J.nearest(points, sites).select(F.col("pid").alias("c_custkey"), F.col("sid").alias("n_nationkey"), N.nudged_round("miles", 3).alias("miles"))
+
+
+@query()
+def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against the definition on small texts."""
+    ship(spark)
+    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(chunking.chunk_text("text")).alias("place", "chunk"))
+
+
+@query()
+def district_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X4, X5 over nations' names: tested with golden rows."""
+    n = table(spark, sf_dir, "nation").select("n_name").distinct()
+    return n.select("n_name", district.district_name("n_name").alias("district")).withColumn("region", district.region_of("district"))
+
+
+@query("SELECT doc_id, CASE WHEN len(l) = 0 THEN 0.0 ELSE round(len(list_filter(l, lambda x: regexp_matches(lower(x), 'menu|navigation|cookie|privacy|terms|subscribe|follow|share|login|signup|register|home|contact|關於|聯絡|登入|註冊|主頁|首頁|私隱|條款|版權|返回|廣告|贊助')))/len(l)+1e-9,6) END AS ratio FROM (SELECT doc_id, " + LINES + " AS l FROM documents WHERE text IS NOT NULL)")
+def doc_navigation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the share of navigation lines."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", F.round(X.navigation_ratio("text") + 1e-9, 6).alias("ratio"))
+
+
+@query(r"""SELECT page_id, len(list_distinct(regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"''>]+)["'']', 1))) AS links FROM pages""")
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many different targets a page links to."""
+    return table(spark, sf_dir, "pages").select("page_id", F.size(X.links("html")).cast("long").alias("links"))
