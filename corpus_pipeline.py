@@ -42,8 +42,8 @@ def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 4096 ids."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096)
+    """Pack what is left into sequences of 4096 ids; executors also hold the memory of the stages before."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096, remembered=180_000)
 
 
 STAGES = [

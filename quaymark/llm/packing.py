@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import batches, doc_columns, prepare, texts_of
-from .wordids import chunk_encoder
+from .wordids import CACHE_ENTRIES, chunk_encoder
 
 #: Ids planned together, and costs in units of one padded id.
 BLOCK_IDS = 1 << 18
@@ -151,13 +151,16 @@ def boundaries(costs: np.ndarray, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.r_[at + 1, len(cost)], np.r_[cost[at], 0.0]
 
 
-def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096) -> DataFrame:
-    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
+def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, remembered: int = CACHE_ENTRIES) -> DataFrame:
+    """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
+
+    ``remembered`` bounds the words that a Python worker keeps; it changes memory and speed, not results.
+    """
     prepare(documents.sparkSession)
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream, base = chunk_encoder(tokenizer_path), Stream(capacity), 0
+        encoder, stream, base = chunk_encoder(tokenizer_path, remembered), Stream(capacity), 0
         end, costs = np.array([end_id], "<u4").tobytes(), cut_costs(encoder.tokenizer.get_vocab())
 
         def out(pieces: list[tuple]) -> pa.RecordBatch:

@@ -26,7 +26,7 @@ PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).
 
 
 class ChunkEncoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import json
 
@@ -42,6 +42,7 @@ class ChunkEncoder:
         if not suffix:
             raise ValueError("this vocabulary does not tell the last token of a word")
         self.tokenizer = Tokenizer.from_file(path)
+        self.entries = entries
         self.cache: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
         # Lower-case Latin-1 words need no normaliser and are one pre-token each: the same model without those steps.
@@ -57,7 +58,7 @@ class ChunkEncoder:
 
     def learn(self, missing: set[str]) -> None:
         """Encode chunks that the younger generation lacks."""
-        if len(self.cache) + len(missing) > CACHE_ENTRIES:
+        if len(self.cache) + len(missing) > self.entries:
             self.older, self.cache = self.cache, {"": b""}
         kept = missing & self.older.keys()
         self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
@@ -156,5 +157,5 @@ class ChunkEncoder:
         return text.replace("\n", " ")
 
 
-def chunk_encoder(path: str) -> ChunkEncoder:
-    return worker_cache(f"chunks {path}", lambda: ChunkEncoder(path))
+def chunk_encoder(path: str, entries: int = CACHE_ENTRIES) -> ChunkEncoder:
+    return worker_cache(f"chunks {entries} {path}", lambda: ChunkEncoder(path, entries))
