@@ -29,3 +29,43 @@ def partial_update(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
 def push_unique(array: Column, item: Column, same) -> Column:
     """Append unless an equal element is there."""
     return F.when(F.exists(array, same), array).otherwise(F.concat(array, F.array(item)))
+
+
+#: Seconds that a queued item lives.
+QUEUE_TTL = 2 * 24 * 60 * 60
+
+
+def queue_append(conversations: DataFrame, matches: DataFrame, now: int, ttl: int = QUEUE_TTL, guard: bool = True) -> DataFrame:
+    """Conversations (id, queue of post_id, status, createdAt, expired_at) after matches (id, post_ids).
+
+    Only a match's first id is queued, and with ``guard`` only once.  ``outcome`` is queued, already_queued,
+    nothing_matched or conversation_not_found, and null for conversations without a match; a null queue is empty.
+    """
+    item = "array<struct<post_id: string, status: string, createdAt: bigint, expired_at: bigint>>"
+    c = conversations.select("id", F.coalesce(F.col("queue").cast(item), F.array().cast(item)).alias("queue"), F.lit(True).alias("known"))
+    m = matches.select("id", F.try_element_at("post_ids", F.lit(1)).cast("string").alias("first"), F.lit(True).alias("matched"))
+    twice = F.coalesce(F.exists("queue", lambda x: x.post_id == F.col("first")), F.lit(False)) if guard else F.lit(False)
+    outcome = (
+        F.when(F.col("matched").isNull(), None)
+        .when(F.col("known").isNull(), "conversation_not_found")
+        .when(F.col("first").isNull(), "nothing_matched")
+        .when(twice, "already_queued")
+        .otherwise("queued")
+    )
+    new = F.array(F.struct(F.col("first").alias("post_id"), F.lit("pending").alias("status"), F.lit(now).cast("long").alias("createdAt"), F.lit(now + ttl).cast("long").alias("expired_at")))
+    out = c.join(m, "id", "full_outer").withColumn("outcome", outcome)
+    return out.select("id", F.when(F.col("outcome") == "queued", F.concat("queue", new.cast(item))).otherwise(F.col("queue")).alias("queue"), "outcome")
+
+
+def first_outcome(checks: list[tuple[Column, str]], passed: str) -> Column:
+    """The name of the first check that fails, in order; a check that is null fails."""
+    out = F.when(F.lit(False), "")
+    for holds, name in checks:
+        out = out.when(~F.coalesce(holds, F.lit(False)), name)
+    return out.otherwise(passed)
+
+
+def normalise(df: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """A dimension (id, value) of distinct values and a bridge (key, id); ids derive from the values."""
+    coded = df.where(F.col(value).isNotNull()).select(key, value, F.substring(F.sha2(F.col(value).cast("string"), 256), 1, 16).alias("id"))
+    return coded.select("id", value).distinct(), coded.select(key, "id").distinct()

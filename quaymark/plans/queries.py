@@ -469,3 +469,50 @@ def doc_navigation_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many different targets a page links to."""
     return table(spark, sf_dir, "pages").select("page_id", F.size(X.links("html")).cast("long").alias("links"))
+
+
+@query(f"SELECT outcome, count(*) AS n FROM (SELECT CASE WHEN c_custkey IS NULL THEN 'no_user' WHEN c_acctbal < 0 THEN 'phone_mismatch' WHEN live = 0 THEN 'nothing_live' WHEN bought = 0 THEN 'inactive' ELSE 'sent' END AS outcome FROM (SELECT user_id, count(*) FILTER (WHERE ts >= TIMESTAMP '{NOW}' - INTERVAL 2 DAY) AS live, count(*) FILTER (WHERE event_type = 'purchase') AS bought FROM events WHERE user_id IS NOT NULL GROUP BY user_id) LEFT JOIN customer ON user_id = c_custkey) GROUP BY outcome")
+def queue_drain_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every queue's turn ends, checks in their order."""
+    live, bought = F.col("ts") >= F.expr(f"TIMESTAMP '{NOW}' - INTERVAL 2 DAY"), F.col("event_type") == "purchase"
+    users = table(spark, sf_dir, "events").where("user_id is not null").groupBy("user_id").agg(F.count_if(live).alias("live"), F.count_if(bought).alias("bought"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_acctbal")
+    checks = [(F.col("c_acctbal").isNotNull(), "no_user"), (F.col("c_acctbal") >= 0, "phone_mismatch"), (F.col("live") > 0, "nothing_live"), (F.col("bought") > 0, "inactive")]
+    return users.join(customers, "user_id", "left").groupBy(M.first_outcome(checks, "sent").alias("outcome")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT event_id, list_max(list_transform(regexp_extract_all(props, '[0-9]+'), lambda x: CAST(x AS BIGINT))) AS largest FROM events")
+def largest_capture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest number in a text."""
+    numbers = F.transform(F.regexp_extract_all("props", F.lit("([0-9]+)"), F.lit(1)), lambda x: x.cast("long"))
+    return table(spark, sf_dir, "events").select("event_id", F.array_max(numbers).alias("largest"))
+
+
+@query("SELECT event_id, sha256(concat(event_type, '-', props)) AS memo_key FROM events")
+def memo_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key under which an answer is remembered."""
+    return table(spark, sf_dir, "events").select("event_id", F.sha2(F.concat("event_type", F.lit("-"), "props"), 256).alias("memo_key"))
+
+
+@query("SELECT event_id, date_trunc('month', ts) AS month_start, strftime(ts, '%Y-%m-%d') AS day, CAST(floor(epoch(ts)) AS BIGINT) AS epoch_s, ts >= TIMESTAMP '2024-01-30 00:00:00' AND ts < TIMESTAMP '2024-01-31 00:00:00' AS yesterday FROM events")
+def date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month and day of a time, its epoch, and whether it lies in the day before NOW."""
+    day = F.date_trunc("day", F.lit(NOW).cast("timestamp"))
+    ts = F.col("ts").cast("timestamp")
+    month = F.date_trunc("month", ts).cast("timestamp_ntz")
+    return table(spark, sf_dir, "events").select("event_id", month.alias("month_start"), F.date_format(ts, "yyyy-MM-dd").alias("day"), F.unix_timestamp(ts).alias("epoch_s"), ((ts >= day - F.expr("INTERVAL 1 DAY")) & (ts < day)).alias("yesterday"))
+
+
+@query(f"SELECT string_agg('| ' || n_name || ' | ' || n || ' |', chr(10) ORDER BY n_name) AS report, sum(n) AS listings FROM (SELECT n_name, count(*) AS n FROM {LISTINGS} GROUP BY n_name)")
+def markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row, the table of a report; its lines are groups of a dimension, not rows of the corpus."""
+    groups = listings(spark, sf_dir).groupBy("n_name").agg(F.count("*").alias("n"))
+    ordered = F.array_sort(F.collect_list(F.struct("n_name", "n")))
+    lines = F.transform(ordered, lambda g: F.concat(F.lit("| "), g.n_name, F.lit(" | "), g.n.cast("string"), F.lit(" |")))
+    return groups.agg(F.array_join(lines, "\n").alias("report"), F.sum("n").alias("listings"))
+
+
+@query("SELECT DISTINCT conv_id, substr(sha256(role), 1, 16) AS role_id FROM conversations WHERE role IS NOT NULL")
+def export_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bridge of a normalised export."""
+    return M.normalise(table(spark, sf_dir, "conversations"), "conv_id", "role")[1].select("conv_id", F.col("id").alias("role_id"))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quaymark.functions import chunking, district
 from quaymark.functions import text as X
-from quaymark.operators import joins
+from quaymark.operators import joins, merge
 from quaymark.sources import files
 
 DISTRICTS = [
@@ -73,3 +73,12 @@ def test_nearest_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(joins, "SITES", 3)
     assert sorted(map(tuple, joins.nearest(points, sites).collect())) == whole and len(whole) == 50
     assert joins.nearest(points, sites.limit(0)).count() == 0
+
+
+def test_queue_append(spark):
+    conversations = spark.createDataFrame([("a", [("p", "pending", 1, 2)]), ("b", None), ("c", []), ("d", [])], "id string, queue array<struct<post_id: string, status: string, createdAt: long, expired_at: long>>")
+    matches = spark.createDataFrame([("a", ["p", "q"]), ("b", ["q", "r"]), ("c", []), ("x", ["q"])], "id string, post_ids array<string>")
+    got = {r.id: (r.outcome, [tuple(i) for i in r.queue or []]) for r in merge.queue_append(conversations, matches, 100).collect()}
+    assert got == {"a": ("already_queued", [("p", "pending", 1, 2)]), "b": ("queued", [("q", "pending", 100, 172900)]), "c": ("nothing_matched", []), "d": (None, []), "x": ("conversation_not_found", [])}
+    again = {r.id: len(r.queue or []) for r in merge.queue_append(conversations, matches, 100, guard=False).collect()}
+    assert again == {"a": 2, "b": 1, "c": 0, "d": 0, "x": 0}
