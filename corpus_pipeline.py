@@ -2,11 +2,16 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and works on all rows
 that its predecessor kept.  Results between stages are written as Parquet and read again.
+
+Stages decide by row.  A row is known by ``row_key`` (doc_id and text), so null and repeated doc_ids are
+rows like others: rows of one doc_id with different texts are judged apart.  A group of near duplicates
+keeps one row, that of the least doc_id (null after all others; ties to the smaller row key, and of rows
+equal in both to the least by the other columns).  Texts without shingles are copies of nothing and stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import decontaminate, jaccard, langid, packing, pii
@@ -23,17 +28,33 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.select_recognised(docs, model, LEAST_SHARE)
 
 
+def row_key() -> Column:
+    """Rows with equal doc_id and text have one key."""
+    return pii.key().alias("__row")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of every group of near duplicates."""
-    groups = jaccard.near_duplicates(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(groups, "doc_id", "left_semi")
+    """Keep one row of every group of near duplicates, and every row without a shingle."""
+    keyed = docs.withColumn("__row", row_key())
+    found = jaccard.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
+    groups = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_shingles").alias("n"), F.max("component_id").alias("component"), F.count("*").alias("copies"))
+    ids = keyed.select("__row", "doc_id").distinct()
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "copies")).alias("least")
+    kept = groups.where("n > 0").join(ids, "__row").groupBy("component").agg(least).select("least.__row", "least.copies")
+    kept = stage(spark, kept.unionByName(groups.where("n = 0").select("__row", F.lit(1).cast("long").alias("copies"))), "kept")
+    out = keyed.join(kept.where("copies = 1"), "__row", "left_semi").drop("__row")
+    if kept.where("copies > 1").isEmpty():
+        return out
+    repeated = keyed.join(kept.where("copies > 1"), "__row", "left_semi").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return out.unionByName(repeated.select("row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold benchmark passages."""
+    """Drop rows that hold benchmark passages."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = decontaminate.contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti")
+    keyed = docs.withColumn("__row", row_key())
+    hits = decontaminate.contaminated(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
+    return keyed.join(hits.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").drop("__row")
 
 
 def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
