@@ -2,9 +2,9 @@
 
 Words lose the punctuation around them; then numbers, names (a capital letter within a sentence) and
 units (after a number) become typed placeholders, and other words are put in lower case.  Windows of
-template tokens are hashed on both sides and joined.  Hits are laid over the benchmark item at their
-commonest offset; every slot's value in the item must go with one value in the document and the
-other way round.  A document is contaminated by an item if its aligned windows cover enough of the
+template tokens are hashed on both sides and joined.  Hits are laid over the benchmark item at each of
+their offsets, as a document may hold several instances of a template; every slot's value in the item
+must go with one value in the document and the other way round.  A document is contaminated by an item if its aligned windows cover enough of the
 item and its slots are consistent: copies keep their values, re-parameterised questions change them.
 
 The benchmark is a stated query set: it goes over all documents in blocks of bounded size, each
@@ -160,29 +160,69 @@ class Block:
         self.seen[self.hashes & LOW] = True
 
 
+class Slots:
+    """Which values of an item go with which values of a document, at one offset or several."""
+
+    def __init__(self) -> None:
+        self.forward: dict[tuple, Counter] = defaultdict(Counter)
+        self.backward: dict[tuple, Counter] = defaultdict(Counter)
+        self.slots = self.changed = 0
+        self.covered: set[int] = set()
+
+    def add(self, item: tuple, offset: int, aligned: set[int], values: list[str]) -> None:
+        _, item_codes, item_values = item
+        width = min(WIDTH, len(item_codes))
+        self.covered |= aligned
+        for i in sorted({k for a in aligned for k in range(a, a + width)}):
+            if item_codes[i] <= 7:
+                self.slots += 1
+                mine, other = item_values[i], values[offset + i]
+                self.changed += mine != other
+                self.forward[item_codes[i], mine][other] += 1
+                self.backward[item_codes[i], other][mine] += 1
+
+    def consistent(self) -> bool:
+        agreed = min(sum(c.most_common(1)[0][1] for c in side.values()) for side in (self.forward, self.backward))
+        return not self.slots or agreed >= 0.8 * self.slots
+
+
 def compare(item: tuple, size: int, hits: list[tuple[int, int]], values: list[str], coverage: float) -> tuple | None:
-    """The row of a document and an item, or None if the hits do not make a contamination."""
-    item_id, item_codes, item_values = item
-    width = min(WIDTH, len(item_codes))
-    offset = Counter(d - i for d, i in hits).most_common(1)[0][0]
-    aligned = sorted({i for d, i in hits if d - i == offset})
+    """The row of a document and an item, or None if the hits do not make a contamination.
+
+    Offsets are taken by their hits, the commonest first.  If that one is consistent, all hits count; else
+    the others are put together as long as their slots stay consistent, and one such group must cover enough.
+    """
+    by_offset: dict[int, set[int]] = defaultdict(set)
+    for d, i in hits:
+        by_offset[d - i].add(i)
     covered = len({i for _, i in hits})
     if covered < coverage * size:
         return None
-    forward: dict[tuple, Counter] = defaultdict(Counter)
-    backward: dict[tuple, Counter] = defaultdict(Counter)
-    slots = changed = 0
-    for i in sorted({k for a in aligned for k in range(a, a + width)}):
-        if item_codes[i] <= 7:
-            slots += 1
-            mine, other = item_values[i], values[offset + i]
-            changed += mine != other
-            forward[item_codes[i], mine][other] += 1
-            backward[item_codes[i], other][mine] += 1
-    agreed = min(sum(c.most_common(1)[0][1] for c in side.values()) for side in (forward, backward))
-    if slots and agreed < 0.8 * slots:
-        return None
-    return item_id, covered, size, covered / size, slots, changed, "reparameterised" if changed else "copy"
+    groups: list[list[int]] = []
+    for place, (offset, _) in enumerate(Counter(d - i for d, i in hits).most_common()):
+        alone = Slots()
+        alone.add(item, offset, by_offset[offset], values)
+        if not alone.consistent():
+            continue
+        if not place:
+            return row_of(item, size, covered, alone)
+        for group in groups:
+            both = Slots()
+            for o in (*group, offset):
+                both.add(item, o, by_offset[o], values)
+            if both.consistent():
+                group.append(offset)
+                break
+        else:
+            both = alone
+            groups.append([offset])
+        if len(both.covered) >= coverage * size:
+            return row_of(item, size, len(both.covered), both)
+    return None
+
+
+def row_of(item: tuple, size: int, covered: int, found: Slots) -> tuple:
+    return item[0], covered, size, covered / size, found.slots, found.changed, "reparameterised" if found.changed else "copy"
 
 
 def find(block: Block, texts: list[str], coverage: float) -> list[tuple]:
