@@ -174,6 +174,13 @@ def match_bbox_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.bbox_join(points, probes).select("pid", "qid")
 
 
+@query("SELECT p.vec_id AS pid, q.vec_id AS qid FROM (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS lng FROM embeddings) p JOIN (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS lat, CAST(embedding[2] AS DOUBLE) AS lng FROM embeddings) q ON abs(p.lat - q.lat) <= 1/69.0 AND abs(p.lng - q.lng) <= (1/69.0) / cos(radians(p.lat))")
+def match_bbox_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row is a point and a probe."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding")[0].cast("double").alias("lat"), F.col("embedding")[1].cast("double").alias("lng"))
+    return J.bbox_join(e.toDF("pid", "plat", "plng"), e.toDF("qid", "qlat", "qlng")).select("pid", "qid")
+
+
 @query("SELECT o_orderkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey")
 def lookup_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1, J2, J11, J12."""
