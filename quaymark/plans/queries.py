@@ -19,6 +19,7 @@ from ..operators import aggregate as A
 from ..operators import joins as J
 from ..operators import merge as M
 from ..operators import ranking as R
+from ..operators import vector as V
 from ..session import ship
 from . import monitor
 
@@ -432,6 +433,15 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("vec_id", N.nudged_round(dot("v", "q") / F.sqrt(dot("v", "v") * dot("q", "q")), 6).alias("cosine")).orderBy(F.desc("cosine"), "vec_id").limit(10)
 
 
+@query("SELECT query_id, vec_id, cosine, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS place FROM (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))+1e-9,6) AS cosine FROM embeddings e, embeddings q WHERE e.label <> 3 AND q.vec_id % 100 = 0)) WHERE place <= 10")
+def vector_topk_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: every id divisible by 100 is a query, with the filter and the ten places of ``vector_topk``."""
+    ship(spark)
+    e = table(spark, sf_dir, "embeddings")
+    found = V.nearest_vectors(e.where("vec_id % 100 = 0"), e.where("label <> 3"), 10)
+    return R.top_per_key(found, ["query_id"], [F.desc("cosine"), F.col("vec_id")], 10)
+
+
 @query("SELECT doc_id, concat(substr(sha256(concat(source, '|', lang)), 1, 16), '_', lpad(CAST(doc_id % 10000 AS VARCHAR), 4, '0')) AS chunk_id FROM documents")
 def doc_chunk_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X20."""
