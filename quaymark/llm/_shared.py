@@ -2,50 +2,59 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager, suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
 
-#: Rows in an Arrow batch sent to Python: texts can be long, so batches stay small.
-ARROW_ROWS = 512
+#: Rows and bytes in an Arrow batch sent to Python: texts can be long, so batches stay small.
+ARROW_ROWS, ARROW_BYTES = 512, "4m"
+#: Files of a staged table for each core of the cluster.
+FILES_A_CORE = 3
 
 
-def prepare(spark: SparkSession) -> SparkSession:
-    """Ship the package to the executors and keep Arrow batches small enough for very long texts."""
+def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> SparkSession:
+    """Ship the package to the executors and bound the Arrow batches of the session's queries."""
     ship(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; a local one is set only where none is named (tests)."""
+    """The folder that the cluster shares.  A local one does only where everything runs in one process (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        base = "file://" + os.path.join(tempfile.gettempdir(), "quaymark-shared")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+    return "file://" + os.path.join(tempfile.gettempdir(), "quaymark-shared")
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quaymark/{uuid.uuid4().hex}/{name}"
 
 
+def few_files(df: DataFrame) -> DataFrame:
+    """The rows in no more partitions than a few for each core: a table of many small files is slow to write and to read."""
+    return df.coalesce(FILES_A_CORE * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = new_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    few_files(df).write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out
@@ -99,14 +108,83 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+class Lexicon:
+    """What is known of words, as arrays: ``columns`` hold what ``describe`` tells of each.
+
+    A bounded number of words is remembered; those met longest ago are forgotten first.
+    """
+
+    def __init__(self, describe: Callable[[pa.Array], tuple[np.ndarray, ...]], entries: int):
+        self.describe, self.entries, self.tick = describe, entries, 0
+        self.words = pa.array([], pa.string())
+        self.columns = describe(self.words)
+        self.used = np.zeros(0, np.int32)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words are remembered; unknown ones are described."""
+        self.tick += 1
+        if len(self.words) > self.entries:
+            keep = self.used > np.median(self.used)
+            self.words, self.used = self.words.filter(pa.array(keep)), self.used[keep]
+            self.columns = tuple(c[keep] for c in self.columns)
+        found = pc.index_in(self.words, value_set=words).fill_null(-1).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(found >= 0)
+        place = np.full(len(words), -1, np.int64)
+        place[found[known]] = known
+        unknown = np.flatnonzero(place < 0)
+        if len(unknown):
+            place[unknown] = len(self.words) + np.arange(len(unknown))
+            new = words.take(pa.array(unknown))
+            self.words = pa.concat_arrays([self.words, new])
+            self.columns = tuple(np.concatenate(x) for x in zip(self.columns, self.describe(new), strict=True))
+            self.used = np.concatenate([self.used, np.zeros(len(unknown), np.int32)])
+        self.used[place] = self.tick
+        return place
+
+
+def split_words(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts between white space, and where each text's words stop."""
+    cut = pc.utf8_split_whitespace(pa.array(texts, pa.large_string()))
+    flat = cut.flatten()
+    some = pc.not_equal(flat, "").to_numpy(zero_copy_only=False)
+    stops = np.r_[0, np.cumsum(some)][np.cumsum(cut.value_lengths().to_numpy())]
+    return flat if some.all() else flat.filter(pa.array(some)), stops
+
+
 _CACHES: dict[str, object] = {}
 
 
 def worker_cache(name: str, make):
     """What a Python worker remembers between tasks: of one operator at a time, as workers serve many."""
     if name not in _CACHES:
-        if _CACHES:
-            _CACHES.clear()
-            gc.collect()
+        keep_caches("")
         _CACHES[name] = make()
     return _CACHES[name]
+
+
+def keep_caches(kind: str) -> None:
+    """Forget what other kinds of operators have left in this worker."""
+    others = [n for n in _CACHES if not kind or not n.startswith(kind)]
+    for n in others:
+        del _CACHES[n]
+    if others:
+        trim()
+
+
+def trim() -> None:
+    """Give memory that is no longer used back to the system: workers stay alive between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # only where the C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, caches: str = "") -> DataFrame:
+    """``mapInArrow`` whose workers keep no memory after a task but caches of the kind ``caches``."""
+
+    def bounded(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep_caches(caches)
+        yield from run(parts)
+        trim()
+
+    return df.mapInArrow(bounded, schema)

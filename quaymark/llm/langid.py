@@ -20,17 +20,20 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, prepare, texts_of
+from ._shared import batches, doc_columns, map_arrow, prepare, texts_of
 
 BUCKET_BITS = 15
 ORDERS = (1, 2, 3)
 MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 UNKNOWN = "und"
+#: Labels beyond this number are not languages: training refuses them.
+MOST_LANGUAGES = 1000
+#: Code points scored together; a longer text is scored in pieces cut at white space.
+PIECE = 1 << 18
 _LETTERS: list[np.ndarray] = []
 
 
@@ -68,6 +71,26 @@ def grams(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.nda
     return out, n_letters
 
 
+def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Groups of texts of bounded size, with their places; of a very long text, one piece after another."""
+    owner: list[int] = []
+    part: list[str] = []
+    size = 0
+    for i, t in enumerate(texts):
+        while len(t) > PIECE:
+            at = t.find(" ", PIECE)
+            yield [i], [t[:at] if at >= 0 else t]
+            t = t[at:] if at >= 0 else ""
+        if part and size + len(t) > PIECE:
+            yield owner, part
+            owner, part, size = [], [], 0
+        owner.append(i)
+        part.append(t)
+        size += len(t)
+    if part:
+        yield owner, part
+
+
 @dataclass
 class Model:
     languages: list[str]
@@ -77,8 +100,21 @@ class Model:
     def score(self, texts: list[str]) -> tuple[list[str], list[float]]:
         if not self.languages or not texts:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        found, n_letters = grams(texts)
         total = np.tile(self.prior.astype(np.float64), (len(texts), 1))
+        n_letters = np.zeros(len(texts), np.int64)
+        for owner, part in pieces(texts):
+            sums, letters_here = self.sums(part)
+            np.add.at(total, owner, sums)
+            np.add.at(n_letters, owner, letters_here)
+        best = total.argmax(1)
+        share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+        known = n_letters > 0
+        return [self.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, share, 0.0).tolist()
+
+    def sums(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The summed weights of each text's n-grams, and its letters."""
+        found, n_letters = grams(texts)
+        total = np.zeros((len(texts), len(self.languages)))
         for bucket, span in found:
             if not len(bucket):
                 continue
@@ -91,10 +127,7 @@ class Model:
                 sums = np.add.reduceat(rows, (part - low).ravel(), axis=0, dtype=np.float64)[::2]
                 sums[part[:, 0] >= part[:, 1]] = 0
                 total[i : i + 64] += sums
-        best = total.argmax(1)
-        share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
-        known = n_letters > 0
-        return [self.languages[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist(), strict=True)], np.where(known, share, 0.0).tolist()
+        return total, n_letters
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -107,6 +140,8 @@ def train(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.
     rows = doc_columns(labelled, "doc_id", "text", "lang").where("lang is not null and doc_id is not null")
     # One row a language: bounded by the label set.
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"{len(sizes)} languages: the model is made for up to {MOST_LANGUAGES}")
     languages = sorted(sizes)
     place = {x: i for i, x in enumerate(languages)}
     if not languages:
@@ -117,20 +152,21 @@ def train(labelled: DataFrame, per_language: int = 20_000, smoothing: float = 0.
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(len(languages) << BUCKET_BITS, np.int64)
         for b in batches(parts):
-            found, _ = grams(texts_of(b.column("text")))
-            lang = np.array([place[x] for x in b.column("lang").to_pylist()], np.int64)
-            for bucket, span in found:
-                width = span[:, 1] - span[:, 0]
-                inside = np.zeros(len(bucket) + 1, np.int64)
-                np.add.at(inside, span[:, 0], 1)
-                np.add.at(inside, span[:, 1], -1)
-                inside = np.cumsum(inside[:-1]) > 0
-                table += np.bincount((np.repeat(lang, width) << BUCKET_BITS) + bucket[inside], minlength=len(table))
+            langs = np.array([place[x] for x in b.column("lang").to_pylist()], np.int64)
+            for owner, part in pieces(texts_of(b.column("text"))):
+                lang = langs[owner]
+                for bucket, span in grams(part)[0]:
+                    width = span[:, 1] - span[:, 0]
+                    inside = np.zeros(len(bucket) + 1, np.int64)
+                    np.add.at(inside, span[:, 0], 1)
+                    np.add.at(inside, span[:, 1], -1)
+                    inside = np.cumsum(inside[:-1]) > 0
+                    table += np.bincount((np.repeat(lang, width) << BUCKET_BITS) + bucket[inside], minlength=len(table))
         at = np.flatnonzero(table)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["cell", "n"])
 
-    cells = rows.select("text", "lang").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    cells = map_arrow(rows.select("text", "lang"), count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(len(languages) << BUCKET_BITS)
     table[cells.column("cell").to_numpy()] = cells.column("n").to_numpy()
     table = table.reshape(len(languages), -1) + smoothing
@@ -151,7 +187,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
             lang, score = shared.value.score(texts_of(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("held_out"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
+    return map_arrow(rows, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def identify(documents: DataFrame, per_language: int = 20_000) -> DataFrame:
@@ -164,9 +200,9 @@ def select_recognised(documents: DataFrame, model: Model, least_share: float) ->
     spark = prepare(documents.sparkSession)
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def recognised(text: pd.Series) -> pd.Series:
-        lang, score = shared.value.score([t or "" for t in text])
-        return pd.Series([k != UNKNOWN and s >= least_share for k, s in zip(lang, score, strict=True)], dtype=bool)
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(parts):
+            lang, score = shared.value.score(texts_of(b.column("text")))
+            yield b.filter(pa.array([k != UNKNOWN and s >= least_share for k, s in zip(lang, score, strict=True)], pa.bool_()))
 
-    return documents.where(recognised("text"))
+    return map_arrow(documents, run, documents.schema)

@@ -1,25 +1,26 @@
 """Operator 9 — order-preserving packing by dynamic programming.
 
 The documents of a range of doc_id, in order, form one stream of ids.  Cuts may fall at the ends of
-documents, sentences and words; the cost of a packing is its padding plus a penalty for each cut
-inside a document, smaller at a sentence's end.  With cut positions x0 < x1 < ... the best cost to
-reach xj is the least of cost(xi) + pad * (capacity - (xj - xi)) + penalty(xj) over the window
-xj - xi <= capacity.  Padding is linear in xi, so a queue that is kept monotone in
-cost(xi) + pad * xi gives every minimum in constant time.  Sequences whose length is a power of two
-are not padded; those few predecessors are looked at one by one.
+documents and sentences, and at word ends where a sentence is long; the cost of a packing is its
+padding plus a penalty for each cut inside a document, smaller at a sentence's end.  With cut positions
+x0 < x1 < ... the best cost to reach xj is the least of
+cost(xi) + pad * (capacity - (xj - xi)) + penalty(xj) over the window xj - xi <= capacity.  Padding is
+linear in xi, so a queue that is kept monotone in cost(xi) + pad * xi gives every minimum in constant
+time.  Sequences whose length is a power of two are not padded; those few predecessors are found for
+all positions at once and looked at one by one.
 
 A range is planned in blocks of a bounded number of ids: every sequence of a block but the last is
 final, and the last one's ids open the next block.  Sequences are numbered by range and within it.
 
 Defined cases: null text counts as empty (its end id only); rows of equal doc_id are ordered by
-text; ranges end with one padded sequence each; extra columns are ignored; an empty table gives no
-rows; texts and single words longer than a sequence are cut wherever the capacity falls.
+text, null doc_id first; repeated rows are packed each; ranges end with one padded sequence each;
+extra columns are ignored; an empty table gives no rows; texts and single words longer than a
+sequence are cut wherever the capacity falls.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections import deque
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,16 +28,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, prepare, texts_of
-from .wordids import CACHE_ENTRIES, chunk_encoder
+from ._shared import batches, doc_columns, map_arrow, prepare, texts_of
+from .wordids import CACHE_ENTRIES, chunk_encoder, with_ends
 
 #: Ids planned together, and costs in units of one padded id.
 BLOCK_IDS = 1 << 18
 SENTENCE_CUT, WORD_CUT = 2.0, 40.0
 RANGE_BITS = 40
 ENDS = (".", "!", "?")
-#: Word ends are cut positions only at every so many ids.
-WORD_STEP = 32
+#: One sentence end in every SPACING ids is a candidate; where there is none in STRETCH ids, so are word ends.
+SPACING, STRETCH = 16, 64
+#: Texts of an Arrow batch.
+ROWS = 2048
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
 def plan(positions: np.ndarray, penalties: np.ndarray, capacity: int) -> tuple[list[int], float]:
@@ -44,29 +48,35 @@ def plan(positions: np.ndarray, penalties: np.ndarray, capacity: int) -> tuple[l
 
     The last position is always a cut.  Returns the chosen indexes after 0 and the total cost.
     """
+    n = len(positions)
+    at, before = [], []  # position at[k] lies a power of two after position before[k]
+    for p in (1 << k for k in range(capacity.bit_length()) if 1 << k <= capacity):
+        found = np.minimum(np.searchsorted(positions, positions - p), n - 1)
+        hit = np.flatnonzero(positions[found] == positions - p)
+        at.append(hit)
+        before.append(found[hit])
+    order = np.argsort(np.concatenate(at), kind="stable")
+    first = np.searchsorted(np.concatenate(at)[order], np.arange(n + 1)).tolist()
+    whole = np.concatenate(before)[order].tolist()
     x, cost_of_cut = positions.tolist(), penalties.tolist()
-    n = len(x)
     best, back = [0.0] * n, [0] * n
-    queue: deque[int] = deque()
-    powers = [1 << k for k in range(capacity.bit_length()) if 1 << k <= capacity]
-    place = {p: i for i, p in enumerate(x)}
-    find = place.get
+    queue, values, head = [0], [0.0], 0  # places still worth while, and their best + x, which rises
     for j in range(1, n):
-        entering = best[j - 1] + x[j - 1]
-        while queue and best[queue[-1]] + x[queue[-1]] >= entering:
+        least = x[j] - capacity
+        while x[queue[head]] < least:
+            head += 1
+        i, low = queue[head], values[head] - least
+        if first[j] < first[j + 1]:
+            for k in whole[first[j] : first[j + 1]]:
+                if best[k] < low:
+                    i, low = k, best[k]
+        best[j], back[j] = low, i = low + cost_of_cut[j], i
+        low += x[j]
+        while len(values) > head and values[-1] >= low:
+            values.pop()
             queue.pop()
-        queue.append(j - 1)
-        at = x[j]
-        while at - x[queue[0]] > capacity:
-            queue.popleft()
-        i = queue[0]
-        low = best[i] + capacity - at + x[i]
-        if low > 0.0 and at - x[i] != capacity:
-            for p in powers:
-                k = find(at - p)
-                if k is not None and best[k] < low:
-                    low, i = best[k], k
-        best[j], back[j] = low + cost_of_cut[j], i
+        values.append(low)
+        queue.append(j)
     cuts, j = [], n - 1
     while j > 0:
         cuts.append(j)
@@ -74,81 +84,92 @@ def plan(positions: np.ndarray, penalties: np.ndarray, capacity: int) -> tuple[l
     return cuts[::-1], best[-1]
 
 
+def cut_kinds(vocabulary: dict[str, int]) -> np.ndarray:
+    """What ends after each id: 2 a sentence, 1 a word, 0 neither."""
+    kind = np.zeros(max(vocabulary.values(), default=0) + 1, np.uint8)
+    for token, i in vocabulary.items():
+        if token.endswith("</w>"):
+            kind[i] = 2 if token.removesuffix("</w>").endswith(ENDS) else 1
+    return kind
+
+
+def spaced(positions: np.ndarray) -> np.ndarray:
+    """The first of the positions in every SPACING ids."""
+    return positions[np.diff(positions // SPACING, prepend=-1) > 0]
+
+
+def candidates(kinds: np.ndarray, stops: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cut positions in a stream of ids, 0 first, and their penalties; the documents' ends are free.
+
+    ``kinds`` says what ends after each id; no document is cut right before its end id.
+    """
+    end = np.zeros(len(kinds) + 2, bool)
+    end[stops] = True
+    inner = np.flatnonzero(kinds) + 1
+    inner = inner[~(end[inner] | end[inner + 1])]
+    sentence = kinds[inner - 1] == 2
+    chosen = end[:-1].copy()
+    chosen[spaced(inner[sentence])] = True
+    at = np.flatnonzero(chosen)
+    gaps = np.diff(at, prepend=0)
+    if (gaps > STRETCH).any():
+        words = inner[~sentence]
+        chosen[spaced(words[gaps[np.searchsorted(at, words)] > STRETCH])] = True
+        at = np.flatnonzero(chosen)
+    at = np.r_[0, at]
+    wide = np.flatnonzero(np.diff(at) > capacity)
+    if len(wide):  # a stretch without a boundary: cuts where the capacity falls
+        hard = np.concatenate([np.arange(at[i] + capacity, at[i + 1], capacity) for i in wide.tolist()])
+        chosen[np.r_[0, hard]] = True
+        at = np.flatnonzero(chosen)
+    kind = np.r_[np.uint8(0), kinds][at]
+    cost = np.where(kind == 2, SENTENCE_CUT, np.where(kind == 1, WORD_CUT, 2 * WORD_CUT))
+    cost[end[at]] = 0.0
+    return at, cost
+
+
 class Stream:
     """The pending ids of a range: documents' pieces not yet assigned to a final sequence."""
 
-    def __init__(self, capacity: int):
-        self.capacity = capacity
-        self.parts: list[tuple[object, int, int, bytes]] = []  # doc_id, start, doc_tokens, ids
-        self.ends: list[np.ndarray] = []
-        self.penalties: list[np.ndarray] = []
-        self.size = 0
-        self.sequence = 0
-
-    def add(self, doc_id: object, ids: bytes, ends: np.ndarray, penalties: np.ndarray) -> None:
-        n = len(ids) // 4
-        self.parts.append((doc_id, 0, n, ids))
-        self.ends.append(ends + self.size)
-        self.penalties.append(penalties)
-        self.size += n
-
-    def flush(self, final: bool) -> list[tuple]:
-        if not self.size:
-            return []
-        at = np.concatenate([[0], *self.ends]).astype(np.int64)
-        cost = np.concatenate([[0.0], *self.penalties])
-        at, keep = np.unique(at, return_index=True)
-        cost = cost[keep]
-        gaps = np.diff(at)
-        wide = np.flatnonzero(gaps > self.capacity)
-        if len(wide):  # a stretch without a boundary: cuts where the capacity falls
-            extra = np.concatenate([np.arange(at[i] + self.capacity, at[i + 1], self.capacity) for i in wide.tolist()])
-            at, cost = np.r_[at, extra], np.r_[cost, np.full(len(extra), 2 * WORD_CUT)]
-            order = np.argsort(at, kind="stable")
-            at, cost = at[order], cost[order]
-        cuts, _ = plan(at, cost, self.capacity)
-        if not final:
-            cuts = cuts[:-1]
-        stops = at[cuts].tolist()
-        out, doc, used, begin = [], 0, 0, 0
-        for stop in stops:
-            offset = 0
-            while begin < stop:
-                doc_id, start, total, ids = self.parts[doc]
-                take = min(len(ids) // 4 - used, stop - begin)
-                piece = ids[4 * used : 4 * (used + take)]
-                out.append((doc_id, start + used, take, zlib.crc32(piece), total, self.sequence, offset))
-                begin, offset, used = begin + take, offset + take, used + take
-                if 4 * used == len(ids):
-                    doc, used = doc + 1, 0
-            self.sequence += 1
-        rest = self.parts[doc:]
-        if rest and used:
-            doc_id, start, total, ids = rest[0]
-            rest[0] = (doc_id, start + used, total, ids[4 * used :])
-        keep = at > begin
-        self.parts, self.size = rest, self.size - begin
-        self.ends, self.penalties = [at[keep] - begin], [cost[keep]]
-        return out
-
-
-def cut_costs(vocabulary: dict[str, int]) -> np.ndarray:
-    """The penalty of a cut after each id: small after a sentence, larger after a word, none allowed (inf) within a word."""
-    cost = np.full(max(vocabulary.values(), default=0) + 1, np.inf)
-    for token, i in vocabulary.items():
-        if token.endswith("</w>"):
-            cost[i] = SENTENCE_CUT if token.removesuffix("</w>").endswith(ENDS) else WORD_CUT
-    return cost
+    def __init__(self, capacity: int, kinds: np.ndarray):
+        self.capacity, self.kinds = capacity, kinds
+        self.ids: list[np.ndarray] = []
+        self.docs: list[np.ndarray] = []  # rows of doc_id, whether it is null, ids of the document, and its stop
+        self.size = self.sequence = 0
+        self.done = 0  # ids of the first pending document that are in final sequences
 
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, stops: np.ndarray) -> None:
+        known = doc_ids.cast(pa.int64()).fill_null(0).to_numpy()
+        self.docs.append(np.stack([known, doc_ids.is_null().to_numpy(zero_copy_only=False), np.diff(stops, prepend=0), self.size + stops]))
+        self.ids.append(ids)
+        self.size += len(ids)
 
-def boundaries(costs: np.ndarray, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Cut positions within a document's ids and their penalties; the document's end is free."""
-    cost = costs[np.frombuffer(ids, "<u4")]
-    at = np.flatnonzero(cost < np.inf)
-    # All sentence ends; of the word ends, only some: they matter where a sentence outgrows a sequence.
-    at = at[(cost[at] == SENTENCE_CUT) | (at % WORD_STEP == 0)]
-    at = at[at < len(cost) - 1]
-    return np.r_[at + 1, len(cost)], np.r_[cost[at], 0.0]
+    def flush(self, final: bool, base: int) -> pa.RecordBatch | None:
+        if not self.size:
+            return None
+        ids, docs = np.concatenate(self.ids), np.concatenate(self.docs, 1)
+        stops = docs[3]
+        at, cost = candidates(self.kinds[ids], stops, self.capacity)
+        cuts, _ = plan(at, cost, self.capacity)
+        ends = at[cuts if final else cuts[:-1]]
+        if not len(ends):
+            self.ids, self.docs = [ids], [docs]
+            return None
+        last = ends[-1]
+        edges = np.unique(np.r_[stops[stops < last], ends])
+        begin = np.r_[0, edges[:-1]]
+        doc, sequence = np.searchsorted(stops, begin, "right"), np.searchsorted(ends, begin, "right")
+        start = begin - np.r_[0, stops][doc] + np.where(doc == 0, self.done, 0)
+        view = memoryview(ids).cast("B")
+        crc = [zlib.crc32(view[4 * i : 4 * j]) for i, j in zip(begin.tolist(), edges.tolist(), strict=True)]
+        columns = [pa.array(docs[0][doc], mask=docs[1][doc] > 0), *map(pa.array, (start, edges - begin, np.array(crc, np.int64), docs[2][doc], base + self.sequence + sequence, begin - np.r_[0, ends][sequence]))]
+        rest = int(np.searchsorted(stops, last, "right"))
+        self.done = int(last - np.r_[0, stops][rest] + (self.done if rest == 0 else 0)) if rest < len(stops) else 0
+        docs = docs[:, rest:].copy()
+        docs[3] -= last
+        self.ids, self.docs, self.size = [ids[last:].copy()], [docs], self.size - int(last)
+        self.sequence += len(ends)
+        return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
 
 def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, remembered: int = CACHE_ENTRIES) -> DataFrame:
@@ -156,28 +177,18 @@ def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: i
 
     ``remembered`` bounds the words that a Python worker keeps; it changes memory and speed, not results.
     """
-    prepare(documents.sparkSession)
-    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+    prepare(documents.sparkSession, ROWS)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, stream, base = chunk_encoder(tokenizer_path, remembered), Stream(capacity), 0
-        end, costs = np.array([end_id], "<u4").tobytes(), cut_costs(encoder.tokenizer.get_vocab())
-
-        def out(pieces: list[tuple]) -> pa.RecordBatch:
-            columns = [list(c) for c in zip(*pieces, strict=True)]
-            columns[5] = [base + s for s in columns[5]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
-
+        encoder, base = chunk_encoder(tokenizer_path, remembered), 0
+        stream = Stream(capacity, cut_kinds(encoder.vocabulary))
         for b in batches(rows):
             base = b.column("part")[0].as_py() << RANGE_BITS
-            texts = texts_of(b.column("text"))
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(texts), strict=True):
-                ids += end
-                stream.add(doc_id, ids, *boundaries(costs, ids))
-                if stream.size >= BLOCK_IDS and (pieces := stream.flush(False)):
-                    yield out(pieces)
-        if pieces := stream.flush(True):
-            yield out(pieces)
+            stream.add(b.column("doc_id"), *with_ends(*encoder.encode(texts_of(b.column("text"))), end_id))
+            if stream.size >= BLOCK_IDS and (pieces := stream.flush(False, base)):
+                yield pieces
+        if pieces := stream.flush(True, base):
+            yield pieces
 
     dealt = doc_columns(documents, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return dealt.withColumn("part", F.spark_partition_id()).mapInArrow(run, ", ".join(f"{n} long" for n in names))
+    return map_arrow(dealt.withColumn("part", F.spark_partition_id()), run, ", ".join(f"{n} long" for n in NAMES), "chunks")

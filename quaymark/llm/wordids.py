@@ -4,12 +4,16 @@ The vocabulary's normaliser turns white space into one space and its pre-tokeniz
 token reaches across a space or a line feed.  A text is therefore cut at those two characters, the
 library encodes each distinct chunk once, and a text's ids are its chunks' ids one after another —
 the ids that the library gives for the whole text.
+
+Chunks and ids are kept in Arrow and numpy arrays, never as one Python object a chunk: a remembered
+chunk takes some 30 bytes, and a batch is looked up, learnt and gathered as a whole.
+
+Defined cases: the empty text has no ids; equal texts have equal ids; nothing is cut or capped.
 """
 
 from __future__ import annotations
 
 import os
-from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +21,16 @@ import pyarrow.compute as pc
 
 from ._shared import worker_cache
 
-#: Distinct chunks in each of the two generations that a Python worker remembers.
-CACHE_ENTRIES = 300_000
+#: Distinct chunks that a Python worker remembers.
+CACHE_ENTRIES = 400_000
 MARK = "\x01"
 #: Chunks of one library call.
 GROUP = 2000
 PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
+#: Words that no normaliser changes and that are one pre-token each.
+WORD = "^[a-zß-öø-ÿ]+$"
+#: ASCII signs after a Latin letter are always tokens of their own.
+SIGNED = r"^(?P<stem>.*[a-zA-ZÀ-ÖØ-öø-ÿ])(?P<tail>[!-/:-@\[-`{-~]+)$"
 
 
 class ChunkEncoder:
@@ -30,7 +38,7 @@ class ChunkEncoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import json
 
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -42,100 +50,115 @@ class ChunkEncoder:
         if not suffix:
             raise ValueError("this vocabulary does not tell the last token of a word")
         self.tokenizer = Tokenizer.from_file(path)
-        self.entries = entries
-        self.cache: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        # Lower-case Latin-1 words need no normaliser and are one pre-token each: the same model without those steps.
-        from tokenizers import pre_tokenizers
-
-        self.letters = Tokenizer.from_file(path)
-        self.letters.normalizer = None
+        # The same model without the steps that plain words do not need.
+        self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        vocab = self.tokenizer.get_vocab()
-        self.closing = np.zeros(max(vocab.values()) + 1, bool)
-        self.closing[[i for token, i in vocab.items() if token.endswith(suffix)]] = True
-
-    def learn(self, missing: set[str]) -> None:
-        """Encode chunks that the younger generation lacks."""
-        if len(self.cache) + len(missing) > self.entries:
-            self.older, self.cache = self.cache, {"": b""}
-        kept = missing & self.older.keys()
-        self.cache.update(zip(kept, map(self.older.__getitem__, kept)))
-        missing -= kept
-        signed = [c for c in missing if not c.isalpha()]
-        stems = list(map(self.stem, signed))
-        self.library(missing.difference(signed).union(stems) - self.cache.keys())
-        get, tails = self.cache.__getitem__, {"": b""}
-        for c, stem in zip(signed, stems, strict=True):
-            if len(c) > len(stem):
-                tail = c[len(stem) :]
-                if tail not in tails:
-                    self.library({tail})
-                    tails[tail] = get(tail)
-                self.cache[c] = get(stem) + tails[tail]
-
-    @staticmethod
-    def stem(chunk: str) -> str:
-        """The chunk without the ASCII signs after its last Latin letter: they are always tokens of their own."""
-        stem = chunk.rstrip(punctuation)
-        return stem if stem and stem[-1] <= "\u024f" and stem[-1].lower().isalpha() and "<|" not in chunk else chunk
-
-    def library(self, chunks: set[str]) -> None:
-        """One call for many chunks.  Words of one pre-token each end with the only token that closes a word;
-        between other chunks stands a marked character, a token of its own."""
-        plain = [c for c in chunks if c.isalpha() and c.islower() and (c.isascii() or max(c) < "\u0100")]
-        for i in range(0, len(plain), GROUP):
-            part = plain[i : i + GROUP]
-            ids = self.ids_of(self.letters, " ".join(part))
-            self.remember(part, ids, np.flatnonzero(self.closing[ids]) + 1, 0)
-        if len(plain) == len(chunks):
-            return
-        others = chunks.difference(plain)
-        usual = [c for c in others if MARK not in c] if len(self.mark) == 1 else []
-        for i in range(0, len(usual), GROUP):
-            part = usual[i : i + GROUP]
-            ids = self.ids_of(self.tokenizer, f" {MARK} ".join(part))
-            self.remember(part, ids, np.r_[np.flatnonzero(ids == self.mark[0]), len(ids)], 1)
-        rest = list(others.difference(usual))
-        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else []
-        self.cache.update((c, np.array(e.ids, "<u4").tobytes()) for c, e in zip(rest, found, strict=True))
-
-    @staticmethod
-    def ids_of(tokenizer, text: str) -> np.ndarray:
-        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-
-    def remember(self, chunks: list[str], ids: np.ndarray, stops: np.ndarray, gap: int) -> None:
-        """Keep each chunk's ids: they run up to its stop, and ``gap`` ids follow before the next chunk's."""
-        if len(stops) != len(chunks) or stops[-1] != len(ids):
-            raise ValueError("the vocabulary joins a chunk with its neighbours")
-        data, at = ids.tobytes(), (4 * stops).tolist()
-        self.cache.update(zip(chunks, map(data.__getitem__, map(slice, [0, *(j + 4 * gap for j in at[:-1])], at)), strict=True))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        self.vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(self.vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in self.vocabulary.items() if token.endswith(suffix)]] = True
+        self.entries, self.tick = entries, 0
+        # What is remembered: chunk k has the ids at[k] to at[k + 1] and was last met in batch used[k].
+        self.words = pa.array([""], pa.string())
+        self.at, self.ids, self.used = np.zeros(2, np.int64), np.zeros(0, "<u4"), np.zeros(1, np.int32)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and where each text's ids stop."""
         if not texts:
-            return []
-        cut = pc.split_pattern(pa.array(map(self.spaced, texts), pa.large_string()), " ")
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        self.tick += 1
+        if len(self.words) > self.entries:
+            self.forget()
+        cut = pc.split_pattern(pa.array(list(map(self.spaced, texts)), pa.large_string()), " ")
         coded = cut.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        parts = list(map(self.cache.get, chunks))
-        if None in parts:
-            unknown = [i for i, x in enumerate(parts) if x is None]
-            self.learn({chunks[i] for i in unknown})
-            get = self.cache.__getitem__
-            for i in unknown:
-                parts[i] = get(chunks[i])
-        # Each chunk's ids stand once in ``flat``; the texts' ids are gathered from there.
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        which = coded.indices.to_numpy()
-        counts = sizes[which]
+        place = self.places(coded.dictionary.cast(pa.string()))
+        self.used[place] = self.tick
+        flat, counts = self.gather(place[coded.indices.to_numpy()])
+        return flat, np.cumsum(counts)[np.cumsum(cut.value_lengths().to_numpy()) - 1]
+
+    def gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of remembered chunks one after another, and how many each has."""
+        start = self.at[place]
+        counts = self.at[place + 1] - start
         stops = np.cumsum(counts)
-        shift = (np.cumsum(sizes) - sizes)[which] - (stops - counts)
-        data = flat[np.repeat(shift, counts) + np.arange(stops[-1])].tobytes()
-        ends = (4 * stops[np.cumsum(cut.value_lengths().to_numpy()) - 1]).tolist()
-        return [data[i:j] for i, j in zip([0, *ends], ends, strict=False)]
+        shift = (start - stops + counts).astype(np.int32)
+        return self.ids[np.repeat(shift, counts) + np.arange(stops[-1] if len(stops) else 0, dtype=np.int32)], counts
+
+    def places(self, chunks: pa.Array) -> np.ndarray:
+        """Where distinct chunks are remembered; unknown ones are learnt."""
+        found = pc.index_in(self.words, value_set=chunks).fill_null(-1).to_numpy(zero_copy_only=False)
+        known = np.flatnonzero(found >= 0)
+        place = np.full(len(chunks), -1, np.int64)
+        place[found[known]] = known
+        unknown = np.flatnonzero(place < 0)
+        if len(unknown):
+            place[unknown] = self.learn(chunks.take(pa.array(unknown)))
+        return place
+
+    def learn(self, chunks: pa.Array) -> np.ndarray:
+        place = np.zeros(len(chunks), np.int64)
+        plain = pc.match_substring_regex(chunks, WORD).to_numpy(zero_copy_only=False)
+        if plain.any():
+            some = chunks.filter(pa.array(plain))
+            place[plain] = self.remember(some, *self.plain_ids(some))
+        if plain.all():
+            return place
+        others, at = chunks.filter(pa.array(~plain)), np.flatnonzero(~plain)
+        parts = pc.extract_regex(others, SIGNED)
+        signed = parts.is_valid().to_numpy(zero_copy_only=False) & ~pc.match_substring(others, "<|").to_numpy(zero_copy_only=False)
+        if not signed.all():
+            some = others.filter(pa.array(~signed))
+            place[at[~signed]] = self.remember(some, *self.other_ids(some))
+        if signed.any():
+            parts = parts.filter(pa.array(signed))
+            both = pa.concat_arrays([parts.field("stem"), parts.field("tail")]).dictionary_encode()
+            known = self.places(both.dictionary)[both.indices.to_numpy()]
+            flat, counts = self.gather(known.reshape(2, -1).T.ravel())
+            place[at[signed]] = self.remember(others.filter(pa.array(signed)), flat, counts.reshape(-1, 2).sum(1))
+        return place
+
+    def remember(self, chunks: pa.Array, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        base = len(self.words)
+        self.words = pa.concat_arrays([self.words, chunks])
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(counts)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.used = np.concatenate([self.used, np.full(len(chunks), self.tick, np.int32)])
+        return np.arange(base, len(self.words))
+
+    def forget(self) -> None:
+        """Keep the chunks met most recently, about half of them; the empty one stays first."""
+        keep = self.used > np.median(self.used)
+        keep[0] = True
+        kept = np.flatnonzero(keep)
+        self.ids, counts = self.gather(kept)
+        self.words, self.at, self.used = self.words.take(pa.array(kept)), np.r_[0, np.cumsum(counts)], self.used[kept]
+
+    def plain_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Words of one pre-token each: only their last token closes a word."""
+        ids = self.joined_ids(self.letters, chunks, " ", np.zeros(0, "<u4"))
+        stops = np.flatnonzero(self.closing[ids]) + 1
+        if len(stops) != len(chunks) or stops[-1] != len(ids):
+            raise ValueError("the vocabulary joins a chunk with its neighbours")
+        return ids, np.diff(stops, prepend=0)
+
+    def other_ids(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Between any other chunks stands a marked character, a token of its own."""
+        if len(self.mark) != 1 or pc.any(pc.match_substring(chunks, MARK)).as_py():
+            found = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(chunks.to_pylist(), add_special_tokens=False)]
+            return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+        ids = self.joined_ids(self.tokenizer, chunks, f" {MARK} ", np.array(self.mark, "<u4"))
+        stops = np.flatnonzero(ids == self.mark[0])
+        if len(stops) != len(chunks):
+            raise ValueError("the vocabulary joins a chunk with its neighbours")
+        return ids[ids != self.mark[0]], np.diff(stops, prepend=-1) - 1
+
+    @staticmethod
+    def joined_ids(tokenizer, chunks: pa.Array, between: str, after: np.ndarray) -> np.ndarray:
+        """Ids of the chunks, joined group by group for the library; ``after`` follows each group."""
+        offsets = np.unique(np.r_[np.arange(0, len(chunks), GROUP), len(chunks)]).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), chunks), between).to_pylist()
+        found = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
+        return np.concatenate([x for e in found for x in (np.array(e.ids, "<u4"), after)])
 
     @staticmethod
     def spaced(text: str) -> str:
@@ -157,5 +180,15 @@ class ChunkEncoder:
         return text.replace("\n", " ")
 
 
+def with_ends(flat: np.ndarray, stops: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` after each text's, and where each text stops then."""
+    last = stops + np.arange(len(stops))
+    out = np.full(len(flat) + len(stops), end_id, "<u4")
+    inner = np.ones(len(out), bool)
+    inner[last] = False
+    out[inner] = flat
+    return out, last + 1
+
+
 def chunk_encoder(path: str, entries: int = CACHE_ENTRIES) -> ChunkEncoder:
     return worker_cache(f"chunks {entries} {path}", lambda: ChunkEncoder(path, entries))

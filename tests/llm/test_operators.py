@@ -10,6 +10,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("quaymark.llm")
 from quaymark.llm import components, decontaminate, htmlwrap, jaccard, langid, media, packing, pii, quality, queries, tokencount, tokenstore, wordids  # noqa: E402
@@ -41,19 +42,30 @@ def test_token_counts_equal_library():
     assert tokencount.PieceModel(path).count(texts) == [len(x) for x in sentencepiece.SentencePieceProcessor(model_file=path).encode(texts, num_threads=1)]
 
 
+def coded_ids(path, texts, **kw):
+    """The ids of each text as bytes."""
+    flat, stops = wordids.ChunkEncoder(path, **kw).encode(texts)
+    return [x.tobytes() for x in np.split(flat, stops[:-1])] if texts else []
+
+
 def test_chunk_ids_equal_library():
     tokenizers = pytest.importorskip("tokenizers")
     path = queries.vocabulary("word_bpe_49k.json")
     texts = random_texts(3000) + ["plain words, one. two", "a..b", "x.,y"]
     whole = tokenizers.Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
-    assert wordids.ChunkEncoder(path).encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in whole]
+    whole = [np.array(e.ids, "<u4").tobytes() for e in whole]
+    assert coded_ids(path, texts) == whole
+    small = wordids.ChunkEncoder(path, entries=300)  # forgets again and again
+    for i in range(0, len(texts), 100):
+        flat, stops = small.encode(texts[i : i + 100])
+        assert [x.tobytes() for x in np.split(flat, stops[:-1])] == whole[i : i + 100]
 
 
 def test_token_store_round_trip(spark, documents):
     path = queries.vocabulary("word_bpe_49k.json")
     for docs in (documents, edge(spark, 8), documents.limit(0)):
         rows = sorted(((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()))
-        coded = wordids.ChunkEncoder(path).encode([t for _, t in rows])
+        coded = coded_ids(path, [t for _, t in rows])
         expected, start = [], 0
         for (i, _), x in zip(rows, coded, strict=True):
             x += b"\2\0\0\0"
@@ -217,10 +229,20 @@ def test_decontamination_finds_planted(spark, documents):
     assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(documents, bench).collect()} == expected
 
 
+def test_packing_empty_null_and_repeated(spark):
+    path = queries.vocabulary("word_bpe_49k.json")
+    rows = [(None, "no id"), (1, "twice"), (1, "twice"), (2, None), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("part", F.lit("clash"))
+    pieces = packing.pack(docs, path).collect()
+    assert sorted((str(p.doc_id), p.doc_tokens) for p in pieces) == [("1", 2), ("1", 2), ("2", 1), ("2", 1), ("None", 3)]
+    assert all(p.length == p.doc_tokens and p.start == 0 for p in pieces)
+    assert packing.pack(docs.limit(0), path).count() == 0
+
+
 def test_packing(spark, documents):
     path = queries.vocabulary("word_bpe_49k.json")
     for docs in (documents, edge(spark, 7)):
-        coded = dict(zip(*(lambda rows: ([r.doc_id for r in rows], [x + b"\2\0\0\0" for x in wordids.ChunkEncoder(path).encode([r.text or "" for r in rows])]))(docs.select("doc_id", "text").collect()), strict=True))
+        coded = dict(zip(*(lambda rows: ([r.doc_id for r in rows], [x + b"\2\0\0\0" for x in coded_ids(path, [r.text or "" for r in rows])]))(docs.select("doc_id", "text").collect()), strict=True))
         pieces = packing.pack(docs, path).collect()
         by_doc, by_sequence = defaultdict(list), defaultdict(list)
         for p in pieces:
