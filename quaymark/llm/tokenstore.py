@@ -24,9 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, new_path, prepare, texts_of
-from .wordids import chunk_encoder
+from ._shared import batches, doc_columns, map_arrow, new_path, prepare, texts_of
+from .packing import ROWS
+from .wordids import chunk_encoder, with_ends
 
+#: Files up to which their offsets are broadcast; beyond, the join is shuffled.
+BROADCAST_FILES = 200_000
 SCHEMA = "doc_id long, part int, first long, n_tokens long, ids array<int>"
 #: Bytes of a row group and a page, and rows of a page: a page holds some hundred documents.
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 512
@@ -43,21 +46,19 @@ LAYOUT = {
 
 def encode_documents(documents: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
     """Sorted, encoded documents, a partition for each future file."""
-    prepare(documents.sparkSession)
+    prepare(documents.sparkSession, ROWS)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, first = chunk_encoder(tokenizer_path), 0
-        end = np.array([end_id], "<u4").tobytes()
         for b in batches(rows):
-            coded = [x + end for x in encoder.encode(texts_of(b.column("text")))]
-            n = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-            offsets = np.r_[0, np.cumsum(n)]
-            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(np.frombuffer(b"".join(coded), "<u4").astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("part").cast(pa.int32()), pa.array(first + offsets[:-1]), pa.array(n), ids], names=["doc_id", "part", "first", "n_tokens", "ids"])
+            flat, stops = with_ends(*encoder.encode(texts_of(b.column("text"))), end_id)
+            offsets = np.r_[0, stops]
+            ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int32)))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("part").cast(pa.int32()), pa.array(first + offsets[:-1]), pa.array(np.diff(offsets)), ids], names=["doc_id", "part", "first", "n_tokens", "ids"])
             first += int(offsets[-1])
 
     dealt = doc_columns(documents, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return dealt.withColumn("part", F.spark_partition_id()).mapInArrow(run, SCHEMA)
+    return map_arrow(dealt.withColumn("part", F.spark_partition_id()), run, SCHEMA, "chunks")
 
 
 def write_token_store(documents: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:
@@ -87,9 +88,10 @@ def token_digest(store: DataFrame) -> DataFrame:
             crc = [zlib.crc32(view[4 * i : 4 * j]) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("part"), b.column("first"), pa.array(np.diff(at)), pa.array(crc, pa.int64())], names=["doc_id", "part", "first", "n_tokens", "ids_crc32"])
 
-    digest = store.select("doc_id", "part", "first", "ids").mapInArrow(run, "doc_id long, part int, first long, n_tokens long, ids_crc32 long")
-    # One row a file: a bound of files, not of documents.
-    return digest.join(F.broadcast(document_offsets(store)), "part").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    digest = map_arrow(store.select("doc_id", "part", "first", "ids"), run, "doc_id long, part int, first long, n_tokens long, ids_crc32 long")
+    offsets = document_offsets(store)  # one row a file: a bound of files, not of documents
+    few = len(store.inputFiles()) <= BROADCAST_FILES
+    return digest.join(F.broadcast(offsets) if few else offsets, "part").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def store_and_digest(documents: DataFrame, tokenizer_path: str, end_id: int = 2) -> DataFrame:
