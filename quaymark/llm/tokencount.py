@@ -3,8 +3,10 @@
 A sentencepiece BPE model merges, again and again, the adjacent pair whose joined piece has the
 best score, leftmost first.  Texts fall into pre-tokens across which no piece reaches; the distinct
 pre-tokens of a batch are held together as one ragged numpy array, and in each round every
-pre-token applies its own lowest-rank pair at once.  What survives is counted; symbols outside the
-vocabulary count their UTF-8 bytes (byte fallback).
+pre-token applies its own lowest-rank pair at once.  A pre-token of thousands of symbols would need a
+round for every rank it applies, so it is merged alone: its pairs lie in buckets by rank, and a round
+takes the lowest bucket and applies that rank at all its places at once.  What survives is counted;
+symbols outside the vocabulary count their UTF-8 bytes (byte fallback).
 
 Defined cases: null text counts as empty; the empty text has 0 tokens; null ids are kept; repeated
 rows give repeated results; extra columns are ignored; an empty table gives no rows.
@@ -12,18 +14,22 @@ rows give repeated results; extra columns are ignored; an empty table gives no r
 
 from __future__ import annotations
 
+import heapq
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ._shared import batches, doc_columns, prepare, texts_of, worker_cache
+from ._shared import batches, doc_columns, map_arrow, prepare, texts_of, worker_cache
 
 SPACE = "▁"
 #: Distinct pre-tokens in each of the two generations that a Python worker remembers.
 CACHE_ENTRIES = 400_000
 NONE = np.iinfo(np.int64).max
+#: Pre-tokens of more symbols are merged alone.
+LONG = 256
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, object]]:
@@ -106,24 +112,91 @@ class PieceModel:
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token count of each word, and whether its first symbol stayed a lone space mark."""
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        counts, lone = np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+        short = [i for i, w in enumerate(words) if len(w) <= LONG]
+        if short:
+            counts[short], lone[short] = self.merge_short([words[i] for i in short])
+        if len(short) < len(words):
+            for i in (i for i, w in enumerate(words) if len(w) > LONG):
+                counts[i], lone[i] = self.merge_long(words[i])
+        return counts, lone
+
+    def symbols(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Id of each character, -1 for unknown ones, and the tokens that it is by itself."""
+        chars = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
         distinct, where = np.unique(chars, return_inverse=True)
         table = np.array([self.ids.get(chr(c), -1) for c in distinct.tolist()], np.int64)
         cost = np.array([1 if 0 <= i < self.known else len(chr(c).encode("utf-8", "replace")) for i, c in zip(table.tolist(), distinct.tolist(), strict=True)], np.int64)
-        symbols = table[where]
+        return table[where], cost[where]
+
+    def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of each pair of symbols (NONE if they do not join), and its place in the table of joins."""
+        key = left * self.width + right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where((self.keys[at] == key) & (left >= 0) & (right >= 0), self.ranks[at], NONE), at
+
+    def merge_long(self, word: str) -> tuple[int, bool]:
+        """Count and lone mark of one word: the same merges, found by rank instead of by scanning."""
+        symbols, cost = self.symbols(word)
+        n, count = len(symbols), int(cost.sum())
+        lone = bool(symbols[0] == self.ids.get(SPACE, -2))
+        after, before, alive = np.arange(1, n + 1), np.arange(-1, n - 1), np.ones(n, bool)
+        buckets: dict[int, list[np.ndarray]] = defaultdict(list)
+        heap: list[int] = []
+
+        def put(places: np.ndarray) -> None:
+            places = places[after[places] < n]
+            rank, _ = self.pairs(symbols[places], symbols[after[places]])
+            order = np.argsort(rank, kind="stable")
+            order = order[rank[order] != NONE]
+            rank, places = rank[order], places[order]
+            starts = np.flatnonzero(np.r_[True, rank[1:] != rank[:-1]])[: len(rank)]
+            for r, group in zip(rank[starts].tolist(), np.split(places, starts[1:]), strict=len(rank) > 0):
+                if r not in buckets:
+                    heapq.heappush(heap, r)
+                buckets[r].append(group)
+
+        if len(self.keys):
+            put(np.arange(n))
+        while heap:
+            r = heapq.heappop(heap)
+            places = np.unique(np.concatenate(buckets.pop(r)))
+            places = places[alive[places] & (after[places] < n)]
+            rank, at = self.pairs(symbols[places], symbols[after[places]])
+            places, at = places[rank == r], at[rank == r]
+            if not len(places):
+                continue
+            if self.unsafe[r]:  # a better pair may come of the first merge
+                put(places[1:])
+                places, at = places[:1], at[:1]
+            run = np.r_[True, after[places[:-1]] != places[1:]]  # of pairs that overlap, every other one
+            keep = (np.arange(len(places)) - np.maximum.accumulate(np.where(run, np.arange(len(places)), 0))) % 2 == 0
+            places, at = places[keep], at[keep]
+            right = after[places]
+            symbols[places] = self.merged[at]
+            alive[right] = False
+            after[places] = after[right]
+            inner = after[places] < n
+            before[after[places[inner]]] = places[inner]
+            count -= len(places)
+            lone = lone and places[0] != 0
+            left = before[places]
+            put(np.unique(np.r_[places, left[left >= 0]]))
+        return count, lone
+
+    def merge_short(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        symbols, cost = self.symbols("".join(words))
         owner = np.repeat(np.arange(len(words)), lengths)
-        counts = np.bincount(owner, cost[where], minlength=len(words)).astype(np.int64)
+        counts = np.bincount(owner, cost, minlength=len(words)).astype(np.int64)
         lone_id = self.ids.get(SPACE, -2)
         lone = np.zeros(len(words), bool)
         if len(symbols):
             lone[owner[np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]] & (symbols == lone_id))]] = True
         while len(symbols) > 1 and len(self.keys):
             left, right = symbols[:-1], symbols[1:]
-            key = left * self.width + right
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            ok = (self.keys[at] == key) & (left >= 0) & (right >= 0) & (owner[:-1] == owner[1:])
-            rank = np.append(np.where(ok, self.ranks[at], NONE), NONE)
+            rank, at = self.pairs(left, right)
+            rank = np.append(np.where(owner[:-1] == owner[1:], rank, NONE), NONE)
             starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
             best = np.minimum.reduceat(rank, starts)
             sizes = np.diff(np.append(starts, len(owner)))
@@ -206,4 +279,4 @@ def count_tokens(documents: DataFrame, model_path: str, limit: int = 4096) -> Da
             over = pa.array([x > limit for x in n.to_pylist()], pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), size, n, over], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    return doc_columns(documents, "doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    return map_arrow(doc_columns(documents, "doc_id", "text"), run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean", "pieces")
