@@ -6,15 +6,20 @@ also gives the extent of the medium.  A medium that starts at 0 corrects the dec
 inside another one are carved.  Outermost, leftmost media win; a carved medium is not searched again
 (its container's samples are: a WAV file's data chunk may hold anything).
 
+A PDF's end is the last end mark before the next PDF header whose cross-reference table is in its place.
+
 Defined cases: null bytes give a null type and no media; empty bytes and unknown formats keep the
-declared type; truncated media are not media; equal bytes give equal results.
+declared type; truncated media are not media; equal bytes give equal results; null ids
+are kept; columns that are named like the results are replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -22,17 +27,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, prepare, stage, texts_of
+from ._shared import batches, doc_columns, map_arrow, prepare, stage, texts_of
 
 UNIT = 64
+#: Bytes given to a decompressor at a time.
+SLICE = 1 << 16
+_OGG_TABLE: list[int] = []
+
 
+#: What validators have found out about the bytes at hand, so that no stretch is searched again for each hit.
+Memo = dict
 
-def _png(d: bytes, i: int) -> int | None:
+
+def _png(d: bytes, i: int, memo: Memo) -> int | None:
     at = i + 8
+    if d[at : at + 8] != b"\0\0\0\rIHDR":
+        return None
     while at + 12 <= len(d):
         n = int.from_bytes(d[at : at + 4], "big")
         stop = at + 12 + n
-        if stop > len(d) or zlib.crc32(d[at + 4 : at + 8 + n]) != int.from_bytes(d[stop - 4 : stop], "big"):
+        if stop > len(d) or not d[at + 4 : at + 8].isalpha() or zlib.crc32(memoryview(d)[at + 4 : at + 8 + n]) != int.from_bytes(d[stop - 4 : stop], "big"):
             return None
         if d[at + 4 : at + 8] == b"IEND":
             return stop
@@ -40,7 +54,7 @@ def _png(d: bytes, i: int) -> int | None:
     return None
 
 
-def _wav(d: bytes, i: int) -> int | None:
+def _wav(d: bytes, i: int, memo: Memo) -> int | None:
     if d[i + 8 : i + 12] != b"WAVE":
         return None
     stop = i + 8 + int.from_bytes(d[i + 4 : i + 8], "little")
@@ -52,7 +66,7 @@ def _wav(d: bytes, i: int) -> int | None:
     return stop if at == stop and {b"fmt ", b"data"} <= seen else None
 
 
-def _gif(d: bytes, i: int) -> int | None:
+def _gif(d: bytes, i: int, memo: Memo) -> int | None:
     if i + 13 > len(d):
         return None
     at = i + 13 + (3 << ((d[i + 10] & 7) + 1) if d[i + 10] & 128 else 0)
@@ -79,7 +93,7 @@ def _gif(d: bytes, i: int) -> int | None:
     return None
 
 
-def _jpeg(d: bytes, i: int) -> int | None:
+def _jpeg(d: bytes, i: int, memo: Memo) -> int | None:
     at = i + 2
     while at + 4 <= len(d) and d[at] == 0xFF:
         kind = d[at + 1]
@@ -96,55 +110,99 @@ def _jpeg(d: bytes, i: int) -> int | None:
     return None
 
 
-def _bmp(d: bytes, i: int) -> int | None:
+def _bmp(d: bytes, i: int, memo: Memo) -> int | None:
     if i + 54 > len(d):
         return None
     size, zero, start, header = struct.unpack_from("<IIII", d, i + 2)
     return i + size if not zero and 54 <= start <= size <= len(d) - i and header in (40, 108, 124) else None
 
 
-def _gzip(d: bytes, i: int) -> int | None:
+def _gzip(d: bytes, i: int, memo: Memo) -> int | None:
     reader = zlib.decompressobj(31)
     try:
-        left = memoryview(d)[i:]
-        while left and not reader.eof:
-            reader.decompress(left, 1 << 20)
-            left = reader.unconsumed_tail
+        for at in range(i, len(d), SLICE):
+            left = d[at : at + SLICE]
+            stop = at + len(left)
+            while left and not reader.eof:
+                reader.decompress(left, 1 << 20)
+                left = reader.unconsumed_tail
+            if reader.eof:
+                return stop - len(reader.unused_data)
     except zlib.error:
-        return None
-    return len(d) - len(reader.unused_data) if reader.eof else None
+        pass
+    return None
 
 
-def _zip(d: bytes, i: int) -> int | None:
-    at = d.find(b"PK\x05\x06", i)
+def _zip_ends(d: bytes) -> dict[int, int]:
+    """Start and stop of every archive, from the end records: they tell where their archive starts."""
+    found: dict[int, int] = {}
+    at = d.find(b"PK\x05\x06")
     while at >= 0 and at + 22 <= len(d):
         size, offset, note = struct.unpack_from("<IIH", d, at + 12)
-        if i + offset + size == at and at + 22 + note <= len(d):
-            return at + 22 + note
+        start = at - size - offset
+        if start >= 0 and at + 22 + note <= len(d) and d[at - size : at - size + 4] in (b"PK\x01\x02", b"PK\x05\x06"):
+            found.setdefault(start, at + 22 + note)
         at = d.find(b"PK\x05\x06", at + 4)
+    return found
+
+
+def _zip(d: bytes, i: int, memo: Memo) -> int | None:
+    if "zip" not in memo:
+        memo["zip"] = _zip_ends(d)
+    return memo["zip"].get(i)
+
+
+_PDF_END = re.compile(rb"startxref\s{1,8}(\d{1,15})\s{1,8}%%EOF")
+_PDF_OBJECT = re.compile(rb"\d{1,10}\s\d{1,5}\sobj")
+
+
+def _pdf(d: bytes, i: int, memo: Memo) -> int | None:
+    """The last end mark before the next header whose cross-reference table is where it says."""
+    if "pdf" not in memo:
+        memo["pdf"] = [m.start() for m in re.finditer(b"%PDF-", d)], [(m.start(), m.end(), int(m[1])) for m in _PDF_END.finditer(d)]
+    heads, ends = memo["pdf"]
+    place = bisect_right(heads, i)
+    upto = bisect_left(ends, (heads[place] if place < len(heads) else len(d),))
+    for k in range(upto - 1, -1, -1):
+        start, stop, offset = ends[k]
+        if start < i:
+            break
+        at = i + offset
+        if at < start and (d.startswith(b"xref", at) or _PDF_OBJECT.match(d, at)):
+            return stop
     return None
 
 
-def _pdf(d: bytes, i: int) -> int | None:
-    stop = d.find(b"%%EOF", i)
-    return stop + 5 if stop >= 0 and d.find(b"startxref", i, stop) >= 0 else None
+def _ogg_crc(page: bytes) -> int:
+    if not _OGG_TABLE:
+        for k in range(256):
+            c = k << 24
+            for _ in range(8):
+                c = (c << 1 ^ 0x04C11DB7) & 0xFFFFFFFF if c >> 31 else c << 1
+            _OGG_TABLE.append(c)
+    c = 0
+    for x in page:
+        c = (c << 8 & 0xFFFFFFFF) ^ _OGG_TABLE[c >> 24 ^ x]
+    return c
 
 
-def _ogg(d: bytes, i: int) -> int | None:
-    at = i
-    while d[at : at + 4] == b"OggS" and at + 27 <= len(d):
+def _ogg(d: bytes, i: int, memo: Memo) -> int | None:
+    dead, seen, at = memo.setdefault("ogg", set()), [], i
+    while d[at : at + 4] == b"OggS" and at + 27 <= len(d) and at not in dead:
+        seen.append(at)
         n = d[at + 26]
         stop = at + 27 + n + sum(d[at + 27 : at + 27 + n])
-        if stop > len(d):
-            return None
+        if stop > len(d) or d[at + 4] or _ogg_crc(d[at : at + 22] + bytes(4) + d[at + 26 : stop]) != int.from_bytes(d[at + 22 : at + 26], "little"):
+            break
         if d[at + 5] & 4:
             return stop
         at = stop
+    dead.update(seen)
     return None
 
 
 #: Magic numbers of the formats, their media types and their validators.
-FORMATS: dict[bytes, tuple[str, Callable[[bytes, int], int | None]]] = {
+FORMATS: dict[bytes, tuple[str, Callable[[bytes, int, Memo], int | None]]] = {
     b"\x89PNG\r\n\x1a\n": ("image/png", _png),
     b"RIFF": ("audio/wav", _wav),
     b"GIF87a": ("image/gif", _gif),
@@ -174,12 +232,13 @@ def sniff(data: bytes | None, declared: str | None = None) -> tuple[str | None,
     if data is None:
         return None, []
     whole, inside, free = None, [], 0
+    memo: Memo = {}
     for last, magic in _automaton().iter(data.decode("latin-1")):
         start = last + 1 - len(magic)
         if start < free:
             continue
         kind, validate = FORMATS[magic]
-        stop = validate(data, start)
+        stop = validate(data, start, memo)
         if stop is None:
             continue
         if start == 0:
@@ -199,7 +258,7 @@ def wav(samples: bytes, rate: int = 8000) -> bytes:
 
 def wav_samples(media: bytes) -> bytes:
     """The samples of a stored medium, found by its chunks."""
-    if _wav(media, 0) != len(media):
+    if _wav(media, 0, {}) != len(media):
         raise ValueError("not a whole WAV file")
     at = 12
     while media[at : at + 4] != b"data":
@@ -221,7 +280,7 @@ def sniff_media(media: DataFrame, column: str = "media", declared: str = "declar
             carved = pa.array([[{"type": t, "start": s, "length": n} for t, s, n in c] for _, c in found], kind)
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array([t for t, _ in found], pa.string()), carved], names=[*names, "sniffed_type", "carved"])
 
-    return media.select(*[f"`{n}`" for n in names]).mapInArrow(run, fields + ", sniffed_type string, carved array<struct<type:string,start:bigint,length:bigint>>")
+    return map_arrow(media.select(*[f"`{n}`" for n in names]), run, fields + ", sniffed_type string, carved array<struct<type:string,start:bigint,length:bigint>>")
 
 
 def store_texts(documents: DataFrame) -> DataFrame:
@@ -235,7 +294,7 @@ def store_texts(documents: DataFrame) -> DataFrame:
             kinds = pa.array(["application/octet-stream"] * len(raw), pa.string())
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(map(len, raw), pa.int64()), kinds, pa.array(stored, pa.binary())], names=["doc_id", "n_bytes", "declared", "media"])
 
-    stored = doc_columns(documents, "doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, declared string, media binary")
+    stored = map_arrow(doc_columns(documents, "doc_id", "text"), run, "doc_id long, n_bytes long, declared string, media binary")
     return stage(documents.sparkSession, stored, "media")
 
 
@@ -262,7 +321,7 @@ def media_digest(documents: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "declared", "sniffed_type", "carved"]
-    read = sniffed.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, declared string, sniffed_type string, carved array<struct<type:string,start:bigint,length:bigint>>")
+    read = map_arrow(sniffed, run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, declared string, sniffed_type string, carved array<struct<type:string,start:bigint,length:bigint>>")
     spans = F.array_join(F.transform("carved", lambda c: F.concat_ws(":", c["type"], c["start"].cast("string"), c["length"].cast("string"))), ",")
     feature = F.concat(F.lit("declared="), "declared", F.lit(";type="), F.coalesce("sniffed_type", F.lit("")), F.lit(";carved="), spans)
     return read.withColumn("feature", feature).drop("declared", "sniffed_type", "carved")
