@@ -1,18 +1,26 @@
 """Operator 8 — benchmark decontamination by template canonicalisation.
 
 Words lose the punctuation around them; then numbers, names (a capital letter within a sentence) and
-units (after a number) become typed placeholders, and other words are put in lower case.  Windows of
-template tokens are hashed on both sides and joined.  Hits are laid over the benchmark item at each of
-their offsets, as a document may hold several instances of a template; every slot's value in the item
-must go with one value in the document and the other way round.  A document is contaminated by an item if its aligned windows cover enough of the
-item and its slots are consistent: copies keep their values, re-parameterised questions change them.
-
-The benchmark is a stated query set: it goes over all documents in blocks of bounded size, each
-broadcast as sorted hashes.  All texts are read whole.
+units (after a number) become typed placeholders, and other words are put in lower case.  Items with
+the same template form a class, and equal items of a class one entry.  Windows of template tokens are
+hashed on both sides and joined.  Hits are laid over the template at each of their offsets, as a
+document may hold several instances of it; every slot's value in the entry must go with one value in
+the document and the other way round.  A document is contaminated by an entry if its aligned windows
+cover enough of the template and its slots are consistent: copies keep their values,
+re-parameterised questions change them.
+
+A document and a class give a row for each entry that the document copies, and where it copies none,
+one row for the consistent entry with the fewest changed slots: rows grow with the instances in the
+documents, not with the entries that share a template.  ``entries`` tells how many those are.
+
+The benchmark is a stated query set: it goes over all documents in blocks of bounded size.  A block is
+a hash table of windows that is broadcast, so documents are joined where they lie and only hits go on.
+All texts are read whole.
 
 Defined cases: null texts and items match nothing; items shorter than a window are one window; items
-of placeholders alone match nothing; null ids are kept; repeated documents give repeated rows; extra
-columns are ignored; an empty benchmark or table gives no rows.
+of placeholders alone match nothing; null ids are kept; equal items count under their least id (null
+after all others); repeated documents give repeated rows; of offsets with equally many hits the first
+met is judged first; extra columns are ignored; an empty benchmark or table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,25 +28,28 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import repeat
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, mix64, prepare, texts_of, worker_cache
+from ._shared import Lexicon, batches, doc_columns, map_arrow, mix64, prepare, split_words, texts_of, worker_cache
 
 WIDTH = 8
 #: Template windows of a block of benchmark items: what a broadcast may hold.
 BLOCK_WINDOWS = 1 << 20
-#: Words that a worker remembers before it starts anew.
+#: Words that a worker remembers; the ones met longest ago are forgotten first.
 CACHE_ENTRIES = 400_000
+#: Code points looked at together.
+PIECE = 1 << 20
 NUMBER, NAME, UNIT = 1, 2, 3
 LOW_BITS = 20
 LOW = np.uint64((1 << LOW_BITS) - 1)
-SCHEMA = "doc_id long, item_id long, windows long, item_windows long, coverage double, slots long, changed_slots long, kind string"
+SCHEMA = "doc_id long, item_id long, windows long, item_windows long, coverage double, slots long, changed_slots long, kind string, entries long"
 
 #: Units, in lower case.
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t lb lbs oz ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years % percent usd eur gbp dollar dollars euro euros cent cents mph kmh kb mb gb tb hz khz mhz ghz w kw v a j kj cal kcal".split())
@@ -62,44 +73,45 @@ def describe(word: str) -> tuple[int, int, int, str]:
     return code, NAME if name else code, flags | (lower in UNITS), lower
 
 
-class Words:
-    """What is known of words, as arrays; a worker remembers a bounded number of them."""
+#: Words of Latin letters with ASCII signs around them: what most words are, described as whole arrays.
+_PLAIN = r"^(?P<head>[!-/:-@\[-`{-~]*)(?P<core>[a-zA-ZÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
+_NAMED = "^[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+$"
+_CLOSED = r"[.!?:][\"')\]}]*$"
 
-    def __init__(self) -> None:
-        self.place: dict[str, int] = {}
-        self.first = np.zeros(0, np.uint64)
-        self.inner = np.zeros(0, np.uint64)
-        self.flags = np.zeros(0, np.uint8)
-
-    def indexes(self, words: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
-        unknown = np.flatnonzero(at < 0)
-        if len(unknown):
-            missing = list({words[i] for i in unknown.tolist()})
-            if len(self.place) + len(missing) > CACHE_ENTRIES and self.place:
-                self.__init__()
-                return self.indexes(words)
-            found = [describe(w) for w in missing]
-            self.place.update(zip(missing, range(len(self.place), len(self.place) + len(missing)), strict=True))
-            self.first = np.r_[self.first, np.array([x[0] for x in found], np.uint64)]
-            self.inner = np.r_[self.inner, np.array([x[1] for x in found], np.uint64)]
-            self.flags = np.r_[self.flags, np.array([x[2] for x in found], np.uint8)]
-            at[unknown] = [self.place[words[i]] for i in unknown.tolist()]
-        return at
-
-
-def _words() -> Words:
-    return worker_cache("template words", Words)
-
-
-def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]]:
-    """Template tokens of all texts in one array, the number of each text, and each text's words."""
-    cut = [t.split() for t in texts]
-    flat = [w for words in cut for w in words]
+
+def describe_all(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes at the start of a sentence and within it, and flags, of distinct words."""
+
+    def flags_of(mask) -> np.ndarray:
+        return mask.to_numpy(zero_copy_only=False)
+
+    first, inner, flags = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint8)
+    parts = pc.extract_regex(words, _PLAIN)
+    plain = flags_of(parts.is_valid())
+    if plain.any():
+        parts = parts.filter(pa.array(plain))
+        core, tail = parts.field("core"), parts.field("tail")
+        lower = pc.utf8_lower(core)
+        codes = np.fromiter(map(xxhash.xxh64_intdigest, lower.to_pylist()), np.uint64, len(core)) | np.uint64(8)
+        first[plain] = codes
+        inner[plain] = np.where(flags_of(pc.match_substring_regex(core, _NAMED)), np.uint64(NAME), codes)
+        flags[plain] = flags_of(pc.is_in(lower, value_set=pa.array(sorted(UNITS)))) + 2 * flags_of(pc.match_substring_regex(tail, _CLOSED)).astype(np.uint8)
+    for i in np.flatnonzero(~plain).tolist():
+        first[i], inner[i], flags[i], _ = describe(words[i].as_py())
+    return first, inner, flags
+
+
+def _words() -> Lexicon:
+    return worker_cache("template words", lambda: Lexicon(describe_all, CACHE_ENTRIES))
+
+
+def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Template tokens of all texts in one array, the number of each text, all words, and where each text's words stop."""
+    flat, stop = split_words(texts)
+    coded = flat.dictionary_encode()
     known = _words()
-    at = known.indexes(flat)
-    first, inner, flags = known.first[at], known.inner[at], known.flags[at]
-    stop = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+    at = known.places(coded.dictionary.cast(pa.string()))[coded.indices.to_numpy()]
+    first, inner, flags = (c[at] for c in known.columns)
     kept = first != 0
     before = np.r_[0, np.cumsum(kept)]
     lengths = np.diff(before[np.r_[0, stop]])
@@ -113,7 +125,7 @@ def templates(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[list[str]]
     follows = np.r_[False, codes[:-1] == NUMBER] if len(codes) else np.zeros(0, bool)
     follows[heads[lengths > 0]] = False
     codes[follows & (flags[place] & 1 == 1)] = UNIT
-    return codes, lengths, cut
+    return codes, lengths, flat, stop
 
 
 def values_of(words: list[str]) -> list[str]:
@@ -134,21 +146,60 @@ def window_hashes(codes: np.ndarray, width: int) -> np.ndarray:
     return np.where(literal, mix64(out + np.uint64(width)) | np.uint64(1), np.uint64(0))
 
 
+class Template:
+    """A class of items: their common template, and the values of the different ones."""
+
+    def __init__(self, codes: list[int], entries: list[tuple[int | None, list[str]]]):
+        self.codes = codes
+        self.entries = entries
+        self.width = min(WIDTH, len(codes))
+        self.places = [i for i, c in enumerate(codes) if c <= 7]
+        self.values = np.array([[xxhash.xxh64_intdigest(v[i]) for i in self.places] for _, v in entries], np.uint64).reshape(len(entries), -1)
+        patterns: dict[tuple, int] = {}
+        for k, (_, v) in enumerate(entries):
+            slots = [(codes[i], v[i]) for i in self.places]
+            patterns.setdefault(tuple(map(slots.index, slots)), k)
+        #: One entry for each way in which slots repeat each other's values.
+        self.patterns = list(patterns.values())
+
+    def likely(self, offsets: dict[int, set[int]], values: list[str]) -> dict[int, set[int]]:
+        """Entries worth comparing, each with the offsets at which it is: entries that agree in all slots there, one of
+        the nearest entries of each other offset, and one of each pattern at all offsets."""
+        everywhere = set(offsets)
+        if len(self.entries) == 1:
+            return {0: everywhere}
+        found = dict.fromkeys(self.patterns, everywhere)
+        copied: dict[int, set[int]] = defaultdict(set)
+        for offset, aligned in offsets.items():
+            covered = {k for a in aligned for k in range(a, a + self.width)}
+            slots = [k for k, i in enumerate(self.places) if i in covered]
+            mine = np.array([xxhash.xxh64_intdigest(values[offset + self.places[k]]) for k in slots], np.uint64)
+            agree = (self.values[:, slots] == mine).sum(1)
+            if agree.max() < len(slots):
+                found[int(agree.argmax())] = everywhere
+            else:
+                for k in np.flatnonzero(agree == len(slots)).tolist():
+                    copied[k].add(offset)
+        return found | copied
+
+
 class Block:
-    """Items of the benchmark and the sorted hashes of their windows."""
+    """Templates of the benchmark and the sorted hashes of their windows."""
 
     def __init__(self, items: list[tuple[int | None, list[int], list[str]]]):
-        self.items = items
+        classes: dict[tuple, dict[tuple, int | None]] = defaultdict(dict)
+        for item_id, codes, values in items:  # by id, so that the least id of equal items is kept
+            classes[tuple(codes)].setdefault(tuple(values), item_id)
+        self.templates = [Template(list(codes), [(i, list(v)) for v, i in entries.items()]) for codes, entries in classes.items()]
         self.sizes: list[int] = []
         hashes, where = [], []
         self.widths: set[int] = set()
-        for k, (_, codes, _values) in enumerate(items):
-            width = min(WIDTH, len(codes))
-            found = window_hashes(np.array(codes, np.uint64), width) if width else np.zeros(0, np.uint64)
+        for k, t in enumerate(self.templates):
+            found = window_hashes(np.array(t.codes, np.uint64), t.width) if t.width else np.zeros(0, np.uint64)
             at = np.flatnonzero(found)
             self.sizes.append(len(at))
             if len(at):
-                self.widths.add(width)
+                self.widths.add(t.width)
                 hashes.append(found[at])
                 where.append(np.stack([np.full(len(at), k), at], 1))
         self.hashes = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
@@ -225,9 +276,36 @@ def row_of(item: tuple, size: int, covered: int, found: Slots) -> tuple:
     return item[0], covered, size, covered / size, found.slots, found.changed, "reparameterised" if found.changed else "copy"
 
 
+def compare_all(template: Template, size: int, hits: list[tuple[int, int]], values: list[str], coverage: float) -> list[tuple]:
+    """The rows of a document and a class of items."""
+    offsets: dict[int, set[int]] = defaultdict(set)
+    for d, i in hits:
+        offsets[d - i].add(i)
+    rows = []
+    for k, at in sorted(template.likely(offsets, values).items()):
+        item_id, item_values = template.entries[k]
+        mine = hits if len(at) == len(offsets) else [(d, i) for d, i in hits if d - i in at]
+        if row := compare((item_id, template.codes, item_values), size, mine, values, coverage):
+            rows.append((*row, len(template.entries)))
+    copies = [r for r in rows if r[-2] == "copy"]
+    return copies or sorted(rows, key=lambda r: r[5])[:1]
+
+
 def find(block: Block, texts: list[str], coverage: float) -> list[tuple]:
-    """(index of the text, row of the item) for every contamination of a batch."""
-    flat, lengths, cut = templates(texts)
+    """(index of the text, row) for every contamination of a batch; texts are looked at in groups of bounded size."""
+    out, start, size = [], 0, 0
+    for k, t in enumerate([*texts, None]):
+        if t is None or size and size + len(t) > PIECE:
+            out += [(start + i, row) for i, row in _find(block, texts[start:k], coverage)]
+            start, size = k, 0
+        size += len(t or "")
+    return out
+
+
+def _find(block: Block, texts: list[str], coverage: float) -> list[tuple]:
+    if not texts:
+        return []
+    flat, lengths, words, word_stops = templates(texts)
     stops = np.cumsum(lengths)
     starts = stops - lengths
     hits: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
@@ -244,23 +322,26 @@ def find(block: Block, texts: list[str], coverage: float) -> list[tuple]:
             k = first
             while k < len(block.hashes) and block.hashes[k] == hashes[p]:
                 item, position = block.where[k].tolist()
-                if min(WIDTH, len(block.items[item][1])) == width:
+                if block.templates[item].width == width:
                     hits[doc, item].append((p - int(starts[doc]), position))
                 k += 1
-    out = []
+    out, values, read = [], [], None
     for (doc, item), found in sorted(hits.items()):
-        row = compare(block.items[item], block.sizes[item], found, values_of(cut[doc]), coverage)
-        if row:
-            out.append((doc, row))
+        if len({i for _, i in found}) < coverage * block.sizes[item]:
+            continue
+        if doc != read:
+            begin = int(word_stops[doc - 1]) if doc else 0
+            values, read = values_of(words[begin : int(word_stops[doc])].to_pylist()), doc
+        out += [(doc, row) for row in compare_all(block.templates[item], block.sizes[item], found, values, coverage)]
     return out
 
 
 def blocks(benchmark: DataFrame) -> Iterator[Block]:
     """The benchmark in blocks of bounded size, one at a time on the driver."""
     items, size = [], 0
-    for r in doc_columns(benchmark, "item_id", "text").orderBy("item_id", "text").toLocalIterator():
-        codes, _, cut = templates([r["text"] or ""])
-        items.append((r["item_id"], codes.tolist(), values_of(cut[0])))
+    for r in doc_columns(benchmark, "item_id", "text").orderBy(F.col("item_id").asc_nulls_last(), "text").toLocalIterator():
+        codes, _, words, _ = templates([r["text"] or ""])
+        items.append((r["item_id"], codes.tolist(), values_of(words.to_pylist())))
         size += max(1, len(codes))
         if size >= BLOCK_WINDOWS:
             yield Block(items)
@@ -270,7 +351,7 @@ def blocks(benchmark: DataFrame) -> Iterator[Block]:
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.5) -> DataFrame:
-    """One row for each document and benchmark item that it contains, copied or re-parameterised."""
+    """Rows for each document and benchmark item that it contains, copied or re-parameterised."""
     spark = prepare(documents.sparkSession)
     rows = doc_columns(documents, "doc_id", "text").where("text is not null")
     out = spark.createDataFrame([], SCHEMA)
@@ -278,8 +359,8 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
         shared = spark.sparkContext.broadcast(block)
 
         def run(parts: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            kinds = [pa.int64()] * 4 + [pa.float64(), pa.int64(), pa.int64(), pa.string()]
-            names = ["doc_id", "item_id", "windows", "item_windows", "coverage", "slots", "changed_slots", "kind"]
+            kinds = [pa.int64()] * 4 + [pa.float64(), pa.int64(), pa.int64(), pa.string(), pa.int64()]
+            names = ["doc_id", "item_id", "windows", "item_windows", "coverage", "slots", "changed_slots", "kind", "entries"]
             for b in batches(parts):
                 found = find(shared.value, texts_of(b.column("text")), coverage)
                 if found:
@@ -287,5 +368,5 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, coverage: float = 0
                     columns = zip(*((ids[d], *row) for d, row in found), strict=True)
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-        out = out.unionByName(rows.mapInArrow(run, SCHEMA))
+        out = out.unionByName(map_arrow(rows, run, SCHEMA, "template"))
     return out
