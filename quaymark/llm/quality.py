@@ -1,20 +1,23 @@
 """Operator 10 — quality classifier by co-training.
 
-Two classifiers see separate views of a document: its words (multinomial naive Bayes over hashed
-words and the signs hung on them) and its metadata (logistic regression over source, language,
-length and layout).  In each round each view labels the unlabelled pool; its most confident
-documents of either class join the other view's training set.  Both are then calibrated (Platt
-scaling) on labelled documents kept aside, and the calibrated log-odds are added, less the prior
-counted twice, to score every document.
-
-Fitting happens on the driver over samples of bounded size, picked by a hash of doc_id: about
-``labelled`` labelled and ``pool`` unlabelled documents (both parameters).  The model is a fixed
-number of weights and is broadcast; every document is scored.
-
-Defined cases: null text counts as empty, null metadata as a value of its own; rows without a
-label, or with a null one, do not train; several labels of a document all count; with labels of
-fewer than two classes every score is the share of good labels (0.5 with none); repeated rows get
-equal scores; extra columns are ignored.
+Two classifiers see separate views of a document: its text (multinomial naive Bayes over hashed words
+and the signs hung on them) and its metadata (logistic regression over source, language and recorded
+length; nothing of the text).  In each round each view labels all documents of the corpus; those of
+which it is confident join the other view's training set.  Both are then calibrated (Platt scaling) on
+labelled documents kept aside, and the calibrated log-odds are added, less the prior counted twice, to
+score every document.
+
+Labels are sampled: about ``labelled`` labelled documents at most, picked by a hash of doc_id (the
+bound, a parameter).  All else covers the whole corpus: features are made once and written, and each
+round reads them on the executors, which label every document and add up counts by word and by cell of
+the metadata.  Those tables have a fixed number of cells, so the driver never holds documents.
+Confident documents count in the labels' proportion and together as much as the labels do.
+
+Defined cases: null text counts as empty, null metadata as a value of its own; rows without a label, or
+with a null one, do not train; several labels of a document all count; with labels of fewer than two
+classes every score is the share of good labels (0.5 with none); repeated rows get equal scores; ties
+in confidence are all adopted; null ids are scored; extra columns are ignored; empty documents give no
+rows.
 """
 
 from __future__ import annotations
@@ -25,17 +28,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, prepare, texts_of, worker_cache
+from ._shared import Lexicon, batches, count_rows, doc_columns, map_arrow, prepare, release, split_words, stage, texts_of, worker_cache
 
 WORD_BITS = 16
-METADATA = 64 + 16 + 24
-#: Words whose features a worker remembers before it starts anew.
-CACHE_ENTRIES = 300_000
+WORDS = 1 << WORD_BITS
+#: Buckets of source, language and length; their product is the number of cells of the metadata.
+SOURCES, LANGUAGES, LENGTHS = 64, 16, 24
+CELLS = SOURCES * LANGUAGES * LENGTHS
+#: Words whose features a worker remembers, and code points looked at together.
+CACHE_ENTRIES, PIECE = 400_000, 1 << 20
+#: Labelled documents up to which their marks are broadcast; beyond, they are joined by shuffle.
+BROADCAST_MARKS = 200_000
 _TAIL = re.compile(r"[\W_]+$")
+#: Words with a small letter and at most one sign at the end: most words, made features as whole arrays.
+_USUAL = r"^(?P<core>[a-zA-ZÀ-ÖØ-öø-ÿ]*[a-zß-öø-ÿ][a-zA-ZÀ-ÖØ-öø-ÿ]*)[!-/:-@\[-`{-~]?$"
 
 
 def _feature(word: str) -> int:
@@ -43,49 +54,67 @@ def _feature(word: str) -> int:
     tail = _TAIL.search(word)
     signs = tail[0] if tail else ""
     core = word[: len(word) - len(signs)]
-    half = 1 << (WORD_BITS - 1)
+    half = WORDS >> 1
     if len(signs) > 1 or not core or (len(core) > 2 and core.isupper()):
-        return half + xxhash.xxh32_intdigest(f"{signs[:8]} {core.isupper()}") % half
+        return half + xxhash.xxh32_intdigest(f"{signs} {core.isupper()}") % half
     return xxhash.xxh32_intdigest(core.lower()) % half
 
 
+def _features(words: pa.Array) -> tuple[np.ndarray]:
+    out = np.zeros(len(words), np.int32)
+    parts = pc.extract_regex(words, _USUAL)
+    usual = parts.is_valid().to_numpy(zero_copy_only=False)
+    if usual.any():
+        cores = pc.utf8_lower(parts.filter(pa.array(usual)).field("core")).to_pylist()
+        out[usual] = np.fromiter(map(xxhash.xxh32_intdigest, cores), np.int64, len(cores)) % (WORDS >> 1)
+    at = np.flatnonzero(~usual)
+    out[at] = [_feature(w) for w in words.take(pa.array(at)).to_pylist()]
+    return (out,)
+
+
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct features of each text in one array, and how many each text has."""
-    out = []
-    cache = worker_cache("word features", dict)
-    for t in texts:
-        words = t.split()
-        found = set(map(cache.get, words))
-        if None in found:
-            if len(cache) > CACHE_ENTRIES:
-                cache.clear()
-            for w in set(words):
-                if w not in cache:
-                    cache[w] = _feature(w)
-            found = set(map(cache.__getitem__, words))
-        out.append(found)
-    sizes = np.fromiter(map(len, out), np.int64, len(out))
-    return np.fromiter((x for s in out for x in s), np.int64, int(sizes.sum())), sizes
-
-
-def metadata_features(texts: list[str], langs: list, sources: list, n_chars: list) -> np.ndarray:
-    """Dense features of the metadata view: hashed source and language, length and layout."""
-    x = np.zeros((len(texts), METADATA), np.float32)
-    for i, (t, lang, source, n) in enumerate(zip(texts, langs, sources, n_chars, strict=True)):
-        x[i, xxhash.xxh32_intdigest(str(source)) % 64] = 1
-        x[i, 64 + xxhash.xxh32_intdigest(str(lang)) % 16] = 1
-        size = len(t) + 1
-        lines, spaces = t.count("\n") + 1, t.count(" ") + 1
-        length = np.log1p(max(0, n or 0))
-        x[i, 80:92] = 1, length / 10, (length / 10) ** 2, np.log1p(size) / 10, np.log1p(size / lines) / 8, np.log1p(lines) / 8, size / spaces / 10, t.count(",") / spaces, t.count(".") / spaces, t.count("|") / spaces, t.count("!") / spaces, len(set(t.split("\n"))) / lines
+    known = worker_cache("word features", lambda: Lexicon(_features, CACHE_ENTRIES))
+    found, sizes, start, size = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0, 0
+    for k, t in enumerate([*texts, None]):
+        if (t is None or size + len(t) > PIECE) and k > start:
+            flat, stops = split_words(texts[start:k])
+            coded = flat.dictionary_encode()
+            place = known.places(coded.dictionary.cast(pa.string()))
+            features = known.columns[0][place[coded.indices.to_numpy()]]
+            pairs = np.unique(np.repeat(np.arange(k - start), np.diff(stops, prepend=0)) << WORD_BITS | features)
+            found.append((pairs & (WORDS - 1)).astype(np.int32))
+            sizes.append(np.bincount(pairs >> WORD_BITS, minlength=k - start))
+            start, size = k, 0
+        size += len(t or "")
+    return np.concatenate(found), np.concatenate(sizes)
+
+
+def metadata_cell() -> Column:
+    """The cell of a document's source, language and recorded length."""
+
+    def bucket(name: str, n: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(name).isNull(), F.coalesce(F.col(name).cast("string"), F.lit(""))), F.lit(n))
+
+    length = F.col("n_chars").cast("double")
+    binned = F.when(length.isNull(), 0).otherwise(F.least(F.lit(LENGTHS - 1), 1 + F.floor(F.log2(F.greatest(length, F.lit(0.0)) + 1))))
+    return ((bucket("source", SOURCES) * LANGUAGES + bucket("lang", LANGUAGES)) * LENGTHS + binned).cast("int")
+
+
+def _design(cells: np.ndarray) -> np.ndarray:
+    """One row of indicators for each cell, and a constant."""
+    x = np.zeros((len(cells), SOURCES + LANGUAGES + LENGTHS + 1))
+    rows = np.arange(len(cells))
+    x[rows, cells // (LANGUAGES * LENGTHS)] = 1
+    x[rows, SOURCES + cells // LENGTHS % LANGUAGES] = 1
+    x[rows, SOURCES + LANGUAGES + cells % LENGTHS] = 1
+    x[:, -1] = 1
     return x
 
 
-def _bayes(features: np.ndarray, sizes: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """Weights of naive Bayes as log-odds of each feature."""
-    owner = np.repeat(target, sizes)
-    good = np.bincount(features[owner == 1], minlength=1 << WORD_BITS) + 0.5
-    bad = np.bincount(features[owner == 0], minlength=1 << WORD_BITS) + 0.5
+def _bayes(counts: np.ndarray) -> np.ndarray:
+    """Weights of naive Bayes as log-odds of each feature, from its counts in bad and good documents."""
+    bad, good = counts + 0.5
     return (np.log(good / good.sum()) - np.log(bad / bad.sum())).astype(np.float32)
 
 
@@ -95,132 +124,170 @@ def _margin(weights: np.ndarray, features: np.ndarray, sizes: np.ndarray) -> np.
     return np.bincount(owner, weights[features], minlength=len(sizes)) / np.maximum(sizes, 1)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 25) -> np.ndarray:
-    """Newton's method for ridge-penalised logistic regression."""
-    w = np.zeros(x.shape[1])
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _logistic(x: np.ndarray, bad: np.ndarray, good: np.ndarray, penalty: float = 1.0, steps: int = 25) -> np.ndarray:
+    """Newton's method for ridge-penalised logistic regression over rows that stand for several documents."""
+    w, n = np.zeros(x.shape[1]), bad + good
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x.T * (p * (1 - p))) @ x + penalty * np.eye(len(w)), x.T @ (y - p) - penalty * w)
+        p = _sigmoid(x @ w)
+        step = np.linalg.solve((x.T * (n * p * (1 - p))) @ x + penalty * np.eye(len(w)), x.T @ (good - n * p) - penalty * w)
         w += step
         if np.abs(step).max() < 1e-6:
             break
     return w
 
 
-def _calibrate(margin: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return _logistic(np.stack([margin, np.ones(len(margin))], 1), y, penalty=1e-3)
+def _calibrate(margin: np.ndarray, bad: np.ndarray, good: np.ndarray) -> np.ndarray:
+    return _logistic(np.stack([margin, np.ones(len(margin))], 1), bad, good, penalty=1e-3)
 
 
 @dataclass
 class Model:
     share: float
-    words: np.ndarray | None = None
-    metadata: np.ndarray | None = None
+    words: np.ndarray | None = None  # weight of each word feature
     word_scale: np.ndarray | None = None
-    metadata_scale: np.ndarray | None = None
+    cells: np.ndarray | None = None  # calibrated log-odds of each cell of the metadata
     prior: float = 0.0
 
-    def score(self, texts: list[str], langs: list, sources: list, n_chars: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def logits(self, features: np.ndarray, sizes: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Calibrated log-odds of both views."""
+        return _margin(self.words, features, sizes) * self.word_scale[0] + self.word_scale[1], self.cells[cells].astype(float)
+
+    def score(self, features: np.ndarray, sizes: np.ndarray, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Combined, content and metadata probabilities of being good."""
         if self.words is None:
-            same = np.full(len(texts), self.share)
+            same = np.full(len(sizes), self.share)
             return same, same, same
-        content = _margin(self.words, *word_features(texts)) * self.word_scale[0] + self.word_scale[1]
-        meta = (metadata_features(texts, langs, sources, n_chars) @ self.metadata) * self.metadata_scale[0] + self.metadata_scale[1]
-
-        def probability(z: np.ndarray) -> np.ndarray:
-            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-
-        return probability(content + meta - self.prior), probability(content), probability(meta)
-
-
-def cotrain(texts: list[str], langs: list, sources: list, n_chars: list, labels: np.ndarray, rounds: int = 4, adopt: int = 400, confident: float = 0.95) -> Model:
-    """Fit on rows with labels 0, 1 or -1 (unlabelled)."""
-    known = np.flatnonzero(labels >= 0)
-    share = float(labels[known].mean()) if len(known) else 0.5
-    aside = known[np.arange(len(known)) % 4 == 3]
-    train = np.setdiff1d(known, aside)
-    if any(len(set(labels[part].tolist())) < 2 for part in (train, aside)):
-        return Model(share)
-    features, sizes = word_features(texts)
-    stops = np.cumsum(sizes)
-    meta = metadata_features(texts, langs, sources, n_chars).astype(float)
-    pool = np.flatnonzero(labels < 0)
-
-    def rows(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return np.concatenate([features[stops[i] - sizes[i] : stops[i]] for i in at]) if len(at) else features[:0], sizes[at]
-
-    # What each view trains on: the labels, and what the other view is sure of.
-    sets = [dict(zip(train.tolist(), labels[train].tolist(), strict=True)) for _ in range(2)]
-
-    def fit() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        at, y = (np.array(list(z), np.int64) for z in (sets[0].keys(), sets[0].values()))
-        words = _bayes(*rows(at), y)
-        at, y = (np.array(list(z), np.int64) for z in (sets[1].keys(), sets[1].values()))
-        metadata = _logistic(meta[at], y)
-        word_scale = _calibrate(_margin(words, *rows(aside)), labels[aside])
-        metadata_scale = _calibrate(meta[aside] @ metadata, labels[aside])
-        return words, metadata, word_scale, metadata_scale
-
-    words, metadata, word_scale, metadata_scale = fit()
+        content, meta = self.logits(features, sizes, cells)
+        return _sigmoid(content + meta - self.prior), _sigmoid(content), _sigmoid(meta)
+
+
+def _arrays(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    words = b.column("words")
+    return words.flatten().to_numpy(), words.value_lengths().to_numpy(zero_copy_only=False), b.column("cell").to_numpy()
+
+
+def marks_of(labels: DataFrame, labelled: int) -> DataFrame:
+    """doc_id, bad and good (how often it is labelled so) of about ``labelled`` documents at most."""
+    marks = doc_columns(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
+    rate = min(1.0, labelled / max(1, marks.count()))
+    picked = marks.where(F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(1 << 20)) < int(rate * (1 << 20)))
+    return picked.groupBy("doc_id").agg(F.count_if(F.col("quality") == 0).cast("int").alias("bad"), F.count_if(F.col("quality") == 1).cast("int").alias("good"))
+
+
+def features_of(documents: DataFrame, marks: DataFrame) -> DataFrame:
+    """doc_id, words, cell, bad and good of every document."""
+    few = count_rows(marks, BROADCAST_MARKS) <= BROADCAST_MARKS
+    rows = doc_columns(documents, "doc_id", "text", "lang", "source", "n_chars").select("doc_id", "text", metadata_cell().alias("cell"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(parts):
+            found, sizes = word_features(texts_of(b.column("text")))
+            words = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(found))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), words, b.column("cell")], names=["doc_id", "words", "cell"])
+
+    made = map_arrow(rows, run, "doc_id long, words array<int>, cell int", "word features")
+    return made.join(F.broadcast(marks) if few else marks, "doc_id", "left").fillna(0, ["bad", "good"])
+
+
+def _tables(rows: DataFrame, model: Model | None, confident: float) -> tuple[np.ndarray, np.ndarray]:
+    """Counts by class and word, and by class and cell of the metadata.
+
+    Without a model, of the labels; with one, of the documents of which the other view is confident.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    edge = float(np.log(confident / (1 - confident)))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, cells = np.zeros(2 * WORDS), np.zeros(2 * CELLS)
+        for b in batches(parts):
+            found, sizes, cell = _arrays(b)
+            if shared.value is None:
+                by_words = by_cells = [b.column("bad").to_numpy(), b.column("good").to_numpy()]
+            else:
+                content, meta = shared.value.logits(found, sizes, cell)
+                by_words, by_cells = ([z <= -edge, z >= edge] for z in (meta, content))
+            for k in (0, 1):
+                words += np.bincount(found + k * WORDS, np.repeat(by_words[k].astype(float), sizes), minlength=2 * WORDS)
+                cells += np.bincount(cell + k * CELLS, by_cells[k].astype(float), minlength=2 * CELLS)
+        both = np.concatenate([words, cells])
+        at = np.flatnonzero(both)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(both[at])], names=["at", "n"])
+
+    table = np.zeros(2 * WORDS + 2 * CELLS)
+    summed = map_arrow(rows.select("words", "cell", "bad", "good"), run, "at long, n double", "word features").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    table[summed.column("at").to_numpy()] = summed.column("n").to_numpy()
+    return table[: 2 * WORDS].reshape(2, -1), table[2 * WORDS :].reshape(2, -1)
+
+
+def _margins(rows: DataFrame, weights: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Margin by the words, cell, bad and good of each of the rows: a bounded sample."""
+    shared = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(parts):
+            found, sizes, _ = _arrays(b)
+            yield pa.RecordBatch.from_arrays([pa.array(_margin(shared.value, found, sizes)), b.column("cell"), b.column("bad"), b.column("good")], names=["margin", "cell", "bad", "good"])
+
+    found = map_arrow(rows.select("words", "cell", "bad", "good"), run, "margin double, cell int, bad int, good int", "word features").toArrow()
+    return tuple(found.column(n).to_numpy() for n in ("margin", "cell", "bad", "good"))
+
+
+def cotrain(features: DataFrame, rounds: int = 3, confident: float = 0.95) -> Model:
+    """Fit both views on the labelled documents and, round by round, on what the other view is confident of."""
+    spark = features.sparkSession
+    labelled = stage(spark, features.where("bad + good > 0").withColumn("aside", F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(4)) == 3), "labelled")
+    sums = {r["aside"]: (r["bad"], r["good"]) for r in labelled.groupBy("aside").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).collect()}
+    bad, good = (sum(x) for x in zip(*sums.values(), strict=True)) if sums else (0, 0)
+    share = good / (bad + good) if bad + good else 0.5
+    if any(min(sums.get(part, (0, 0))) == 0 for part in (False, True)):
+        return Model(float(share))
+    train, aside = labelled.where("not aside"), labelled.where("aside")
+    prior = float(np.log(share / (1 - share)))
+
+    def model_of(words: np.ndarray, cells: np.ndarray) -> Model:
+        weights = _bayes(words)
+        margin, cell, bad, good = _margins(aside, weights)
+        seen = np.flatnonzero(cells.sum(0))
+        meta = _design(np.arange(CELLS)) @ _logistic(_design(seen), cells[0, seen], cells[1, seen])
+        scale = _calibrate(meta[cell], bad, good)
+        return Model(share, weights, _calibrate(margin, bad, good), (meta * scale[0] + scale[1]).astype(np.float32), prior)
+
+    words, cells = _tables(train, None, confident)
+    model, size = model_of(words, cells), cells.sum()
     for _ in range(rounds):
-        if not len(pool):
-            break
-        margins = (_margin(words, *rows(pool)) * word_scale[0] + word_scale[1], (meta[pool] @ metadata) * metadata_scale[0] + metadata_scale[1])
-        taken = set()
-        for view, z in enumerate(margins):
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            order = np.argsort(p, kind="stable")
-            # Classes join in the proportion of the labels, so that their balance stays.
-            low, high = order[: max(1, int(adopt * (1 - share)))], order[::-1][: max(1, int(adopt * share))]
-            for chosen, label in ((low[p[low] <= 1 - confident], 0), (high[p[high] >= confident], 1)):
-                for i in pool[chosen].tolist():
-                    sets[1 - view].setdefault(i, label)
-                    taken.add(i)
-        if not taken:
+        more_words, more_cells = _tables(features.where("bad + good = 0"), model, confident)
+        if not more_words.any() and not more_cells.any():
             break
-        pool = np.array([i for i in pool.tolist() if i not in taken], np.int64)
-        words, metadata, word_scale, metadata_scale = fit()
-    prior = float(np.log(share / (1 - share)))
-    return Model(share, words, metadata.astype(np.float32), word_scale, metadata_scale, prior)
+        # Each class of confident documents weighs at most as much as the class has among the labels.
+        weight = [np.minimum(1.0, np.array([1 - share, share]) * size / np.maximum(n, 1.0))[:, None] for n in (_documents(more_words, cells, words), more_cells.sum(1))]
+        model = model_of(words + weight[0] * more_words, cells + weight[1] * more_cells)
+    release(spark, labelled)
+    return model
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, labelled: int, pool: int) -> DataFrame:
-    """About ``labelled`` labelled rows and ``pool`` others, picked by a hash of doc_id; quality is null for the pool."""
-    docs = doc_columns(documents, "doc_id", "text", "lang", "source", "n_chars").where("doc_id is not null")
-    marks = doc_columns(labels, "doc_id", "quality").where("doc_id is not null and quality in (0, 1)")
-    n_labels, n_docs = marks.count(), docs.select("doc_id").count()
-    step = 1 << 20
-    pick = F.pmod(F.xxhash64("doc_id", F.lit("quality")), F.lit(step))
-    marks = marks.where(pick < int(step * min(1.0, labelled / max(1, n_labels))))
-    # Both samples are taken before anything is shuffled: only sampled texts move.
-    share = min(1.0, (labelled + pool) / max(1, n_docs))
-    sampled = docs.where(pick < int(step * max(share, min(1.0, labelled / max(1, n_labels)))))
-    joined = sampled.join(marks, "doc_id", "left")
-    return joined.where(F.col("quality").isNotNull() | (pick < int(step * min(1.0, pool / max(1, n_docs)))))
-
-
-def fit(documents: DataFrame, labels: DataFrame, labelled: int = 4000, pool: int = 6000) -> Model:
-    prepare(documents.sparkSession)
-    rows = training_rows(documents, labels, labelled, pool).orderBy(F.xxhash64("doc_id", F.lit("order")), "doc_id", "text", "quality").toArrow()
-    found = {n: rows.column(n).to_pylist() for n in rows.column_names}
-    marks = np.array([-1 if q is None else q for q in found["quality"]], np.int64)
-    return cotrain([t or "" for t in found["text"]], found["lang"], found["source"], found["n_chars"], marks)
-
-
-def score(documents: DataFrame, model: Model, keep_from: float = 0.5) -> DataFrame:
+def _documents(more: np.ndarray, cells: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """About how many documents the word counts of each class stand for, by the labelled documents' features."""
+    return more.sum(1) / max(1.0, words.sum() / max(1.0, cells.sum()))
+
+
+def score(features: DataFrame, model: Model, keep_from: float = 0.5) -> DataFrame:
     """doc_id, score, content_score, metadata_score and keep of every document."""
-    spark = prepare(documents.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
+    shared = features.sparkSession.sparkContext.broadcast(model)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
-            both, content, meta = shared.value.score(texts_of(b.column("text")), *(b.column(n).to_pylist() for n in ("lang", "source", "n_chars")))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), *map(pa.array, (both.astype(float), content.astype(float), meta.astype(float), both >= keep_from))], names=["doc_id", "score", "content_score", "metadata_score", "keep"])
+            both, content, meta = shared.value.score(*_arrays(b))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *map(pa.array, (both, content, meta, both >= keep_from))], names=["doc_id", "score", "content_score", "metadata_score", "keep"])
 
-    rows = doc_columns(documents, "doc_id", "text", "lang", "source", "n_chars")
-    return rows.mapInArrow(run, "doc_id long, score double, content_score double, metadata_score double, keep boolean")
+    return map_arrow(features.select("doc_id", "words", "cell"), run, "doc_id long, score double, content_score double, metadata_score double, keep boolean", "word features")
 
 
-def cotrain_and_score(documents: DataFrame, labels: DataFrame, labelled: int = 4000, pool: int = 6000) -> DataFrame:
-    return score(documents, fit(documents, labels, labelled, pool))
+def cotrain_and_score(documents: DataFrame, labels: DataFrame, labelled: int = 20_000, rounds: int = 3) -> DataFrame:
+    spark = prepare(documents.sparkSession)
+    features = stage(spark, features_of(documents, marks_of(labels, labelled)), "features")
+    return score(features, cotrain(features, rounds))
