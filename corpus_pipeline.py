@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import decontaminate, jaccard, langid, packing, pii
-from quaymark.llm._shared import stage
+from quaymark.llm._shared import few_files, stage
 from quaymark.llm.queries import vocabulary
 
 #: Documents whose best language has a smaller share than this are rejected, like those without a letter.
@@ -25,7 +25,7 @@ LEAST_SHARE = 0.5
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is recognised."""
     model = langid.train(docs.where(~langid.held_out()))
-    return langid.select_recognised(docs, model, LEAST_SHARE)
+    return few_files(langid.select_recognised(docs, model, LEAST_SHARE))
 
 
 def row_key() -> Column:
@@ -44,9 +44,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = stage(spark, kept.unionByName(groups.where("n = 0").select("__row", F.lit(1).cast("long").alias("copies"))), "kept")
     out = keyed.join(kept.where("copies = 1"), "__row", "left_semi").drop("__row")
     if kept.where("copies > 1").isEmpty():
-        return out
+        return few_files(out)
     repeated = keyed.join(kept.where("copies > 1"), "__row", "left_semi").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("row"))
-    return out.unionByName(repeated.select("row.*"))
+    return few_files(out.unionByName(repeated.select("row.*")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,17 +54,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = docs.withColumn("__row", row_key())
     hits = decontaminate.contaminated(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
-    return keyed.join(hits.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").drop("__row")
+    return few_files(keyed.join(hits.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").drop("__row"))
 
 
 def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Generalise personal data and the terms that disclose it; n_chars follows the text."""
-    return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long"))
+    return few_files(pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 4096 ids; executors also hold the memory of the stages before."""
-    return packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096, remembered=180_000)
+    """Pack what is left into sequences of 4096 ids."""
+    return few_files(packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096))
 
 
 STAGES = [
