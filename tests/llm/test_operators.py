@@ -129,7 +129,43 @@ def test_wrapper_alignment():
         return htmlwrap.fold([(p, "m", p) for p in paths])
 
     both = htmlwrap.align(items(["h", "p", "p", "f"]), items(["h", "q", "p", "f"]))
-    assert [(x[0], x[1], x[2]) for x in both] == [("h", False, False), ("q", True, False), ("p", False, True), ("f", False, False)]
+    assert [(x[0], x[1], x[2], x[4]) for x in both] == [("h", False, False, 2), ("q", True, False, 1), ("p", False, True, 2), ("f", False, False, 2)]
+    assert max(both[0][6].values()) == 2
+
+
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in htmlwrap.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_wrappers_decide_without_names(spark):
+    """Hosts without telling names: what is constant on a host's pages is template, the densest container is the article."""
+    r = random.Random(11)
+    sentence = lambda: " ".join(f"w{r.randrange(9999)}" for _ in range(20))
+    rows, expected = [], {}
+    for i in range(24):
+        paragraphs = [sentence() for _ in range(r.randint(1, 5))]
+        title, kind = sentence()[:30].strip(), i % 3
+        main = "".join(f"<p>{p}</p>" for p in paragraphs)
+        if kind == 0:
+            page = f"<div class='x1'>Home News About</div><div class='x2'><div class='x3'><h1>{title}</h1>{main}</div></div><div class='x9'>All rights with us</div>"
+        elif kind == 1:
+            page = f"<table><tr><td class='q'>Start<td>Map</table><h1>{title}</h1><div class='z17'>{main}<div>Tell your friends</div></div><div class='k'>End of page</div>"
+        else:
+            page = f"<div class='a'><ul><li>One<li>Two<li>Three</ul></div><section class='b'><div>{title}</div>{main}</section><span>Made by hand</span>"
+        rows.append((i, f"https://host{kind}.example/{i}", page))
+        expected[i] = "\n".join([title, *paragraphs])
+    assert extracted(spark, rows) == expected
+    assert extracted(spark, [(1, *rows[0][1:])] * 6)[1] == expected[0]  # in copies of one page nothing is constant
+
+
+def test_names_of_boilerplate(spark):
+    body = "<article><header><h1>Title</h1></header><p class='share-price'>Up</p><div class='post-ad-free'>Kept</div><div class='ad-slot'>Buy</div><p>Text</p><footer>By us</footer></article>"
+    page = f"<nav>Menu</nav>{body}<article class='comment'>Nice!</article><div id='comment-list'><article>More</article></div><div class='siteFooter'>c</div>"
+    rows = [(1, "https://a.example/1", page), (None, "https://a.example/1", page), (2, "https://b.example/", "<h1 class='entry-title'>Head</h1><p>Body</p>"), (3, "https://c.example/", "<p>" + "long " * 200_000 + "</p>")]
+    got = extracted(spark, rows)
+    assert got[1] == got[None] == "Title\nUp\nKept\nText" and got[2] == "Head\nBody" and len(got[3]) == 5 * 200_000 - 1
+    clash = spark.createDataFrame(rows[:1], "page_id long, url string, html string").withColumn("host", F.lit("x")).withColumn("wrapper", F.lit(3))
+    assert [r.text for r in htmlwrap.extract_main_text(clash).collect()] == [got[1]] and htmlwrap.extract_main_text(clash.limit(0)).count() == 0
 
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -281,3 +317,58 @@ def test_quality_held_out(spark):
     assert sum((r.score >= 0.5) == (r.quality == 1) for r in rows) / len(rows) > 0.85
     empty = quality.cotrain_and_score(edge(spark), labels.limit(0)).collect()
     assert len(empty) == len(EDGE) and {r.score for r in empty} == {0.5}
+    assert quality.cotrain_and_score(docs.limit(0), labels).count() == 0
+
+
+def two_views(n, labelled, seed=7):
+    """Documents whose words and source both tell their quality; few are labelled."""
+    r = random.Random(seed)
+    rows, marks, truth = [], [], {}
+    for i in range(n):
+        good = r.random() < 0.5
+        words = [f"{'good' if good == (r.random() < 0.9) else 'bad'}{r.randrange(1500)}" for _ in range(6)]
+        source = f"{'fine' if good == (r.random() < 0.95) else 'poor'}{r.randrange(3)}"
+        rows.append((i, " ".join(words), "en", source, 100))
+        truth[i] = int(good)
+        if i < labelled:
+            marks += [(i, int(good))] * (1 + i % 2)
+    return rows, marks, truth
+
+
+def test_quality_exchange_helps_and_counts_by_brute_force(spark):
+    rows, marks, truth = two_views(3000, 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumn("cell", F.lit("clash"))
+    labels = spark.createDataFrame([*marks, (None, 1), (5, None)], "doc_id long, quality int")
+    features = quality.features_of(docs, quality.marks_of(labels, 10**6)).cache()
+    found = {}
+    for rounds in (0, 3):
+        model = quality.cotrain(features, rounds)
+        scores = quality.score(features, model).collect()
+        found[rounds] = sum((s.content_score >= 0.5) == (truth[s.doc_id] == 1) for s in scores) / len(scores)
+    assert found[3] > found[0] + 0.03 and found[3] > 0.85
+    # The counts of one round, in plain Python.
+    by_words, by_cells = quality._tables(features.where("bad + good = 0"), model, 0.95)
+    words, cells = defaultdict(float), defaultdict(float)
+    for x in features.collect():
+        if x.bad + x.good:
+            continue
+        content = np.mean([model.words[w] for w in x.words]) * model.word_scale[0] + model.word_scale[1]
+        for z, table, keys in ((model.cells[x.cell], words, x.words), (content, cells, [x.cell])):
+            if abs(z) >= np.log(19):
+                for k in keys:
+                    table[int(z > 0), k] += 1
+    assert words and cells
+    assert {(k, i): by_words[k, i] for k, i in zip(*np.nonzero(by_words), strict=True)} == words
+    assert {(k, i): by_cells[k, i] for k, i in zip(*np.nonzero(by_cells), strict=True)} == cells
+
+
+def test_quality_views_are_separate(spark):
+    rows, marks, _ = two_views(400, 200)
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([*rows, (900, "same words", "en", "fine1", 7), (901, "other words!!", "en", "fine1", 7), (902, "same words", None, None, None), (902, "same words", None, None, None), (None, None, None, None, None)], schema)
+    got = defaultdict(list)
+    for r in quality.cotrain_and_score(docs, labels).collect():
+        got[r.doc_id].append(r)
+    assert got[900][0].metadata_score == got[901][0].metadata_score and got[900][0].content_score == got[902][0].content_score
+    assert len(got[902]) == 2 and got[902][0] == got[902][1] and len(got[None]) == 1
