@@ -21,7 +21,7 @@ from ..session import ship
 #: Rows and bytes in an Arrow batch sent to Python: texts can be long, so batches stay small.
 ARROW_ROWS, ARROW_BYTES = 512, "4m"
 #: Files of a staged table for each core of the cluster.
-FILES_A_CORE = 3
+FILES_A_CORE = 10
 
 
 def prepare(spark: SparkSession, rows: int = ARROW_ROWS) -> SparkSession:

@@ -1,4 +1,8 @@
-"""Word shingles of whole batches as 64-bit hashes, computed on UTF-8 bytes in numpy."""
+"""Word shingles of whole batches as 64-bit hashes, computed on UTF-8 bytes in numpy.
+
+Defined cases: the empty text and white space have no shingles; a text of fewer words than a shingle has
+one, its whole sequence; repeated shingles count once; a long text is hashed whole.
+"""
 
 from __future__ import annotations
 
@@ -82,11 +86,20 @@ def _sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def fingerprint(found: np.ndarray) -> int:
-    """A 64-bit fingerprint of a set, its size included, as a signed integer."""
+def fingerprints(found: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit fingerprints of a set, its size included, as signed integers."""
     if not len(found):
-        return 0
+        return 0, 0
     a = mix64(found + np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)
     b = np.bitwise_xor.reduce(mix64(found ^ np.uint64(0xE7037ED1A0B428DB)))
-    mixed = mix64(np.array([a], np.uint64)) ^ b
-    return int(mix64(mixed * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(found))).view(np.int64)[0])
+    c = mix64(found * np.uint64(0x8EBC6AF09C88C6E3) + np.uint64(0x589965CC75374CC3)).sum(dtype=np.uint64)
+    size = np.uint64(len(found))
+    mixed = mix64(np.array([a, c], np.uint64)) ^ np.array([b, mix64(np.array([b + size], np.uint64))[0]], np.uint64)
+    one, two = mix64(mixed * np.uint64(0x9E3779B97F4A7C15) + size).view(np.int64).tolist()
+    return one, two
+
+
+def class_of(found: np.ndarray, collided: frozenset[int]) -> int:
+    """The class of a set: its first fingerprint, or the second where the first is known to stand for several sets."""
+    one, two = fingerprints(found)
+    return two if one in collided else one

@@ -232,6 +232,59 @@ def test_near_duplicates(spark, documents):
     assert jaccard.near_duplicates(extra.limit(0)).count() == 0
 
 
+def near_family(n, seed=2):
+    """Near copies around the threshold."""
+    r = random.Random(seed)
+    base = [f"w{r.randrange(10**6)}" for _ in range(150)]
+    out = []
+    for i in range(n):
+        words = list(base)
+        for _ in range(r.randrange(0, 8)):
+            words[r.randrange(len(words))] = f"x{r.randrange(10**6)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+@pytest.mark.parametrize("case", ["common", "chunks", "collided"])
+def test_near_duplicates_of_large_families(spark, monkeypatch, case):
+    """Common shingles, families of many chunks, and sets that share a fingerprint give the same components."""
+    rows = near_family(260) + [(1000 + i, t) for i, t in near_family(150, 3)] + [(2000 + i, t + " and more words at the end of this one") for i, t in near_family(60, 4)]
+    if case == "common":
+        monkeypatch.setattr(jaccard, "SAMPLE", 1)
+        monkeypatch.setattr(jaccard, "LEAST", 20)
+        monkeypatch.setattr(jaccard, "HOT", 10**6)
+    elif case == "chunks":
+        monkeypatch.setattr(jaccard, "CHUNK_MEMBERS", 8)
+    else:
+        true = jaccard.fingerprints
+        clash = lambda found: (len(found), true(found)[0])
+        monkeypatch.setattr(jaccard, "fingerprints", clash)
+        monkeypatch.setattr(jaccard, "class_of", lambda found, collided: clash(found)[len(found) in collided])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.near_duplicates(docs).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_duplicates_without_ids(spark):
+    (_, a), (_, b), (_, c) = near_family(40)[:3]
+    unlike = "none of these words is in any other text here"
+    rows = [(None, a), (None, a), (None, b), (7, c), (None, unlike), (None, None), (3, ""), (3, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("token", F.lit(1)).withColumn("root", F.lit("x"))
+    linked = brute_components([(1, a), (2, b), (7, c)])
+    assert {v for _, v in linked.values()} == {1}
+    got = sorted((str(x.doc_id), x.n_shingles > 0, str(x.component_id)) for x in jaccard.near_duplicates(docs).collect())
+    assert got == sorted([("None", True, "7")] * 3 + [("7", True, "7"), ("None", True, "None"), ("None", False, "None"), ("3", False, "3"), ("3", False, "3")])
+
+
+def test_components_with_heavy_nodes(spark, monkeypatch):
+    for name, value in (("UNITED", 50), ("SAMPLE", 1), ("LEAST", 5), ("HEAVY", 10**6)):
+        monkeypatch.setattr(components, name, value)
+    r = random.Random(1)
+    edges = [(r.randrange(-200, 200), r.randrange(-200, 200)) for _ in range(120)] + [(500, k) for k in range(501, 560)] + [(-300, k) for k in range(540, 580)]
+    got = {x.node: x.root for x in components.components(spark, spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == dict(components.spanning([a for a, _ in edges], [b for _, b in edges]))
+
+
 def test_components_by_rounds(spark, monkeypatch):
     monkeypatch.setattr(components, "UNITED", 50)
     r = random.Random(1)
