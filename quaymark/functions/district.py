@@ -98,3 +98,21 @@ def region_of(district: Cols) -> Column:
     for region, names in DISTRICTS.items():
         out = out.when(d.isin(*[n for n, _ in names]), region)
     return out.otherwise(UNKNOWN)
+
+
+#: English names that are not their words with a capital letter each, and simplified signs of names.
+ENGLISH = {"西半山": "Mid-Levels West", "康城": "LOHAS Park"}
+SIMPLIFIED = ("灣銅鑼馬環鰂魚營盤堅黃東區龍奧運觀圍將軍寶門嶺紅", "湾铜锣马环鲗鱼营盘坚黄东区龙奥运观围将军宝门岭红")
+
+
+def english_name(district: Cols) -> Column:
+    """The English name of a known district; any other as it is."""
+    d = _c(district)
+    names = {zh: ENGLISH.get(zh, en.title()) for zh, en in _ALL}
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for v in chain(*names.items())]), d), d)
+
+
+def simplified_name(district: Cols) -> Column:
+    """The name of a known district in simplified signs; any other as it is."""
+    d = _c(district)
+    return F.when(d == UNKNOWN, "未知").when(d.isin(*[zh for zh, _ in _ALL]), F.translate(d, *SIMPLIFIED)).otherwise(d)

@@ -71,17 +71,29 @@ def denoise(x: Cols) -> Column:
     return F.array_join(F.array_distinct(kept), "\n")
 
 
-def quality_reason(x: Cols, least_lines: int, least_chars: int, least_unique: float) -> Column:
-    """the first reason to reject a text, or ok."""
-    found = lines(x)
-    ratio = F.size(F.array_distinct(found)) / F.greatest(F.lit(1), F.size(found))
-    return (
-        F.when(strip(F.coalesce(_c(x), F.lit(""))) == "", "empty text")
-        .when(F.size(found) < max(1, least_lines), "too few lines")
-        .when(F.length(_c(x)) < max(1, least_chars), "too short")
-        .when(ratio < least_unique, "low unique-line ratio")
-        .otherwise("ok")
-    )
+def _once(value: Column, of) -> Column:
+    """``of(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), of)[0]
+
+
+def quality_reason(x: Cols, least_lines: int, least_chars: int, least_unique: float, most_navigation: float = 1.0) -> Column:
+    """the first reason to reject a text, or ok; the lines are cut once."""
+
+    def reason(found: Column) -> Column:
+        n = F.greatest(F.lit(1), F.size(found))
+        return (
+            F.when(F.size(found) < max(1, least_lines), "too few lines")
+            .when(F.length(_c(x)) < max(1, least_chars), "too short")
+            .when(F.size(F.array_distinct(found)) / n < least_unique, "low unique-line ratio")
+            .when(_navigating(found) / n > most_navigation, "too many navigation lines")
+            .otherwise("ok")
+        )
+
+    return F.when(strip(F.coalesce(_c(x), F.lit(""))) == "", "empty text").otherwise(_once(lines(x), reason))
+
+
+def _navigating(found: Column) -> Column:
+    return F.size(F.filter(found, lambda t: F.lower(t).rlike("|".join(NAV_WORDS))))
 
 
 def category(url: Cols, title: Cols, content: Cols) -> Column:
@@ -111,6 +123,17 @@ def strip_tracking(url: Cols) -> Column:
     return F.concat(path, F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""), fragment)
 
 
+#: Fixed value: what an address in a text looks like.
+ADDRESS = r"https?://[^\s)\]>\"']+"
+
+
+def strip_tracking_in_text(x: Cols) -> Column:
+    """A text with the tracking parameters of every address in it gone."""
+    between, urls = F.split(_c(x), ADDRESS, -1), F.regexp_extract_all(_c(x), F.lit(ADDRESS), F.lit(0))
+    bare = F.concat(F.transform(urls, strip_tracking), F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, bare, lambda a, b: F.concat(a, b)), "")
+
+
 def normalise_link(link: Cols, host: str) -> Column:
     """Absolute form without a fragment."""
     bare = F.element_at(F.split(_c(link), "#"), 1)
@@ -161,8 +184,7 @@ NAV_WORDS = (
 
 def navigation_ratio(x: Cols) -> Column:
     """share of the lines that hold a navigation word."""
-    found = lines(x)
-    return F.size(F.filter(found, lambda t: F.lower(t).rlike("|".join(NAV_WORDS)))) / F.greatest(F.lit(1), F.size(found))
+    return _once(lines(x), lambda found: _navigating(found) / F.greatest(F.lit(1), F.size(found)))
 
 
 def host(url: Cols) -> Column:
@@ -203,6 +225,17 @@ def language_or(x: Cols, known: tuple[str, ...], default: str) -> Column:
     return F.when(code.isin(*known), code).otherwise(default)
 
 
+def stripped_lower(x: Cols) -> Column:
+    """Stripped and in lower case; null is empty."""
+    return F.lower(strip(F.coalesce(_c(x).cast("string"), F.lit(""))))
+
+
+def memo_key(action: Cols, options: Cols) -> Column:
+    """SHA-256 of an action and its options (a map) as JSON with sorted keys."""
+    ordered = F.map_from_entries(F.array_sort(F.map_entries(_c(options))))
+    return F.sha2(F.concat(_c(action), F.lit("-"), F.to_json(ordered)), 256)
+
+
 def links(html: Cols) -> Column:
     """Targets of anchors in page order, each once."""
     found = F.regexp_extract_all(_c(html), F.lit(r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]+)[\"']"), F.lit(1))

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import nudged_round
+from .market import rollup_medians
 
 
 def price_summary(df: DataFrame, keys: Sequence[str], price: str, digits: int = 2) -> DataFrame:
@@ -24,8 +25,9 @@ def price_summary(df: DataFrame, keys: Sequence[str], price: str, digits: int =
 
 
 def rollup_summary(df: DataFrame, keys: Sequence[str], price: str) -> DataFrame:
-    """Grand total and every level of a hierarchy in one pass; medians are per level, never combined."""
-    return df.rollup(*keys).agg(F.grouping_id().cast("long").alias("level"), F.count("*").alias("n"), nudged_round(F.avg(price), 2).alias("avg_price"), nudged_round(F.median(price), 2).alias("median_price"))
+    """Grand total and every level of a hierarchy; medians are per level, never combined, and found by ranges."""
+    found = rollup_medians(df.select(*keys, price), list(keys), price)
+    return found.select(*keys, "level", "n", nudged_round("mean", 2).alias("avg_price"), nudged_round("median", 2).alias("median_price"))
 
 
 def histogram(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:

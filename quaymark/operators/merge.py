@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def last_of(new: DataFrame, *keys: str) -> DataFrame:
+    """One row for each key: of repeated ones the last, by all other columns in their order."""
+    others = [c for c in new.columns if c not in keys]
+    return new.groupBy(*keys).agg(F.max(F.struct(*others)).alias("__row")).select(*keys, "__row.*").select(*new.columns) if others else new.select(*keys).distinct()
+
+
 def upsert(old: DataFrame, new: DataFrame, *keys: str) -> DataFrame:
-    """Rows of ``new`` replace those with their key; others stay."""
-    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(new)
+    """Rows of ``new`` replace those with their key; others stay.  Of new rows with one key the last counts."""
+    return old.join(new.select(*keys).distinct(), list(keys), "left_anti").unionByName(last_of(new, *keys))
 
 
 def set_on_insert(old: DataFrame, new: DataFrame, key: str, kept: list[str]) -> DataFrame:
@@ -19,11 +25,56 @@ def set_on_insert(old: DataFrame, new: DataFrame, key: str, kept: list[str]) ->
     return upsert(old, merged.select(*fixed), key)
 
 
-def partial_update(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Known changes replace single columns."""
-    marked = changes.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in changes.columns if c != key])
+def partial_update(old: DataFrame, changes: DataFrame, key: str, cleared: str | None = None) -> DataFrame:
+    """Known changes replace single columns; of changes with one key the last counts.
+
+    ``cleared`` names a column of ``changes`` with an array of the columns that become null.
+    """
+    marked = last_of(changes, key).select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in changes.columns if c != key])
     joined = old.join(marked, old[key] == F.col("__key"), "left")
-    return joined.select(*[F.coalesce(F.col(f"__{c}"), old[c]).alias(c) if c in changes.columns and c != key else old[c] for c in old.columns])
+
+    def value(c: str) -> Column:
+        out = F.coalesce(F.col(f"__{c}"), old[c]) if c in changes.columns else old[c]
+        return F.when(~F.coalesce(F.array_contains(F.col(f"__{cleared}"), c), F.lit(False)), out) if cleared else out
+
+    return joined.select(*[old[c] if c == key else value(c).alias(c) for c in old.columns])
+
+
+def update_where(old: DataFrame, ids: DataFrame, key: str, changes: dict[str, Column]) -> DataFrame:
+    """Rows whose key is among ``ids`` get the changes, others stay; a cascade is a second call with the first's ids."""
+    named = ids.select(F.col(key).alias("__key")).distinct()
+    joined = old.join(named, old[key] == F.col("__key"), "left")
+    return joined.select(*[F.when(F.col("__key").isNotNull(), changes[c]).otherwise(old[c]).alias(c) if c in changes else old[c] for c in old.columns])
+
+
+def overwrite(df: DataFrame, path: str) -> None:
+    """The whole table anew."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def outbox(df: DataFrame, kind: str, key: str, payload: list[str]) -> DataFrame:
+    """Messages for what lies outside (kind, key, body as JSON), to be written and sent by another process."""
+    return df.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), F.to_json(F.struct(*payload)).alias("body"))
+
+
+def contact_tables(listings: DataFrame) -> dict[str, DataFrame]:
+    """Listings (source_id, contacts of name, license_no, phones, wtsapps) as contacts, phones and two bridges.
+
+    A contact is known by its name (licence: the least one), a phone by its number; blank phones go, and of a
+    WhatsApp link its first ten digits count.
+    """
+    c = listings.select("source_id", F.explode("contacts").alias("c")).select("source_id", "c.*")
+    contact = F.substring(F.sha2(F.coalesce("name", F.lit("")), 256), 1, 16)
+    c = c.withColumn("contact_id", contact)
+    plain = c.select("contact_id", F.explode("phones").alias("phone"), F.lit(False).alias("is_wtsapp")).where("phone is not null and phone <> ''")
+    chats = c.select("contact_id", F.explode("wtsapps").alias("w")).select("contact_id", F.regexp_extract("w", r"(\d{10})", 1).alias("phone"), F.lit(True).alias("is_wtsapp")).where("phone <> ''")
+    all_phones = plain.union(chats).withColumn("phone_id", F.substring(F.sha2(F.concat_ws("|", "phone", F.col("is_wtsapp").cast("string")), 256), 1, 16))
+    return {
+        "contacts": c.groupBy("contact_id", "name").agg(F.min("license_no").alias("license_no")),
+        "phones": all_phones.select("phone_id", "phone", "is_wtsapp").distinct(),
+        "contact_phones": all_phones.select("contact_id", "phone_id").distinct(),
+        "property_contacts": c.select("source_id", "contact_id").distinct(),
+    }
 
 
 def push_unique(array: Column, item: Column, same) -> Column:

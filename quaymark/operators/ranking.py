@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+
+#: Ranges up to which their offsets are broadcast.
+BROADCAST_RANGES = 100_000
+
 
 def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     """The first k rows of every key; Spark limits within partitions before the shuffle."""
@@ -35,11 +40,14 @@ def photo_target(n: Column) -> Column:
 def batch_number(df: DataFrame, order: list[str], size: int, out: str = "batch") -> DataFrame:
     """T5: numbers of fixed-size batches in order, without a single-task window.
 
-    Ranges are sorted, counted per range, and a range's offset added to the place within it.
+    Rows are dealt out by ranges and kept, so that the numbers of a range and the rows in it are one and
+    the same; a range's offset is added to the place within it.
     """
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id())
+    ranged = written(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     counts = ranged.groupBy("__part").agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     placed = ranged.withColumn("__row", F.row_number().over(W.partitionBy("__part").orderBy(*order)))
-    joined = placed.join(F.broadcast(counts.select("__part", before.alias("__before"))), "__part")  # one row a range
+    offsets = counts.select("__part", before.alias("__before"))  # one row a range
+    few = ranged.rdd.getNumPartitions() <= BROADCAST_RANGES
+    joined = placed.join(F.broadcast(offsets) if few else offsets, "__part")
     return joined.withColumn(out, F.expr(f"(__before + __row - 1) div {size}")).drop("__part", "__row", "__before")

@@ -17,6 +17,7 @@ from ..functions import numbers as N
 from ..functions import text as X
 from ..operators import aggregate as A
 from ..operators import joins as J
+from ..operators import market as K
 from ..operators import merge as M
 from ..operators import ranking as R
 from ..operators import vector as V
@@ -95,7 +96,10 @@ def market_mode_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
 def market_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A8."""
     li = table(spark, sf_dir, "lineitem").select("l_extendedprice", "l_quantity")
-    return li.agg(F.count("*").alias("n"), N.nudged_round(F.avg("l_extendedprice"), 2).alias("avg_price"), N.nudged_round(F.median("l_extendedprice"), 2).alias("median_price"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_quantity"))
+    none = F.lit(None).cast("double")
+    sums = li.agg(F.count("*").alias("n"), N.nudged_round(F.avg("l_extendedprice"), 2).alias("avg_price"), none.alias("median_price"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("total_quantity"))
+    middle = K.medians(li, [], "l_extendedprice").select(F.lit(None).cast("long").alias("n"), none.alias("avg_price"), N.nudged_round("median", 2).alias("median_price"), none.alias("total_quantity"))
+    return sums.union(middle).agg(*[F.max(c).alias(c) for c in sums.columns])  # two rows become one
 
 
 @query("SELECT l_orderkey, l_linenumber, round(coalesce(CASE WHEN l_tax > 0.07 THEN p_retailprice END, CASE WHEN l_quantity > 0 THEN l_extendedprice / l_quantity END)+1e-9,2) AS unit_price FROM lineitem LEFT JOIN part ON l_partkey = p_partkey")
@@ -138,7 +142,8 @@ def demand_five_number(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT field, n_true, n_false, n_true + n_false AS answered, round(CASE WHEN n_true + n_false > 0 THEN n_true / (n_true + n_false) END + 1e-9, 4) AS true_ratio FROM (SELECT 'quality' AS field, count(*) FILTER (quality = 1) AS n_true, count(*) FILTER (quality = 0) AS n_false FROM labels UNION ALL SELECT 'toxic', count(*) FILTER (toxic = 1), count(*) FILTER (toxic = 0) FROM labels)")
 def demand_boolean_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A12, N7."""
-    marks = table(spark, sf_dir, "labels").select(N.bool_or_null("quality").alias("quality"), N.bool_or_null("toxic").alias("toxic"))
+    labels = table(spark, sf_dir, "labels")
+    marks = labels.select(*[N.bool_or_null(F.col(c).cast("string")).alias(c) for c in ("quality", "toxic")])
     return A.boolean_tally(marks, "quality", "toxic")
 
 
@@ -223,15 +228,14 @@ def generate_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queue_first_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each user's queue in order, how much of it has expired and its first live item."""
     e = table(spark, sf_dir, "events").where("event_type = 'view'").select("user_id", "event_id", (F.col("ts") + F.expr("interval 2 days") > F.lit(NOW).cast("timestamp")).alias("live"))
-    queue = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_id", "live"))).alias("q"))
-    return queue.select("user_id", F.size("q").cast("long").alias("queued"), F.size(F.filter("q", lambda x: ~x["live"])).cast("long").alias("expired"), R.first_live(F.col("q"), lambda x: x["live"])["event_id"].alias("first_live"))
+    return e.groupBy("user_id").agg(F.count("*").alias("queued"), F.count_if(~F.col("live")).alias("expired"), F.min(F.when(F.col("live"), F.col("event_id"))).alias("first_live"))
 
 
 @query("SELECT conv_id, count(*) >= 3 AND bool_and(role IN ('user', 'assistant')) FILTER (back <= 3) AS last_all FROM (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC) AS back FROM conversations) GROUP BY 1")
 def last_k_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F4, R7, with k = 3."""
-    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("m"))
-    return c.select("conv_id", R.last_k_all(F.col("m"), 3, lambda x: x["role"].isin("user", "assistant")).alias("last_all"))
+    last = R.top_per_key(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role"), ["conv_id"], [F.desc("turn"), F.desc("role")], 3)
+    return last.groupBy("conv_id").agg(((F.count("*") >= 3) & F.bool_and(F.col("role").isin("user", "assistant"))).alias("last_all"))
 
 
 @query("SELECT conv_id, max(CASE WHEN role = 'system' THEN turn END) AS last_system, count(*) FILTER (role <> 'system') AS others FROM conversations GROUP BY 1")
@@ -241,12 +245,13 @@ def latest_marker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.groupBy("conv_id").agg(F.max(F.when(F.col("role") == "system", F.col("turn"))).alias("last_system"), F.count_if(F.col("role") != "system").alias("others"))
 
 
-@query("SELECT conv_id, count(*) AS messages, sum(length(text)) AS chars, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (back <= 6) AS recent, count(*) > 6 OR sum(length(text)) > 2800 AS compact FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations) GROUP BY 1")
+@query("SELECT conv_id, count(*) AS messages, sum(length(text)) AS chars, string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FILTER (back <= 6) AS recent, (count(*) > 12 OR sum(length(text)) > 2800) AND count(*) > 8 AS compact FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS back FROM conversations) GROUP BY 1")
 def rolling_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The six latest messages, and whether a conversation is due for a summary."""
-    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.count("*").alias("messages"), F.sum(F.length("text")).alias("chars"), F.array_sort(F.collect_list("turn")).alias("t"))
-    recent = F.array_join(R.last_k(F.col("t"), 6).cast("array<string>"), ",")
-    return c.select("conv_id", "messages", "chars", recent.alias("recent"), ((F.col("messages") > 6) | (F.col("chars") > 2800)).alias("compact"))
+    c = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
+    last = R.top_per_key(c, ["conv_id"], [F.desc("turn")], 6).groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list("turn")).cast("array<string>"), ",").alias("recent"))
+    due = ((F.col("messages") > 12) | (F.col("chars") > 2800)) & (F.col("messages") > 8)
+    return c.groupBy("conv_id").agg(F.count("*").alias("messages"), F.sum("size").alias("chars")).join(last, "conv_id").select("conv_id", "messages", "chars", "recent", due.alias("compact"))
 
 
 @query("SELECT conv_id, turn, role FROM conversations WHERE turn BETWEEN 2 AND 5")
@@ -316,8 +321,9 @@ def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey, string_agg(o_orderpriority, ',' ORDER BY pos) AS priorities FROM (SELECT o_custkey, o_orderpriority, min(o_orderkey) AS pos FROM orders GROUP BY 1, 2) GROUP BY 1")
 def ordered_union_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct values in the order of their first place."""
-    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("a"))
-    return o.select("o_custkey", F.array_join(F.array_distinct(F.transform("a", lambda x: x["o_orderpriority"])), ",").alias("priorities"))
+    first = table(spark, sf_dir, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.min("o_orderkey").alias("pos"))
+    o = first.groupBy("o_custkey").agg(F.array_sort(F.collect_list(F.struct("pos", "o_orderpriority"))).alias("a"))
+    return o.select("o_custkey", F.array_join(F.transform("a", lambda x: x["o_orderpriority"]), ",").alias("priorities"))
 
 
 @query("SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'O' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
@@ -342,16 +348,19 @@ def doc_sanitize(spark: SparkSession, sf_dir: str) -> DataFrame:
 LINES = r"list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '')"
 
 
-@query(None)
+NOISE = "|".join(f"(?:{p})" for p in X.NOISE_LINES)
+
+
+@query(f"SELECT doc_id, array_to_string(list_filter(l, lambda x, i: list_position(l, x) = i AND length(x) > 2 AND NOT regexp_matches(lower(x), '{NOISE}')), chr(10)) AS clean FROM (SELECT doc_id, {LINES} AS l FROM documents WHERE text IS NOT NULL)")
 def doc_denoise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeated and noise lines go; tested with golden rows (ordered distinct has no SQL counterpart here)."""
-    return table(spark, sf_dir, "documents").select("doc_id", X.denoise("text").alias("clean"))
+    """Repeated and noise lines go."""
+    return table(spark, sf_dir, "documents").where("text is not null").select("doc_id", X.denoise("text").alias("clean"))
 
 
-@query(f"SELECT doc_id, CASE WHEN trim(text, ' ' || chr(10) || chr(9)) = '' THEN 'empty text' WHEN len(l) < 3 THEN 'too few lines' WHEN length(text) < 400 THEN 'too short' WHEN len(list_distinct(l)) / greatest(1, len(l)) < 0.6 THEN 'low unique-line ratio' ELSE 'ok' END AS reason FROM (SELECT doc_id, text, {LINES} AS l FROM documents)")
+@query(f"SELECT doc_id, CASE WHEN trim(text, ' ' || chr(10) || chr(9)) = '' THEN 'empty text' WHEN len(l) < 3 THEN 'too few lines' WHEN length(text) < 400 THEN 'too short' WHEN len(list_distinct(l)) / greatest(1, len(l)) < 0.6 THEN 'low unique-line ratio' WHEN len(list_filter(l, lambda x: regexp_matches(lower(x), '{'|'.join(X.NAV_WORDS)}'))) / greatest(1, len(l)) > 0.5 THEN 'too many navigation lines' ELSE 'ok' END AS reason FROM (SELECT doc_id, text, {LINES} AS l FROM documents)")
 def doc_quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F7."""
-    return table(spark, sf_dir, "documents").select("doc_id", X.quality_reason("text", 3, 400, 0.6).alias("reason"))
+    return table(spark, sf_dir, "documents").select("doc_id", X.quality_reason("text", 3, 400, 0.6, 0.5).alias("reason"))
 
 
 @query("SELECT page_id, url, regexp_matches(url, '(?i)/tag/|/tags/|/category/|/author/|/feed/?$|/wp-json|/privacy|/terms|/cookie|/login|/signup|/register|/cart|/checkout') AS skipped FROM pages")
@@ -422,15 +431,10 @@ def llm_request_emit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))+1e-9,6) AS cosine FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q WHERE e.label <> 3 ORDER BY 2 DESC, 1 LIMIT 10")
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """V1: cosine top-k with a filter; one query vector, so the other side is a single row."""
-    e = table(spark, sf_dir, "embeddings").withColumn("v", F.col("embedding").cast("array<double>"))
-    q = e.where("vec_id = 0").select(F.col("v").alias("q"))
-
-    def dot(a: str, b: str):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-
-    scored = e.where("label <> 3").join(F.broadcast(q), how="inner")
-    return scored.select("vec_id", N.nudged_round(dot("v", "q") / F.sqrt(dot("v", "v") * dot("q", "q")), 6).alias("cosine")).orderBy(F.desc("cosine"), "vec_id").limit(10)
+    """V1: cosine top-k with a filter for one query vector."""
+    ship(spark)
+    e = table(spark, sf_dir, "embeddings")
+    return V.nearest_vectors(e.where("vec_id = 0"), e.where("label <> 3"), 10).select("vec_id", "cosine").orderBy(F.desc("cosine"), "vec_id").limit(10)
 
 
 @query("SELECT query_id, vec_id, cosine, place FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cosine DESC, vec_id) AS place FROM (SELECT q.vec_id AS query_id, e.vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[]))+1e-9,6) AS cosine FROM embeddings e, embeddings q WHERE e.label <> 3 AND q.vec_id % 100 = 0)) WHERE place <= 10")
@@ -533,3 +537,6 @@ def markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def export_bridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bridge of a normalised export."""
     return M.normalise(table(spark, sf_dir, "conversations"), "conv_id", "role")[1].select("conv_id", F.col("id").alias("role_id"))
+
+
+from . import domain_queries  # noqa: E402, F401 - registers its queries

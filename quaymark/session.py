@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Defaults that the library relies on; everything else is the cluster's choice.
 DEFAULTS = {
@@ -39,3 +39,18 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _SHIPPED.add(app)
     return spark
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder, for plans that read it in several branches.
+
+    The folder is the session's ``spark.checkpoint.dir``; a local one is used only where everything runs in
+    one process and none is named.
+    """
+    context = df.sparkSession.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "quaymark-checkpoints"))
+    return df.checkpoint()
