@@ -94,24 +94,29 @@ def common_shingles(members: DataFrame) -> DataFrame | None:
     return members.sparkSession.createDataFrame([(t,) for t in found], "token long").withColumn("hot", F.lit(True)) if found else None
 
 
-def marked(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
-    """``rows`` with hot: whether the token is a common one.  The common ones are a bounded number."""
+def dealt_out(rows: DataFrame, hot: DataFrame | None) -> DataFrame:
+    """Postings by token, common tokens (a bounded number) by token and class, each partition sorted by both."""
     if hot is None:
-        return rows.withColumn("hot", F.lit(False))
-    return rows.join(F.broadcast(hot), "token", "left").fillna(False, ["hot"])
+        return rows.repartition("token").sortWithinPartitions("token", "cls")
+    known = rows.join(F.broadcast(hot), "token", "left")
+    told = F.when(F.col("hot"), F.col("told") + 1).otherwise(F.col("told")).alias("told")
+    # The salt follows from what a row says, so that it need not travel.
+    salt = F.when(F.col("told") % 2 == 1, F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0))
+    return known.select("token", "cls", told).repartition("token", salt).sortWithinPartitions("token", "cls")
 
 
 def postings(documents: DataFrame, words: int, percent: int, collided: frozenset[int]) -> DataFrame:
-    """token, cls, n and picked (how many of the class's shingles are picked) for every picked shingle.
+    """token, cls and told for every picked shingle; told holds n and picked (how many of the class's shingles are picked).
 
-    Where they do not fill a prefix, the first of the other shingles follow, with picked = -1.
+    Where they do not fill a prefix, the first of the other shingles follow, with picked = -1.  One number for
+    both, n << 32 | picked + 1 << 1, keeps the rows that are dealt out narrow; its last bit is for ``hot``.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
             texts = texts_of(b.column("text"))
             for i in range(0, len(texts), TEXTS):
-                tokens, kinds, sizes, classes, lengths = [], [], [], [], []
+                tokens, told, sizes, classes = [], [], [], []
                 for found in shingle_sets(texts[i : i + TEXTS], words):
                     n = len(found)
                     if not n:
@@ -120,14 +125,13 @@ def postings(documents: DataFrame, words: int, percent: int, collided: frozenset
                     mine = found[in_share]
                     rest = found[~in_share][: max(0, n - needed(n, percent) + 1 - len(mine))]
                     tokens += (mine, rest)
-                    kinds += (np.full(len(mine), len(mine), np.int32), np.full(len(rest), -1, np.int32))
+                    told += (np.full(len(mine), n << 32 | (len(mine) + 1) << 1), np.full(len(rest), n << 32))
                     sizes.append(len(mine) + len(rest))
                     classes.append(class_of(found, collided))
-                    lengths.append(n)
                 if sizes:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(classes, np.int64), sizes)), pa.array(np.repeat(np.array(lengths, np.int32), sizes)), pa.array(np.concatenate(kinds))], names=["token", "cls", "n", "picked"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.repeat(np.array(classes, np.int64), sizes)), pa.array(np.concatenate(told))], names=["token", "cls", "told"])
 
-    return map_arrow(documents.select("text"), run, "token long, cls long, n int, picked int")
+    return map_arrow(documents.select("text"), run, "token long, cls long, told long")
 
 
 def frequencies(dealt: DataFrame) -> DataFrame:
@@ -149,7 +153,8 @@ def frequencies(dealt: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), *(pa.array(rows[:, k].astype(np.int32)) for k in (2, 3)), pa.array(hot), pa.array(df.astype(np.int32))], names=names)
 
         for b in batches(parts):
-            rows = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names[:5]], 1)
+            told = b.column("told").to_numpy()
+            rows = np.stack([b.column("token").to_numpy(), b.column("cls").to_numpy(), told >> 32, (told >> 1 & 0x7FFFFFFF) - 1, told & 1], 1)
             new = np.r_[last is None or bool((rows[0, :2] != last).any()), (rows[1:, :2] != rows[:-1, :2]).any(1)]
             last = rows[-1, :2]
             rows = np.concatenate([held, rows[new]])
@@ -359,7 +364,7 @@ def doubtful(spark: SparkSession, shared: DataFrame, joined: DataFrame) -> DataF
 
 
 def class_sets(documents: DataFrame, wanted: DataFrame, words: int, collided: frozenset[int]) -> DataFrame:
-    """cls and sorted tokens of the wanted classes (doc_id, cls), from the text of their least doc_id.
+    """cls and sorted tokens of the wanted classes (doc_id, cls), from the text of their least doc_id (repeated rows repeat them).
 
     Classes that only rows without doc_id have are read from those rows.
     """
@@ -379,8 +384,8 @@ def class_sets(documents: DataFrame, wanted: DataFrame, words: int, collided: fr
     out = map_arrow(documents.join(F.broadcast(named) if few else named, "doc_id").select("cls", "text"), run, schema)
     if not nameless.isEmpty():
         more = map_arrow(documents.where("doc_id is null").select(F.lit(None).cast("long").alias("cls"), "text"), run, schema)
-        out = out.unionByName(more.join(nameless.select("cls"), "cls", "left_semi"))
-    return out.dropDuplicates(["cls"])
+        out = out.unionByName(more.join(nameless.select("cls"), "cls", "left_semi").dropDuplicates(["cls"]))
+    return out
 
 
 def find_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -397,7 +402,9 @@ def find_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         found = np.array(link(classes, sets, left, right, percent, joined), np.int64).reshape(-1, 2)
         return pa.table({"u": found[:, 0], "v": found[:, 1]})
 
-    return members.join(sets, "cls").groupBy("root", "i", "j").applyInArrow(run, "u long, v long")
+    # Members are a few numbers each; only the sets that they name move, and only to their blocks.
+    few = count_rows(members, BROADCAST_CLASSES) <= BROADCAST_CLASSES
+    return sets.join(F.broadcast(members) if few else members, "cls").groupBy("root", "i", "j").applyInArrow(run, "u long, v long")
 
 
 def links_of(spark: SparkSession, shared: DataFrame, families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -409,14 +416,14 @@ def links_of(spark: SparkSession, shared: DataFrame, families: DataFrame, sets:
         return links
     for turn in range(1, ROUNDS + 1):
         joined = connected(spark, large, links)
-        apart = chunked(joined.where("cls = comp").select("root", "cls", "n"), turn)
+        apart = stage(spark, chunked(joined.where("cls = comp").select("root", "cls", "n"), turn), "apart")
         more = stage(spark, find_links(within(apart), sets, percent), "links")
         if more.isEmpty():
             break
         links = links.union(more)
     joined = stage(spark, connected(spark, large, links), "joined")
     left = doubtful(spark, shared, joined)
-    return links if left is None else links.union(stage(spark, find_links(left, sets, percent), "links"))
+    return links if left is None else links.union(stage(spark, find_links(stage(spark, left, "doubtful"), sets, percent), "links"))
 
 
 def collided_classes(classes: DataFrame) -> frozenset[int]:
@@ -443,18 +450,13 @@ def near_duplicates(documents: DataFrame, words: int = 5, percent: int = 80) ->
         members = members.withColumn("cls", F.when(F.col("cls").isin(*collided), F.col("other")).otherwise(F.col("cls")))
         classes = classes_of(members)
     with arrow_rows(spark, ROWS):
-        rows = marked(postings(documents, words, percent, collided), hot)
-        salt = F.when(F.col("hot"), F.pmod("cls", F.lit(SALTS))).otherwise(F.lit(0))
-        counted = stage(spark, frequencies(rows.repartition("token", salt).sortWithinPartitions("token", "cls")), "counted")
-        prefix = in_prefix(counted, percent)
-        if hot is None:
-            shared, between = stage(spark, neighbours(prefix, percent), "shared"), None
-        else:
-            prefix = stage(spark, prefix, "prefix")
-            stars, between = hubs(prefix, percent)
-            shared = stage(spark, neighbours(prefix, percent).unionByName(stars), "shared")
+        counted = stage(spark, frequencies(dealt_out(postings(documents, words, percent, collided), hot)), "counted")
+        prefix = stage(spark, in_prefix(counted, percent), "prefix")
+        release(spark, counted)
+        stars, between = hubs(prefix, percent) if hot is not None else (None, None)
+        near = neighbours(prefix, percent)
+        shared = stage(spark, near if stars is None else near.unionByName(stars), "shared")
         families = stage(spark, _families(spark, shared, between), "families")
-    release(spark, counted)
     wanted = stage(spark, families.select("cls").join(classes.select("cls", "doc_id"), "cls"), "wanted")
     sets = stage(spark, class_sets(documents, wanted, words, collided), "sets")
     links = links_of(spark, shared, families, sets, percent)

@@ -86,20 +86,32 @@ def _sets(texts: list[str], words: int) -> list[np.ndarray]:
     return out
 
 
-def fingerprints(found: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit fingerprints of a set, its size included, as signed integers."""
+def _mark(sums: np.uint64, folded: np.uint64, size: int) -> int:
+    mixed = mix64(np.array([sums], np.uint64)) ^ folded
+    return int(mix64(mixed * np.uint64(0x9E3779B97F4A7C15) + np.uint64(size)).view(np.int64)[0])
+
+
+def first_fingerprint(found: np.ndarray) -> int:
+    """A 64-bit fingerprint of a set, its size included, as a signed integer."""
     if not len(found):
-        return 0, 0
-    a = mix64(found + np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64)
-    b = np.bitwise_xor.reduce(mix64(found ^ np.uint64(0xE7037ED1A0B428DB)))
-    c = mix64(found * np.uint64(0x8EBC6AF09C88C6E3) + np.uint64(0x589965CC75374CC3)).sum(dtype=np.uint64)
-    size = np.uint64(len(found))
-    mixed = mix64(np.array([a, c], np.uint64)) ^ np.array([b, mix64(np.array([b + size], np.uint64))[0]], np.uint64)
-    one, two = mix64(mixed * np.uint64(0x9E3779B97F4A7C15) + size).view(np.int64).tolist()
-    return one, two
+        return 0
+    return _mark(mix64(found + np.uint64(0xA0761D6478BD642F)).sum(dtype=np.uint64), np.bitwise_xor.reduce(mix64(found ^ np.uint64(0xE7037ED1A0B428DB))), len(found))
+
+
+def second_fingerprint(found: np.ndarray) -> int:
+    """Another one, of other sums."""
+    if not len(found):
+        return 0
+    mixed = mix64(found * np.uint64(0x8EBC6AF09C88C6E3) + np.uint64(0x589965CC75374CC3))
+    return _mark(mixed.sum(dtype=np.uint64), np.bitwise_xor.reduce(mixed * np.uint64(0xD6E8FEB86659FD93)), len(found))
+
+
+def fingerprints(found: np.ndarray) -> tuple[int, int]:
+    """Both fingerprints of a set."""
+    return first_fingerprint(found), second_fingerprint(found)
 
 
 def class_of(found: np.ndarray, collided: frozenset[int]) -> int:
     """The class of a set: its first fingerprint, or the second where the first is known to stand for several sets."""
-    one, two = fingerprints(found)
-    return two if one in collided else one
+    one = first_fingerprint(found)
+    return second_fingerprint(found) if one in collided else one
