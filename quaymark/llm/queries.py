@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+from .sql import jaccard_sql, pii_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_quality_cotraining,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: The others need a tokenizer, a model, stored bytes or an HTML parser.
+ORACLE_SQL: dict[str, str] = {"op6_pii_sanitisation": pii_sql(), "op7_ngram_jaccard_join": jaccard_sql()}
