@@ -43,7 +43,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/quaymark/{uuid.uuid4().hex}/{name}"
+    return f"{shared_dir(spark)}/quaymark/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all that this application has staged, once its results are written."""
+    _delete(spark, f"{shared_dir(spark)}/quaymark/{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def few_files(df: DataFrame) -> DataFrame:
@@ -64,8 +74,7 @@ def release(spark: SparkSession, df: DataFrame) -> None:
     """Delete a staged table that nothing reads any more."""
     path = getattr(df, "_staged_path", None)
     if path:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+        _delete(spark, path)
 
 
 def doc_columns(df: DataFrame, *names: str) -> DataFrame:

@@ -425,3 +425,147 @@ def test_quality_views_are_separate(spark):
         got[r.doc_id].append(r)
     assert got[900][0].metadata_score == got[901][0].metadata_score and got[900][0].content_score == got[902][0].content_score
     assert len(got[902]) == 2 and got[902][0] == got[902][1] and len(got[None]) == 1
+
+
+def test_token_counts_of_a_table(spark):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = queries.vocabulary("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    docs = edge(spark).withColumn("n_tokens", F.lit("clash"))
+    rows = sorted(((str(r.doc_id), r.n_bytes, r.n_tokens, r.over_limit) for r in tokencount.count_tokens(docs, path, 4096).collect()))
+    expected = [(str(i), len((t or "").encode()), len(library.encode(t or ""))) for i, t in EDGE]
+    assert rows == sorted((*e, e[2] > 4096) for e in expected)
+    assert tokencount.count_tokens(docs.limit(0), path).count() == 0
+
+
+def test_long_unbroken_texts():
+    """Merged alone, by rank: the library's counts, in time that grows with the text."""
+    import time
+
+    sentencepiece = pytest.importorskip("sentencepiece")
+    path = queries.vocabulary("piece_bpe_32k.model")
+    model, library = tokencount.PieceModel(path), sentencepiece.SentencePieceProcessor(model_file=path)
+    r = random.Random(8)
+    texts = ["".join(r.choice("abcdefghij0123456789XYZ") for _ in range(60_000)), "ab" * 3000, "a" * 2999, "internationalization" * 200, "漢字" * 300, "▁" * 700 + "the" * 200, "x" * 257]
+    began = time.perf_counter()
+    found = [model.count([t])[0] for t in texts]
+    assert found == [len(library.encode(t)) for t in texts] and time.perf_counter() - began < 30
+
+
+def test_sniffing_is_linear_and_strict():
+    import time
+
+    began = time.perf_counter()
+    for magic in (b"%PDF-", b"PK\x03\x04", b"PK\x05\x06", b"OggS", b"RIFF", b"\x89PNG\r\n\x1a\n", b"\x1f\x8b\x08"):
+        assert media.sniff(magic * 100_000, "t") == ("t", [])
+    assert time.perf_counter() - began < 20
+
+    def pdf(body):
+        head = b"%PDF-1.4\n" + body
+        return head + b"xref\n0 1\ntrailer\nstartxref\n%d\n%%%%EOF" % len(head)
+
+    one = pdf(b"x")
+    more = one + b"\nxref\nstartxref\n%d\n%%%%EOF" % (len(one) + 1)  # an update with its own table
+    assert media.sniff(more)[0] == "application/pdf" and media.sniff(b"--" + more + b"\n" + one, "t")[1] == [("application/pdf", 2, len(more)), ("application/pdf", 3 + len(more), len(one))]
+    assert media.sniff(one.replace(b"startxref\n", b"startxref\n9"), "t") == ("t", [])
+
+    def page(flags, data):
+        raw = b"OggS\0" + bytes([flags]) + bytes(8) + b"abcd" + bytes(4) + bytes(4) + bytes([1, len(data)]) + data
+        return raw[:22] + struct.pack("<I", media._ogg_crc(raw)) + raw[26:]
+
+    ogg = page(2, b"one") + page(4, b"two")
+    assert media.sniff(b"." + ogg)[1] == [("audio/ogg", 1, len(ogg))] and media.sniff(b"." + ogg[:-1] + b"x")[1] == []
+    import io
+    import zipfile
+
+    box = io.BytesIO()
+    with zipfile.ZipFile(box, "w") as z:
+        z.writestr("a", "b" * 50)
+        z.writestr("c", "d")
+    box = box.getvalue()
+    assert media.sniff(b"junk" + box + b"junk", "t") == ("t", [("application/zip", 4, len(box))])
+
+
+def test_sniffing_columns(spark):
+    rows = [(None, None, "x/y"), (1, b"", "x/y"), (1, media.wav(b"ab"), None)]
+    df = spark.createDataFrame(rows, "doc_id long, media binary, declared string").withColumn("carved", F.lit(1)).withColumn("sniffed_type", F.lit("clash"))
+    got = sorted((str(r.doc_id), str(r.sniffed_type), r.carved) for r in media.sniff_media(df).collect())
+    assert got == [("1", "audio/wav", []), ("1", "x/y", []), ("None", "None", [])]
+    assert media.sniff_media(df.limit(0)).count() == 0 and media.media_digest(edge(spark).limit(0)).count() == 0
+
+
+def test_language_by_brute_force(spark):
+    """Naive Bayes in plain Python over the same hashed n-grams."""
+    r = random.Random(4)
+    rows = [(i, " ".join(r.choice(w) for _ in range(r.randint(1, 9))), lang) for i in range(90) for lang, w in (("aa", ["Ungut", "tas", "é1"]), ("bb", ["gut,", "ast", "tut"]))[i % 2 : i % 2 + 1]]
+    docs = spark.createDataFrame([*rows, (200, "gut", None), (None, "gut", "bb")], "doc_id long, text string, lang string").withColumn("held_out", F.lit("clash"))
+
+    def letters(text):
+        return " " + re.sub("[^a-zé]+", " ", text.lower()).strip() + " "
+
+    def hashed(gram):
+        x = len(gram)
+        for k, c in enumerate(gram):
+            x = ((x ^ ord(c)) * int(langid.MULTIPLIERS[k])) & 0xFFFFFFFF
+            x ^= x >> 15
+        return ((x * 0x27D4EB2F) & 0xFFFFFFFF) >> (32 - langid.BUCKET_BITS)
+
+    def buckets(text):
+        t = letters(text)
+        return [hashed(t[i : i + n]) for n in langid.ORDERS for i in range(len(t) - n + 1)]
+
+    learnt = [(t, lang) for i, t, lang in rows if zlib.crc32(str(i).encode()) % 3 != 1]
+    counts, prior = {lang: defaultdict(int) for lang in ("aa", "bb")}, {lang: sum(x == lang for _, x in learnt) / len(learnt) for lang in ("aa", "bb")}
+    for t, lang in learnt:
+        for b in buckets(t):
+            counts[lang][b] += 1
+    size = 1 << langid.BUCKET_BITS
+    found = {x.doc_id: x for x in langid.identify(docs).collect()}
+    for i, t, _ in rows:
+        score = {lang: np.log(prior[lang]) + sum(np.log((c[b] + 0.5) / (sum(c.values()) + size / 2)) for b in buckets(t)) for lang, c in counts.items()}
+        best = max(score, key=score.get)
+        assert found[i].lang_pred == best and found[i].score == pytest.approx(1 / sum(np.exp(s - score[best]) for s in score.values()), abs=1e-3)
+        assert found[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+    assert found[None].held_out is False and found[200].lang_pred in ("aa", "bb")
+    assert langid.identify(docs.limit(0)).count() == 0
+
+
+def test_language_ties_and_long_texts(spark):
+    train = spark.createDataFrame([(1, "abc", "yy"), (2, "abc", "xx"), (3, "zzz", "zz")], "doc_id long, text string, lang string")
+    model = langid.train(train)
+    assert model.score(["abc"])[0] == ["xx"]  # a tie goes to the first by name
+    long = "abc " * 200_000
+    assert model.score([long, "", "abc"])[0] == ["xx", "und", "xx"] and sum(len(p) for _, part in langid.pieces([long]) for p in part) == len(long)
+    kept = langid.select_recognised(train.withColumn("extra", F.array(F.lit(1))), model, 0.9).collect()
+    assert [(r.doc_id, r.extra) for r in kept] == [(3, [1])]
+
+
+def test_pii_edges(spark):
+    rows = [(None, "mail a@b.cd now"), (1, "mail a@b.cd now"), (1, "mail a@b.cd now"), (2, None), (3, "x" * 200_000 + " 1.2.3.4")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("spans", F.lit("clash"))
+    got = sorted((str(r.doc_id), r.n_email, r.n_ip) for r in pii.pii_digest(docs).collect())
+    assert got == [("1", 1, 0), ("1", 1, 0), ("2", 0, 0), ("3", 0, 1), ("None", 1, 0)]
+    assert pii.pii_digest(docs.limit(0)).count() == 0 and pii.sanitise(docs.limit(0)).count() == 0
+
+
+ITEM = "the baker sold {} loaves and {} rolls for {} euros while the miller {} brought flour to the town in the morning"
+
+
+def test_decontamination_edges(spark):
+    items = [(k, ITEM.format(k + 10, k + 20, k + 30, "Ann")) for k in range(300)] + [(500, ITEM.format(10, 20, 30, "Ann")), (None, ITEM.format(10, 20, 30, "Ann"))]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    long = "filler word here " * 60_000 + ITEM.format(11, 21, 31, "Ann") + ". " + ITEM.format(13, 23, 33, "Ann")
+    docs = spark.createDataFrame([(1, items[0][1]), (1, items[0][1]), (2, long), (3, ITEM.format(901, 902, 903, "Bob")), (None, items[5][1])], "doc_id long, text string").withColumn("item_id", F.lit("clash"))
+    got = sorted((str(r.doc_id), r.item_id, r.kind, r.entries) for r in decontaminate.contaminated(docs, bench).collect())
+    # One row for a copy of each different item, and one for a new instance, however many items share the template.
+    assert [g for g in got if g[0] != "3"] == [("1", 0, "copy", 300), ("1", 0, "copy", 300), ("2", 1, "copy", 300), ("2", 3, "copy", 300), ("None", 5, "copy", 300)]
+    assert len([g for g in got if g[0] == "3"]) == 1 and [g for g in got if g[0] == "3"][0][2] == "reparameterised"
+    assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_words_are_described_alike_one_by_one_and_together():
+    import pyarrow as pa
+
+    words = ["Haus", "haus", "HAUS", "(haus).", "3km", "12,5", "km", "“Zitat”", "a.b", "É", "École!", "x:", "..", "²", "Ünder\".", "_a_", "don't", "ß?"]
+    first, inner, flags = decontaminate.describe_all(pa.array(words))
+    assert [(int(a), int(b), int(c)) for a, b, c in zip(first, inner, flags, strict=True)] == [decontaminate.describe(w)[:3] for w in words]
