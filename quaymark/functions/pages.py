@@ -177,6 +177,42 @@ def page_for_model(html: str | None, longest: int = LONGEST) -> str:
     return root.text("\n")[:longest]
 
 
+#: Elements and classes that are no content, and containers of the content.
+DROPPED = ("script", "style", "noscript", "svg", "canvas", "form", "iframe", "header", "footer", "nav", "aside", ".sidebar", ".menu", ".breadcrumb", ".ads", ".advertisement", ".cookie", ".popup")
+CONTENT = ("main", "article", ".article", ".post", "#content", ".content")
+
+
+def _table_lines(number: int, table: Node) -> list[str]:
+    """A table as text: a title, and a line a row, with its headers before the values if it has as many."""
+    rows = [[c for c in r.walk() if c.tag in ("th", "td")] for r in table.find("tr")]
+    if not rows:
+        return []
+    clean = lambda c: " ".join(c.text(" ").split())
+    heads = [clean(c) for c in rows[0]] if any(c.tag == "th" for c in rows[0]) else []
+    lines = []
+    for row in rows[1:] if heads else rows:
+        cells = list(filter(None, map(clean, row)))
+        if cells:
+            lines.append("; ".join(f"{h}: {v}" for h, v in zip(heads, cells, strict=True) if h) if heads and len(heads) == len(cells) else " | ".join(cells))
+    named = " | ".join(filter(None, heads))
+    return [f"Table {number}: {named}" if named else f"Table {number}", *lines] if lines else []
+
+
+def clean_page(html: str | None) -> dict[str, str]:
+    """X11: the title, and the text of the first content container without what is no content; tables follow as lines."""
+    root = parse(html)
+    title = next((" ".join("".join(c for c in n.children if isinstance(c, str)).split()) for n in root.walk() if n.tag == "title"), "")
+    for n in list(root.walk()):
+        n.children = [c for c in n.children if isinstance(c, str) or not any(c.matches(d) for d in DROPPED)]
+    found = [n for n in root.walk() if n.tag and any(n.matches(c) for c in CONTENT)] or root.find("body") or [root]
+    target = found[0]
+    tables = ["\n".join(lines) for k, t in enumerate(target.find("table"), 1) if (lines := _table_lines(k, t))]
+    for n in list(target.walk()):
+        n.children = [c for c in n.children if isinstance(c, str) or c.tag != "table"]
+    text = "\n".join(filter(None, (" ".join(line.split()) for line in target.text("\n").split("\n"))))
+    return {"title": title, "text": text + ("\n\nStructured tables\n" + "\n\n".join(tables) if tables else "")}
+
+
 def agents_of(html: str | None) -> list[dict]:
     """Name, phone and licence of every agent's block of a company's page that has a licence."""
     out = []
@@ -206,6 +242,11 @@ def ld_json(html: Cols) -> Column:
     return _rows(ld_fields, "price string, posted string, updated string, agent string")(_c(html))
 
 
+def cleaned(html: Cols) -> Column:
+    """X11 as a column: a struct of title and text."""
+    return _rows(clean_page, "title string, text string")(_c(html))
+
+
 def details(html: Cols) -> Column:
     """X13 as a column: a struct of fields, null fields where the page has no content."""
     return _rows(detail_fields, _DETAIL)(_c(html))

@@ -120,3 +120,17 @@ def normalise(df: DataFrame, key: str, value: str) -> tuple[DataFrame, DataFrame
     """A dimension (id, value) of distinct values and a bridge (key, id); ids derive from the values."""
     coded = df.where(F.col(value).isNotNull()).select(key, value, F.substring(F.sha2(F.col(value).cast("string"), 256), 1, 16).alias("id"))
     return coded.select("id", value).distinct(), coded.select(key, "id").distinct()
+
+
+def merge_maps(a: Column, b: Column) -> Column:
+    """Both maps; where they share a key, the second one's value."""
+    return F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)
+
+
+def ordered_union(*lists: DataFrame, value: str = "value", pos: str = "pos") -> DataFrame:
+    """Values of several ordered lists (value, pos), each once at its first place, with a new order (list, pos)."""
+    all_rows = None
+    for k, rows in enumerate(lists):
+        part = rows.select(value, F.struct(F.lit(k).alias("list"), F.col(pos).cast("long").alias("pos")).alias("place"))
+        all_rows = part if all_rows is None else all_rows.unionByName(part)
+    return all_rows.groupBy(value).agg(F.min("place").alias("place")).select(value, "place.*")

@@ -606,6 +606,41 @@ def district_translations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").select("n_name", district.english_name(d).alias("en"), district.simplified_name(d).alias("cn"))
 
 
+@query("WITH c AS (SELECT c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'p' || CAST(c_custkey % 9 AS VARCHAR) END AS held FROM customer WHERE c_custkey % 7 <> 0), m AS (SELECT c_custkey AS id, CASE c_custkey % 5 WHEN 0 THEN NULL ELSE 'p' || CAST((c_custkey + c_custkey % 2) % 9 AS VARCHAR) END AS first FROM customer WHERE c_custkey % 3 <> 0) SELECT coalesce(c.id, m.id) AS id, CASE WHEN m.id IS NULL THEN NULL WHEN c.id IS NULL THEN 'conversation_not_found' WHEN first IS NULL THEN 'nothing_matched' WHEN first = held THEN 'already_queued' ELSE 'queued' END AS outcome, CASE WHEN held IS NULL THEN 0 ELSE 1 END + CASE WHEN m.id IS NOT NULL AND c.id IS NOT NULL AND first IS NOT NULL AND first IS DISTINCT FROM held THEN 1 ELSE 0 END AS size FROM c FULL JOIN m ON c.id = m.id")
+def queue_append_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of the first match of each conversation."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    name = lambda k: F.concat(F.lit("p"), (k % 9).cast("string"))
+    item = F.struct(name(F.col("id")).alias("post_id"), F.lit("sent").alias("status"), F.lit(1).alias("createdAt"), F.lit(2).alias("expired_at"))
+    convs = c.where("id % 7 <> 0").select("id", F.when(F.col("id") % 4 == 0, F.array(item)).alias("queue"))
+    matches = c.where("id % 3 <> 0").select("id", F.when(F.col("id") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(name(F.col("id") + F.col("id") % 2), F.lit("other"))).alias("post_ids"))
+    return M.queue_append(convs, matches, NOW).select("id", "outcome", F.coalesce(F.size("queue"), F.lit(0)).alias("size"))
+
+
+@query("WITH u AS (SELECT n_name AS value, 0 AS list, n_nationkey AS pos FROM nation WHERE n_nationkey % 3 = 0 UNION ALL SELECT n_name, 1, 25 - n_nationkey FROM nation WHERE n_nationkey % 2 = 0 UNION ALL SELECT r_name, 2, r_regionkey FROM region), f AS (SELECT *, row_number() OVER (PARTITION BY value ORDER BY list, pos) AS n FROM u) SELECT value, list, CAST(pos AS BIGINT) AS pos FROM f WHERE n = 1")
+def union_of_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three lists as one, each value at its first place."""
+    n, r = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    first = n.where("n_nationkey % 3 = 0").select(F.col("n_name").alias("value"), F.col("n_nationkey").alias("pos"))
+    second = n.where("n_nationkey % 2 = 0").select(F.col("n_name").alias("value"), (25 - F.col("n_nationkey")).alias("pos"))
+    return M.ordered_union(first, second, r.select(F.col("r_name").alias("value"), F.col("r_regionkey").alias("pos")))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'old' END AS a, 'kept' AS b, CASE WHEN c_custkey % 2 = 0 THEN 'added' END AS c FROM customer")
+def map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document after a partial one was laid over it, read by its fields."""
+    new = F.when(F.col("c_custkey") % 2 == 0, F.create_map(F.lit("a"), F.lit("new"), F.lit("c"), F.lit("added"))).otherwise(F.create_map().cast("map<string,string>"))
+    m = M.merge_maps(F.create_map(F.lit("a"), F.lit("old"), F.lit("b"), F.lit("kept")), new)
+    return table(spark, sf_dir, "customer").select("c_custkey", *[m[k].alias(k) for k in "abc"])
+
+
+@query()
+def page_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X11: title and main text of pages; tested on small pages."""
+    ship(spark)
+    return table(spark, sf_dir, "pages").select("page_id", G.cleaned("html").alias("c")).select("page_id", "c.*")
+
+
 @query()
 def page_model_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of pages for a request, up to the length of a request; tested on small pages."""

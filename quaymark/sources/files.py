@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import blocked_page, strip
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -40,3 +40,40 @@ def settlements(names: DataFrame, places: DataFrame, key: str = "GEO_NAME_ID") -
     known = places.where("PLACE_CLASS = 'Settlement' and lng is not null and lat is not null")
     last = known.groupBy(key).agg(F.max_by(F.struct("DISTRICT", "lng", "lat"), "pos").alias("at"))
     return names.drop("lng", "lat", "pos").join(last, key).select(*[c for c in names.columns if c not in ("lng", "lat", "pos")], "at.*")
+
+
+#: Tables that stand for what lies outside (S11, S12, S15, S16): what the engine reads of pages, lookups, answers and rows.
+SEAMS = {
+    "fetched_pages": "url string, final_url string, http_status int, html string",
+    "geocodes": "keyword string, rank int, lat double, lng double, score double",
+    "model_answers": "line string",
+    "relational_rows": "source_id string, channel_id int, payload string",
+}
+
+
+def seam(df: DataFrame, name: str) -> DataFrame:
+    """The columns of a seam table, cast to its types; a missing column is an error, others are ignored."""
+    fields = [f.split() for f in SEAMS[name].split(", ")]
+    missing = [c for c, _ in fields if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks {', '.join(missing)}")
+    return df.select(*[F.col(c).try_cast(kind).alias(c) for c, kind in fields])
+
+
+def fetch_outcome(status: str = "http_status", html: str = "html") -> Column:
+    """Ok, blocked, empty, or failed."""
+    body = F.coalesce(F.col(html), F.lit(""))
+    return F.when(F.coalesce(F.col(status), F.lit(599)) >= 400, "failed").when(blocked_page(body), "blocked").when(strip(body) == "", "empty").otherwise("ok")
+
+
+def lookup_row(rows: DataFrame, source_id: str) -> DataFrame:
+    """The rows of one id; the filter reaches the scan."""
+    return rows.where(F.col("source_id") == source_id)
+
+
+def read_tiers(spark: SparkSession, path: str) -> DataFrame:
+    """Tier, cap and field of a file of field masks ({tier: {free_cap, fields}}); a null cap has no bound."""
+    raw = spark.read.option("wholetext", "true").text(path)
+    tiers = F.from_json("value", "map<string, struct<free_cap: bigint, fields: array<string>>>")
+    rows = raw.select(F.explode(tiers).alias("tier", "t"))
+    return rows.select("tier", F.col("t.free_cap").alias("cap"), F.explode_outer("t.fields").alias("field"))

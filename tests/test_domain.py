@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from quaymark.functions import district
 from quaymark.functions import pages as G
 from quaymark.operators import batches, ids, market, matching, merge, places, queue, records, threads, users
+from quaymark.sources import files
 
 PREFS = "min_price long, max_price long, min_size long, max_size long, min_bedrooms long, max_bedrooms long, min_age long, max_age long, car boolean, village boolean, pets boolean, places array<struct<lat: double, lng: double>>, keywords array<string>"
 PROP = "lat double, lng double, bedrooms long, price long, size long, age long, car boolean, village boolean, pets boolean"
@@ -121,6 +122,26 @@ def test_pages(spark):
     assert [tuple(a) for a in rows[3].agents] == [("Bo", "+85291234567", "E-2")] and rows[4].text == "Main\ntext"
 
 
+def test_clean_page():
+    page = "<title> A\nb </title><nav>menu</nav><main>One <b>two</b><div class='ads'>x</div><table><tr><th>Size<th>Price</tr><tr><td>3<td>$4</tr></table><table><tr><td>a</td><td>b</td></tr></table>"
+    got = G.clean_page(page)
+    assert got["title"] == "A b" and got["text"] == "One\ntwo\n\nStructured tables\nTable 1: Size | Price\nSize: 3; Price: $4\n\nTable 2\na | b"
+    assert G.clean_page(None) == {"title": "", "text": ""} and G.clean_page("<p>x")["text"] == "x"
+
+
+def test_seams(spark, tmp_path):
+    pages = spark.createDataFrame([("u", "u", "200", "<p>"), ("v", "v", "404", "x"), ("w", "w", "200", " "), ("z", "z", "200", "Sorry, you have been blocked")], "url string, final_url string, http_status string, html string").withColumn("extra", F.lit(1))
+    s = files.seam(pages, "fetched_pages")
+    assert dict(s.dtypes)["http_status"] == "int" and "extra" not in s.columns
+    assert [r[0] for r in s.orderBy("url").select(files.fetch_outcome()).collect()] == ["ok", "failed", "empty", "blocked"]
+    with pytest.raises(ValueError):
+        files.seam(pages, "geocodes")
+    (tmp_path / "tiers.json").write_text('{"pro": {"free_cap": 5, "fields": ["a", "b"]}, "id": {"free_cap": null, "fields": []}}')
+    assert sorted(map(str, map(tuple, files.read_tiers(spark, str(tmp_path / "tiers.json")).collect()))) == sorted(map(str, [("pro", 5, "a"), ("pro", 5, "b"), ("id", None, None)]))
+    rows = spark.createDataFrame([("s", 1, "p"), ("t", 1, "q")], "source_id string, channel_id int, payload string")
+    assert files.lookup_row(files.seam(rows, "relational_rows"), "t").first().payload == "q"
+
+
 def test_source_fields_and_signals(spark):
     df = spark.range(1)
     f = lambda u: df.select(G.source_fields(F.lit(u), "28hse").alias("s")).first()["s"]
