@@ -17,6 +17,9 @@ from .numbers import Cols, _c
 #: Elements without an end tag, and elements whose text is not shown.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = frozenset("script style noscript template svg iframe".split())
+#: Open elements that a new one ends, and elements beyond which none is ended.
+ENDS = {"td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "li": ("li",), "p": ("p",), "option": ("option",)}
+WALLS = frozenset("table ul ol div section article select body".split())
 #: Main containers in the order in which they are tried, and the length of a page that is sent.
 SELECTORS = ((None, "content_body"), ("main", None), ("article", None), ("body", None))
 LONGEST = 12_000
@@ -72,6 +75,11 @@ class _Builder(HTMLParser):
         self.open = [self.root]
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k].tag in ENDS.get(tag, ()):
+                del self.open[k:]
+            elif self.open[k].tag in WALLS:
+                break
         node = Node(tag, {k: v or "" for k, v in attrs})
         self.open[-1].children.append(node)
         if tag not in VOID:
