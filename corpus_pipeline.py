@@ -23,7 +23,11 @@ LEAST_SHARE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is recognised."""
+    """Keep documents whose language is recognised; texts that are null, empty or without a letter go.
+
+    Each row is judged by its own text, so repeated rows and null ids are rows like others; a tie between
+    languages goes to the first by name.  Extra columns stay; an empty table keeps no row.
+    """
     model = langid.train(docs.where(~langid.held_out()))
     return few_files(langid.select_recognised(docs, model, LEAST_SHARE))
 
@@ -34,7 +38,11 @@ def row_key() -> Column:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one row of every group of near duplicates, and every row without a shingle."""
+    """Keep one row of every group of near duplicates, and every row without a shingle.
+
+    Null and empty texts have no shingle; of repeated rows one stays; rows without doc_id are grouped like
+    others and lose ties against rows with one (see the module for the order).  An empty table keeps no row.
+    """
     keyed = docs.withColumn("__row", row_key())
     found = jaccard.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
     groups = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_shingles").alias("n"), F.max("component_id").alias("component"), F.count("*").alias("copies"))
@@ -50,7 +58,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows that hold benchmark passages."""
+    """Drop rows that hold benchmark passages, copied or re-parameterised.
+
+    Null and empty texts hold none; repeated rows go or stay together; an empty benchmark drops nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = docs.withColumn("__row", row_key())
     hits = decontaminate.contaminated(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
@@ -58,12 +69,18 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Generalise personal data and the terms that disclose it; n_chars follows the text."""
+    """Generalise personal data and the terms that disclose it; n_chars follows the text.
+
+    No row goes: null texts stay null (and so does n_chars), repeated rows change alike.
+    """
     return few_files(pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("long")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 4096 ids."""
+    """Pack what is left into sequences of 4096 ids.
+
+    Null and empty texts are their end id; repeated rows are packed each; null doc_id comes first.
+    """
     return few_files(packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096))
 
 
