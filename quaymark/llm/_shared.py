@@ -64,7 +64,7 @@ def few_files(df: DataFrame) -> DataFrame:
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage and survives lost executors."""
     path = new_path(spark, name)
-    few_files(df).write.option("compression", "zstd").parquet(path)
+    few_files(df).write.options(**{"compression": "zstd", "parquet.compression.codec.zstd.level": "1"}).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._staged_path = path
     return out

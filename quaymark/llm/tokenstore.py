@@ -35,6 +35,7 @@ SCHEMA = "doc_id long, part int, first long, n_tokens long, ids array<int>"
 ROW_GROUP, PAGE, PAGE_ROWS = 16 << 20, 256 << 10, 512
 LAYOUT = {
     "compression": "zstd",
+    "parquet.compression.codec.zstd.level": "1",
     "parquet.writer.version": "v2",
     "parquet.block.size": str(ROW_GROUP),
     "parquet.page.size": str(PAGE),
