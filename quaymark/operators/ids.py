@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import written
+
 #: Letters and digits that are not mistaken for each other.
 ALPHABET = "23456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz"
 LENGTH, ATTEMPTS = 8, 20
@@ -29,6 +31,7 @@ def assign_short_ids(df: DataFrame, key: str, out: str = "short_id", length: int
         drawn = given.withColumn("__new", F.col(out).isNull()).withColumn("__id", F.coalesce(F.col(out), token(F.col(key), F.lit(attempt), length)))
         place = F.row_number().over(W.partitionBy("__id").orderBy("__new", key))
         given = drawn.withColumn("__place", place).withColumn(out, F.when(~F.col("__new") | (F.col("__place") == 1), F.col("__id"))).drop("__new", "__id", "__place")
+        given = written(given)  # a draw is made once, however many follow it
         if given.where(F.col(out).isNull()).isEmpty():
             return given
     raise RuntimeError("no unique short ids within the attempts")
