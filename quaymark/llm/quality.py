@@ -1,7 +1,7 @@
 """Operator 10 — quality classifier by co-training.
 
-Two classifiers see separate views of a document: its text (multinomial naive Bayes over hashed words
-and the signs hung on them) and its metadata (logistic regression over source, language and recorded
+Two classifiers see separate views of a document: its text (multinomial naive Bayes over hashed words,
+the signs hung on them, and how much the text repeats itself) and its metadata (logistic regression over source, language and recorded
 length; nothing of the text).  In each round each view labels all documents of the corpus; those of
 which it is confident join the other view's training set.  Both are then calibrated (Platt scaling) on
 labelled documents kept aside, and the calibrated log-odds are added, less the prior counted twice, to
@@ -37,6 +37,8 @@ from ._shared import Lexicon, batches, count_rows, doc_columns, map_arrow, prepa
 
 WORD_BITS = 16
 WORDS = 1 << WORD_BITS
+#: The last features tell a text's layout in tenths and quarters.
+LAYOUT = WORDS - 64
 #: Buckets of source, language and length; their product is the number of cells of the metadata.
 SOURCES, LANGUAGES, LENGTHS = 64, 16, 24
 CELLS = SOURCES * LANGUAGES * LENGTHS
@@ -55,12 +57,14 @@ def _feature(word: str) -> int:
     signs = tail[0] if tail else ""
     core = word[: len(word) - len(signs)]
     half = WORDS >> 1
+    room = half - (WORDS - LAYOUT)
     if len(signs) > 1 or not core or (len(core) > 2 and core.isupper()):
-        return half + xxhash.xxh32_intdigest(f"{signs} {core.isupper()}") % half
+        return half + xxhash.xxh32_intdigest(f"{signs} {core.isupper()}") % room
     return xxhash.xxh32_intdigest(core.lower()) % half
 
 
-def _features(words: pa.Array) -> tuple[np.ndarray]:
+def _features(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The feature of each word, and whether it is made of signs alone."""
     out = np.zeros(len(words), np.int32)
     parts = pc.extract_regex(words, _USUAL)
     usual = parts.is_valid().to_numpy(zero_copy_only=False)
@@ -68,8 +72,26 @@ def _features(words: pa.Array) -> tuple[np.ndarray]:
         cores = pc.utf8_lower(parts.filter(pa.array(usual)).field("core")).to_pylist()
         out[usual] = np.fromiter(map(xxhash.xxh32_intdigest, cores), np.int64, len(cores)) % (WORDS >> 1)
     at = np.flatnonzero(~usual)
-    out[at] = [_feature(w) for w in words.take(pa.array(at)).to_pylist()]
-    return (out,)
+    rest = words.take(pa.array(at)).to_pylist()
+    out[at] = [_feature(w) for w in rest]
+    signs = np.zeros(len(words), bool)
+    signs[at] = [not any(map(str.isalnum, w)) for w in rest]
+    return out, signs
+
+
+def _layout(words: np.ndarray, stops: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """Pairs (text << WORD_BITS | feature) that tell the shares of different words, of words said twice in a row, and of lone signs."""
+    n = np.diff(stops, prepend=0)
+    owner = np.repeat(np.arange(len(n)), n)
+    different = np.bincount(np.unique(owner << 32 | words) >> 32, minlength=len(n))
+    again = np.flatnonzero((words[1:] == words[:-1]) & (owner[1:] == owner[:-1]))
+    counts = (different, np.bincount(owner[again], minlength=len(n)), np.bincount(owner[signs], minlength=len(n)))
+    some = np.flatnonzero(n)
+    out = []
+    for k, c in enumerate(counts):
+        share = c[some] / n[some]
+        out += (LAYOUT + 16 * k + (10 * share).astype(np.int64), LAYOUT + 48 + 5 * k + (4 * share).astype(np.int64))
+    return np.concatenate([some << WORD_BITS | x for x in out])
 
 
 def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -80,9 +102,11 @@ def word_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if (t is None or size + len(t) > PIECE) and k > start:
             flat, stops = split_words(texts[start:k])
             coded = flat.dictionary_encode()
-            place = known.places(coded.dictionary.cast(pa.string()))
-            features = known.columns[0][place[coded.indices.to_numpy()]]
-            pairs = np.unique(np.repeat(np.arange(k - start), np.diff(stops, prepend=0)) << WORD_BITS | features)
+            word = coded.indices.to_numpy()
+            place = known.places(coded.dictionary.cast(pa.string()))[word]
+            features, signs = (c[place] for c in known.columns)
+            pairs = np.repeat(np.arange(k - start), np.diff(stops, prepend=0)) << WORD_BITS | features
+            pairs = np.unique(np.concatenate([pairs, _layout(word.astype(np.int64), stops, signs)]))
             found.append((pairs & (WORDS - 1)).astype(np.int32))
             sizes.append(np.bincount(pairs >> WORD_BITS, minlength=k - start))
             start, size = k, 0
