@@ -98,7 +98,6 @@ TABLES: dict[str, tuple[str, dict[str, str]]] = {
 LITERALS: dict[str, tuple[str, list[tuple]]] = {
     "geocodes": ("keyword string, lat double, lng double", [("Wan Chai", 22.278, 114.172), ("Sha Tin", 22.381, 114.188), ("Kwun Tong", 22.312, 114.225)]),
     "templates": ("n int, lang string, template string", [(1, "en", "one_en"), (2, "en", "two_en"), (4, "en", "four_en"), (2, "zh-hk", "two_hk"), (3, "zh-hk", "three_hk")]),
-    "caps": ("tier string, cap bigint", [("enterprise_atmosphere", 20), ("enterprise", 40), ("pro", 60)]),
 }
 
 

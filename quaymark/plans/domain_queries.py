@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import district
+from ..functions import chunking, district
 from ..functions import numbers as N
 from ..functions import pages as G
 from ..functions import text as X
@@ -634,6 +634,54 @@ def map_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", *[m[k].alias(k) for k in "abc"])
 
 
+CLEANED = "replace(replace(replace(lower(trim(rent_price)), ',', ''), '$', ''), 'hkd', '')"
+
+
+@query(f"{sql('listings')} SELECT k, {NUM.format('rent_price')} AS n1, TRY_CAST(regexp_extract(rent_price, '\\d+(\\.\\d+)?', 0) AS DOUBLE) AS n2, {MONEY.format('rent_price')} AS n3, {WHOLE.format('rent_price')} AS n4, TRY_CAST({CLEANED} AS DOUBLE) AS n5, CAST(net_size AS DOUBLE) AS n1_number, CAST(-net_size AS DOUBLE) AS n2_number, CASE WHEN k % 4 = 0 THEN TRUE ELSE FALSE END AS n6, CASE k % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS n7, coalesce(CAST(gross_size AS VARCHAR) || ' sqft', 'N/A') AS n19, round(gross_size / 7e0, 2) AS n20 FROM listings")
+def number_parsers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every parser over the rents, and over numbers."""
+    ship(spark)
+    wish = F.when(F.col("k") % 4 == 0, " YES ").when(F.col("k") % 4 == 1, "n").when(F.col("k") % 4 == 2, "?")
+    return rows(spark, sf_dir, "listings").select(
+        "k", N.parse_number("rent_price").alias("n1"), N.parse_first_number("rent_price").alias("n2"), N.whole_money_or_null("rent_price").alias("n3"), N.int_or_null("rent_price").alias("n4"), N.money_or_null("rent_price").alias("n5"),
+        N.parse_number("net_size").alias("n1_number"), N.parse_first_number(-F.col("net_size")).alias("n2_number"), N.bool_pref(wish).alias("n6"), N.bool_or_null(wish).alias("n7"), N.format_size("gross_size").alias("n19"), N.py_round(F.col("gross_size") / 7, 2).alias("n20"),
+    )
+
+
+STRINGS = {
+    "price": "'HK$ ' || CAST(c_custkey AS STRING) || ',000 港元/月'",
+    "link": "CASE c_custkey % 3 WHEN 0 THEN '//h.example/' || CAST(c_custkey AS STRING) || '#x' WHEN 1 THEN '/p/' || CAST(c_custkey AS STRING) ELSE 'https://z.example/' || CAST(c_custkey AS STRING) || '#y#z' END",
+    "said": "CASE c_custkey % 4 WHEN 0 THEN 'only $ ' || CAST(c_custkey AS STRING) || ',500 today' WHEN 1 THEN CAST(c_custkey AS STRING) || ',250 港元' WHEN 2 THEN '$12' ELSE 'none' END",
+    "tel": "CASE WHEN c_custkey % 2 = 0 THEN 'tel:+852 9' ELSE '2' END || lpad(CAST(c_custkey AS STRING), 7, '0')",
+    "lang": "CASE c_custkey % 4 WHEN 0 THEN ' ZH-HK ' WHEN 1 THEN 'xx' WHEN 2 THEN 'zh-cn' END",
+    "url": "CASE WHEN c_custkey % 3 = 1 THEN 'https://q.example/buy/' ELSE 'HTTPS://www.P.example/buy/' END || CAST(c_custkey AS STRING) || CASE WHEN c_custkey % 5 = 0 THEN '/x' ELSE '?a' END",
+    "html": "CASE WHEN c_custkey % 5 = 0 THEN 'Sorry, you have been BLOCKED' ELSE 'x' END",
+    "mixed": "' A  b' || chr(9) || 'C ' || c_mktsegment || ' '",
+}
+URL_PATH = "regexp_extract(url, '(?i)^https?://[^/?#]*([^?#]*)', 1)"
+
+
+@query(rf"WITH s AS (SELECT c_custkey, {', '.join(f'{e} AS {n}' for n, e in STRINGS.items())} FROM customer) SELECT c_custkey, trim(replace(replace(replace(replace(replace(replace(price, 'HK$', ''), '$', ''), ',', ''), '港元', ''), '/月', ''), '每月', '')) AS x3, CASE WHEN starts_with(split_part(link, '#', 1), '//') THEN 'https:' || split_part(link, '#', 1) WHEN starts_with(split_part(link, '#', 1), '/') THEN 'https://p.example' || split_part(link, '#', 1) ELSE split_part(link, '#', 1) END AS x16, CASE WHEN regexp_extract(said, '(?i)(?:HK\$|\$)\s*([0-9][0-9,]{{2,}})', 1) <> '' THEN regexp_extract(said, '(?i)(?:HK\$|\$)\s*([0-9][0-9,]{{2,}})', 1) ELSE regexp_extract(said, '([0-9][0-9,]{{3,}})\s*港元', 1) END AS x18, replace(replace(replace(replace(tel, 'tel:', ''), '+852', ''), '-', ''), ' ', '') AS x22, c_custkey % 2 = 0 AS f10, CASE WHEN lower(trim(lang)) IN ('zh-hk', 'zh-cn') THEN lower(trim(lang)) ELSE 'en' END AS x29, regexp_replace(lower(regexp_extract(url, '(?i)^https?://([^/?#]*)', 1)), '^www\.', '') = 'p.example' AND regexp_matches({URL_PATH}, '^/buy/[0-9]+$') AS f8, c_custkey % 5 = 0 AS f9, lower(trim(mixed)) AS x1, trim(regexp_replace(mixed, '\s+', ' ', 'g')) AS x2 FROM s")
+def text_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small text functions over made-up strings."""
+    s = table(spark, sf_dir, "customer").selectExpr("c_custkey", *[f"{e} AS {n}" for n, e in STRINGS.items()])
+    phone = X.bare_phone("tel")
+    return s.select(
+        "c_custkey", X.normalise_price("price").alias("x3"), X.normalise_link("link", "https://p.example").alias("x16"), X.price_in_text("said").alias("x18"), phone.alias("x22"), X.hk_mobile(phone).alias("f10"),
+        X.language_or("lang", ("zh-hk", "zh-cn"), "en").alias("x29"), X.valid_listing_url("url", "p.example", "^/buy/[0-9]+$").alias("f8"), X.blocked_page("html").alias("f9"), X.stripped_lower("mixed").alias("x1"), X.collapse("mixed").alias("x2"),
+    )
+
+
+@query()
+def knowledge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of the pages that persist, with their ids and category; the chunker has no SQL."""
+    ship(spark)
+    kept = knowledge_outcomes(spark, sf_dir).where("outcome = 'persisted'").select("page_id")
+    p = table(spark, sf_dir, "pages").join(kept, "page_id", "left_semi").select("page_id", "url", X.page_title("html").alias("title"), X.denoise(X.sanitise(X.strip_tags(F.replace("html", F.lit("</p>"), F.lit("\n"))))).alias("text"))
+    c = p.select("page_id", "url", "title", X.category("url", "title", "text").alias("category"), F.posexplode(chunking.chunk_text("text")).alias("place", "chunk"))
+    return c.select("page_id", X.chunk_id("url", "title", "place").alias("chunk_id"), "category", F.length("chunk").alias("size"))
+
+
 @query()
 def page_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11: title and main text of pages; tested on small pages."""
