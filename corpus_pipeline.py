@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import decontaminate, jaccard, langid, packing, pii
-from quaymark.llm._shared import few_files, stage
+from quaymark.llm._shared import count_rows, few_files, stage
 from quaymark.llm.queries import vocabulary
 
+#: Row keys (one number each) up to which they are broadcast to pick rows; beyond, rows and keys are shuffled.
+BROADCAST_KEYS = 1_000_000
 #: Documents whose best language has a smaller share than this are rejected, like those without a letter.
 LEAST_SHARE = 0.5
 
@@ -37,6 +39,12 @@ def row_key() -> Column:
     return pii.key().alias("__row")
 
 
+def pick(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """Rows by their ``__row``; texts move only where the keys are too many to be broadcast."""
+    few = count_rows(keys, BROADCAST_KEYS) <= BROADCAST_KEYS
+    return rows.join(F.broadcast(keys) if few else keys, "__row", how)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of every group of near duplicates, and every row without a shingle.
 
@@ -50,10 +58,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__row", "copies")).alias("least")
     kept = groups.where("n > 0").join(ids, "__row").groupBy("component").agg(least).select("least.__row", "least.copies")
     kept = stage(spark, kept.unionByName(groups.where("n = 0").select("__row", F.lit(1).cast("long").alias("copies"))), "kept")
-    out = keyed.join(kept.where("copies = 1"), "__row", "left_semi").drop("__row")
+    out = pick(keyed, kept.where("copies = 1").select("__row"), "left_semi").drop("__row")
     if kept.where("copies > 1").isEmpty():
         return few_files(out)
-    repeated = keyed.join(kept.where("copies > 1"), "__row", "left_semi").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    repeated = pick(keyed, kept.where("copies > 1").select("__row"), "left_semi").groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("row"))
     return few_files(out.unionByName(repeated.select("row.*")))
 
 
@@ -65,7 +73,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     keyed = docs.withColumn("__row", row_key())
     hits = decontaminate.contaminated(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
-    return few_files(keyed.join(hits.select(F.col("doc_id").alias("__row")).distinct(), "__row", "left_anti").drop("__row"))
+    hits = stage(spark, hits.select(F.col("doc_id").alias("__row")).distinct(), "hits")
+    return few_files(pick(keyed, hits, "left_anti").drop("__row"))
 
 
 def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
