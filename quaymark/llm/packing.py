@@ -39,7 +39,7 @@ ENDS = (".", "!", "?")
 #: One sentence end in every SPACING ids is a candidate; where there is none in STRETCH ids, so are word ends.
 SPACING, STRETCH = 16, 64
 #: Texts of an Arrow batch.
-ROWS = 2048
+ROWS = 1024
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
@@ -172,17 +172,18 @@ class Stream:
         return pa.RecordBatch.from_arrays(columns, names=NAMES)
 
 
-def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, remembered: int = CACHE_ENTRIES) -> DataFrame:
+def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int = 4096, remembered: int = CACHE_ENTRIES, rows: int = ROWS) -> DataFrame:
     """Pieces: doc_id, start, length, ids_crc32, doc_tokens, sequence_id and offset.
 
-    ``remembered`` bounds the words that a Python worker keeps; it changes memory and speed, not results.
+    ``remembered`` bounds the words that a Python worker keeps and ``rows`` the texts that it takes at a time.
+    They change memory and speed, and no document's ids.
     """
-    prepare(documents.sparkSession, ROWS)
+    prepare(documents.sparkSession, rows)
 
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, base = chunk_encoder(tokenizer_path, remembered), 0
-        stream = Stream(capacity, cut_kinds(encoder.vocabulary))
-        for b in batches(rows):
+        stream = Stream(capacity, cut_kinds(encoder.vocabulary()))
+        for b in batches(parts):
             base = b.column("part")[0].as_py() << RANGE_BITS
             stream.add(b.column("doc_id"), *with_ends(*encoder.encode(texts_of(b.column("text"))), end_id))
             if stream.size >= BLOCK_IDS and (pieces := stream.flush(False, base)):

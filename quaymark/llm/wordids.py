@@ -13,19 +13,20 @@ Defined cases: the empty text has no ids; equal texts have equal ids; nothing is
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from ._shared import worker_cache
+from ._shared import trim, worker_cache
 
 #: Distinct chunks that a Python worker remembers.
 CACHE_ENTRIES = 400_000
 MARK = "\x01"
-#: Chunks of one library call.
-GROUP = 2000
+#: Chunks that are joined for the library, and joined texts of one call.
+GROUP, CALL = 2000, 4
 PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
 #: Words that no normaliser changes and that are one pre-token each.
 WORD = "^[a-zß-öø-ÿ]+$"
@@ -33,15 +34,24 @@ WORD = "^[a-zß-öø-ÿ]+$"
 SIGNED = r"^(?P<stem>.*[a-zA-ZÀ-ÖØ-öø-ÿ])(?P<tail>[!-/:-@\[-`{-~]+)$"
 
 
+def settings_of(path: str) -> dict:
+    """What a tokenizer's file says before its vocabulary; the whole file where the order is another."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    head = text[: text.find('"vocab"')].rstrip().rstrip(",") + "}}"
+    try:
+        spec = json.loads(head)
+        return spec if "end_of_word_suffix" in spec.get("model", {}) else json.loads(text)
+    except ValueError:
+        return json.loads(text)
+
+
 class ChunkEncoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        import json
-
         from tokenizers import Tokenizer, pre_tokenizers
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = settings_of(path)
         steps = [x.get("pattern", {}).get("Regex") for x in (spec.get("normalizer") or {}).get("normalizers", [])]
         pre = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
         if r"\s+" not in steps or not (pre.get("behavior") == "Removed" and pre.get("invert")):
@@ -54,13 +64,17 @@ class ChunkEncoder:
         self.letters = Tokenizer(self.tokenizer.model)
         self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
-        self.vocabulary = self.tokenizer.get_vocab()
-        self.closing = np.zeros(max(self.vocabulary.values()) + 1, bool)
-        self.closing[[i for token, i in self.vocabulary.items() if token.endswith(suffix)]] = True
+        vocabulary = self.vocabulary()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self.entries, self.tick = entries, 0
         # What is remembered: chunk k has the ids at[k] to at[k + 1] and was last met in batch used[k].
         self.words = pa.array([""], pa.string())
         self.at, self.ids, self.used = np.zeros(2, np.int64), np.zeros(0, "<u4"), np.zeros(1, np.int32)
+        trim()
+
+    def vocabulary(self) -> dict[str, int]:
+        return self.tokenizer.get_vocab()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's ids stop."""
@@ -156,9 +170,12 @@ class ChunkEncoder:
     def joined_ids(tokenizer, chunks: pa.Array, between: str, after: np.ndarray) -> np.ndarray:
         """Ids of the chunks, joined group by group for the library; ``after`` follows each group."""
         offsets = np.unique(np.r_[np.arange(0, len(chunks), GROUP), len(chunks)]).astype(np.int32)
-        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), chunks), between).to_pylist()
-        found = tokenizer.encode_batch_fast(joined, add_special_tokens=False)
-        return np.concatenate([x for e in found for x in (np.array(e.ids, "<u4"), after)])
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), chunks), between)
+        out: list[np.ndarray] = []
+        for i in range(0, len(joined), CALL):  # what the library returns is large, and only its ids are kept
+            found = tokenizer.encode_batch_fast(joined[i : i + CALL].to_pylist(), add_special_tokens=False)
+            out += [x for e in found for x in (np.array(e.ids, "<u4"), after)]
+        return np.concatenate(out)
 
     @staticmethod
     def spaced(text: str) -> str:
