@@ -86,11 +86,11 @@ def pii_removal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into sequences of 4096 ids.
+    """Pack what is left into sequences of 4096 ids, with small batches: executors also hold the memory of the stages before.
 
     Null and empty texts are their end id; repeated rows are packed each; null doc_id comes first.
     """
-    return few_files(packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096))
+    return few_files(packing.pack(docs, vocabulary("word_bpe_49k.json"), end_id=2, capacity=4096, remembered=150_000, rows=256))
 
 
 STAGES = [
