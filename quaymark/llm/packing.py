@@ -39,7 +39,7 @@ ENDS = (".", "!", "?")
 #: One sentence end in every SPACING ids is a candidate; where there is none in STRETCH ids, so are word ends.
 SPACING, STRETCH = 16, 64
 #: Texts of an Arrow batch.
-ROWS = 1024
+ROWS = 2048
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 

@@ -26,7 +26,7 @@ from ._shared import trim, worker_cache
 CACHE_ENTRIES = 400_000
 MARK = "\x01"
 #: Chunks that are joined for the library, and joined texts of one call.
-GROUP, CALL = 2000, 4
+GROUP, CALL = 2000, 16
 PLAIN = "".join(c for c in map(chr, range(256)) if c.isalpha() and c.islower()).encode("latin-1") + b" \n.,"
 #: Words that no normaliser changes and that are one pre-token each.
 WORD = "^[a-zß-öø-ÿ]+$"
