@@ -1,4 +1,4 @@
-"""The queries of the ten operators, applied with production parameters to whole tables."""
+"""The queries of the thirteen operators, applied with production parameters to whole tables."""
 
 from __future__ import annotations
 
@@ -80,6 +80,12 @@ def op10_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .alignment import align_documents
+
+    return align_documents(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_packing,
         op10_quality_cotraining,
+        op13_tokenizer_alignment,
     )
 }
 #: The others need a tokenizer, a model, stored bytes or an HTML parser.
