@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .sql import jaccard_sql, pii_sql
+from .sql import jaccard_sql, phrases_sql, pii_sql
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,6 +80,18 @@ def op10_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotrain_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .toxicity import train_and_score
+
+    return train_and_score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), labelled=20_000)
+
+
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .phrases import mine
+
+    return mine(table(spark, sf_dir, "documents"), threshold=100, most=2000)
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .alignment import align_documents
 
@@ -99,8 +111,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_packing,
         op10_quality_cotraining,
+        op11_toxicity,
+        op12_phrase_mining,
         op13_tokenizer_alignment,
     )
 }
 #: The others need a tokenizer, a model, stored bytes or an HTML parser.
-ORACLE_SQL: dict[str, str] = {"op6_pii_sanitisation": pii_sql(), "op7_ngram_jaccard_join": jaccard_sql()}
+ORACLE_SQL: dict[str, str] = {"op6_pii_sanitisation": pii_sql(), "op7_ngram_jaccard_join": jaccard_sql(), "op12_phrase_mining": phrases_sql()}

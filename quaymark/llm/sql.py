@@ -1,4 +1,4 @@
-"""DuckDB SQL for the operators that SQL can express: personal data (6) and the Jaccard join (7)."""
+"""DuckDB SQL for the operators that SQL can express: personal data (6), the Jaccard join (7) and collocations (12)."""
 
 from __future__ import annotations
 
@@ -65,3 +65,18 @@ edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(a, b) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.a, e.y FROM reach r JOIN edges e ON r.b = e.x),
 least AS (SELECT a, min(b) AS b FROM reach GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least.b, w.doc_id) AS component_id FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least ON least.a = w.doc_id"""
+
+
+def phrases_sql(threshold: int = 100, most: int = 2000) -> str:
+    """Operator 12: exact counts of all phrases, their lowest cut, and the first of each language."""
+    return f"""WITH pieces AS (SELECT row_number() OVER () AS pid, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS l FROM pieces),
+totals AS (SELECT lang, sum(len(l)) AS n FROM w GROUP BY 1),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(l) - k + 2), lambda i: array_to_string(l[i:i + k - 1], ' '))) AS phrase FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(l) >= k) GROUP BY 1, 2, 3 HAVING count(*) >= {threshold}),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS l FROM f WHERE k > 1),
+inside AS (SELECT lang, array_to_string(l[s:s + m - 1], ' ') AS phrase, max(a) AS around FROM c, (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS s) WHERE m < k AND s + m - 1 <= k GROUP BY 1, 2),
+kept AS (SELECT c.* FROM c LEFT JOIN inside i ON i.lang = c.lang AND i.phrase = c.phrase WHERE i.around IS NULL OR 100 * i.around < 100 * a),
+cuts AS (SELECT x.lang, x.phrase, a, p.f AS l, q.f AS r, t.n, j, (1000::HUGEINT * a * t.n) // (p.f::HUGEINT * q.f) AS score FROM (SELECT kept.*, unnest(range(1, k)) AS j FROM kept) x JOIN totals t ON t.lang = x.lang JOIN f p ON p.lang = x.lang AND p.phrase = array_to_string(x.l[1:j], ' ') JOIN f q ON q.lang = x.lang AND q.phrase = array_to_string(x.l[j + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM best)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked WHERE rank <= {most}"""
