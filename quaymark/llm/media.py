@@ -117,20 +117,60 @@ def _bmp(d: bytes, i: int, memo: Memo) -> int | None:
     return i + size if not zero and 54 <= start <= size <= len(d) - i and header in (40, 108, 124) else None
 
 
-def _gzip(d: bytes, i: int, memo: Memo) -> int | None:
-    reader = zlib.decompressobj(31)
+def _next_nul(d: bytes, at: int, memo: Memo) -> int:
+    """The first NUL byte from a place on, -1 if there is none; a stretch is searched once."""
+    low, high = memo.get("nul", (0, -2))
+    if high == -2 or not low <= at <= (len(d) if high == -1 else high):
+        high = d.find(b"\0", at)
+        memo["nul"] = at, high
+    return high
+
+
+def _gzip_data(d: bytes, i: int, memo: Memo) -> int | None:
+    """Where the deflated data of a member begin; its header is whole and has no reserved flag."""
+    if i + 18 > len(d) or d[i + 3] & 0xE0:
+        return None
+    flags, at = d[i + 3], i + 10
+    if flags & 4:
+        at += 2 + int.from_bytes(d[at : at + 2], "little")
+    for named in (8, 16):
+        if flags & named:
+            end = _next_nul(d, at, memo) if at < len(d) else -1
+            if end < 0:
+                return None
+            at = end + 1
+    if flags & 2:
+        at += 2
+    return at if at + 8 < len(d) else None
+
+
+def _inflated(d: bytes, first: int) -> int | None:
+    """Where a member ends whose data begin at ``first``, read in growing slices of the bytes themselves."""
+    reader, view, at, crc, size, step = zlib.decompressobj(-15), memoryview(d), first, 0, 0, 512
     try:
-        for at in range(i, len(d), SLICE):
-            left = d[at : at + SLICE]
-            stop = at + len(left)
-            while left and not reader.eof:
-                reader.decompress(left, 1 << 20)
-                left = reader.unconsumed_tail
-            if reader.eof:
-                return stop - len(reader.unused_data)
+        while at < len(d) and not reader.eof:
+            left, at, step = view[at : at + step], at + step, min(2 * step, SLICE)
+            while len(left) and not reader.eof:
+                out = reader.decompress(left, 1 << 20)
+                crc, size, left = zlib.crc32(out, crc), size + len(out), reader.unconsumed_tail
     except zlib.error:
-        pass
-    return None
+        return None
+    stop = min(at, len(d)) - len(reader.unused_data)
+    whole = reader.eof and stop + 8 <= len(d) and struct.unpack_from("<II", d, stop) == (crc, size & 0xFFFFFFFF)
+    return stop + 8 if whole else None
+
+
+def _gzip(d: bytes, i: int, memo: Memo) -> int | None:
+    """Headers may share one place where their data begin: it is inflated once."""
+    ends = memo.setdefault("gzip", {})
+    at = _gzip_data(d, i, memo)
+    if at is None:
+        return None
+    if at not in ends:
+        ends[at] = _inflated(d, at)
+    if d[i + 3] & 2 and ends[at] and zlib.crc32(memoryview(d)[i : at - 2]) & 0xFFFF != int.from_bytes(d[at - 2 : at], "little"):
+        return None
+    return ends[at]
 
 
 def _zip_ends(d: bytes) -> dict[int, int]:

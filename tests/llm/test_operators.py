@@ -569,3 +569,32 @@ def test_words_are_described_alike_one_by_one_and_together():
     words = ["Haus", "haus", "HAUS", "(haus).", "3km", "12,5", "km", "“Zitat”", "a.b", "É", "École!", "x:", "..", "²", "Ünder\".", "_a_", "don't", "ß?"]
     first, inner, flags = decontaminate.describe_all(pa.array(words))
     assert [(int(a), int(b), int(c)) for a, b, c in zip(first, inner, flags, strict=True)] == [decontaminate.describe(w)[:3] for w in words]
+
+
+def gzip_member(data, extra=None, name=None, comment=None, checked=False):
+    flags = 4 * (extra is not None) | 8 * (name is not None) | 16 * (comment is not None) | 2 * checked
+    head = b"\x1f\x8b\x08" + bytes([flags]) + b"\0\0\0\0\0\xff"
+    if extra is not None:
+        head += struct.pack("<H", len(extra)) + extra
+    for text in (name, comment):
+        head += b"" if text is None else text + b"\0"
+    if checked:
+        head += struct.pack("<H", zlib.crc32(head) & 0xFFFF)
+    deflate = zlib.compressobj(6, zlib.DEFLATED, -15)
+    return head + deflate.compress(data) + deflate.flush() + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def test_gzip_members_with_every_header_field():
+    r = random.Random(1)
+    for _ in range(200):
+        data = bytes(r.choices(b"abc\0", k=r.choice([0, 1, 50, 5000, 200_000])))
+        member = gzip_member(data, *[r.choice([None, b"", b"xyz\1"]) for _ in range(3)], r.random() < 0.5)
+        assert zlib.decompressobj(31).decompress(member) == data
+        before = bytes(r.choices(b"qrs\0", k=r.randint(1, 30)))
+        assert media.sniff(before + member + b"--tail", "x") == ("x", [("application/gzip", len(before), len(member))])
+        broken = bytearray(member)
+        broken[-6] ^= 1
+        assert media.sniff(before + member[:-1], "x") == media.sniff(before + bytes(broken), "x") == ("x", [])
+    unclosed = b"\x1f\x8b\x08\x08" + b"\0" * 5 + b"\xff"
+    assert media.sniff(unclosed * 1 + b"name without an end", "x") == ("x", [])
+    assert media.sniff(b"\x1f\x8b\x08\xe0" + gzip_member(b"abc")[4:], "x") == ("x", [])
