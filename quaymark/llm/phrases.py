@@ -47,6 +47,8 @@ LEAST_BITS, MOST_BITS, CHARS_A_CELL = 12, 22, 64
 #: Rows of the sketch for each number of words.
 DEPTHS = (1, 2, 2, 2, 2)
 ROWS_BEFORE = (0, 1, 3, 5, 7, 9)
+#: Code points for each group in which counts are added up, and the most groups.
+CHARS_A_GROUP, MOST_GROUPS = 4 << 20, 1 << 18
 #: Cells of a block that tasks add up, and how many of a block's rows are added together.
 BLOCK, TOGETHER = 1 << 19, 64
 _MULTIPLIER, _SECOND = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -227,8 +229,8 @@ def scan(words: pa.Array, codes: np.ndarray, found: list[np.ndarray], inside: np
     return phrases, sizes, np.bincount(hits, minlength=len(phrases))
 
 
-def shard_counts(documents: DataFrame, bits: int, frequent: np.ndarray, size: int = SHARD) -> DataFrame:
-    """lang, phrase, words and n: the occurrences in each shard of every candidate and every frequent word."""
+def shard_counts(documents: DataFrame, bits: int, frequent: np.ndarray, groups: int, size: int = SHARD) -> DataFrame:
+    """lang, part and lists of phrases, their words and occurrences: what each shard counts, dealt into ``groups`` parts by phrase."""
     shared = documents.sparkSession.sparkContext.broadcast(frequent)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,16 +242,29 @@ def shard_counts(documents: DataFrame, bits: int, frequent: np.ndarray, size: in
             # Only words of a candidate, here or elsewhere, can matter: those whose own bits are set.
             at = cells(hashes_of(words, lang), 0, bits)
             known = np.flatnonzero((shared.value[0][at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool) & (once > 0))
-            columns = {
-                "phrase": pa.concat_arrays([pa.array(phrases, pa.string()), words.take(pa.array(known)).cast(pa.string())]),
-                "words": pa.array(np.r_[sizes, np.ones(len(known), np.int64)].astype(np.int32)),
-                "n": pa.array(np.r_[n, once[known]].astype(np.int64)),
-            }
-            out = pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(columns["n"]), pa.string()), **columns})
-            for i in range(0, out.num_rows, 20_000):
-                yield out.slice(i, 20_000)
+            phrases += words.take(pa.array(known)).to_pylist()
+            part = np.fromiter(map(xxhash.xxh32_intdigest, phrases), np.int64, len(phrases)) % groups
+            order = np.argsort(part, kind="stable")
+            first = np.flatnonzero(np.r_[True, np.diff(part[order]) != 0][: len(order)])
+            bounds = pa.array(np.r_[first, len(order)].astype(np.int32))
+            values = pa.array(phrases, pa.string()), pa.array(np.r_[sizes, np.ones(len(known), np.int64)].astype(np.int32)), pa.array(np.r_[n, once[known]].astype(np.int64))
+            lists = [pa.ListArray.from_arrays(bounds, x.take(pa.array(order))) for x in values]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(first), pa.string()), pa.array(part[order][first].astype(np.int32)), *lists], names=["lang", "part", "phrase", "words", "n"])
 
-    return map_arrow(documents, run, "lang string, phrase string, words int, n long")
+    return map_arrow(documents, run, "lang string, part int, phrase array<string>, words array<int>, n array<long>")
+
+
+def summed_counts(parts: DataFrame, threshold: int) -> DataFrame:
+    """lang, phrase, words and n of the phrases that reach the threshold; a group holds a bounded share of all phrases."""
+
+    def run(table: pa.Table) -> pa.Table:
+        flat = pa.table({c: table.column(c).combine_chunks().flatten() for c in ("phrase", "words", "n")})
+        total = flat.group_by("phrase").aggregate([("words", "max"), ("n", "sum")])
+        total = total.filter(pc.greater_equal(total.column("n_sum"), threshold))
+        lang = pa.array([table.column("lang")[0].as_py()] * total.num_rows, pa.string())
+        return pa.table({"lang": lang, "phrase": total.column("phrase"), "words": total.column("words_max"), "n": total.column("n_sum")})
+
+    return parts.groupBy("lang", "part").applyInArrow(run, "lang string, phrase string, words int, n long")
 
 
 def collocations(counts: DataFrame, totals: DataFrame, threshold: int = 100, most: int = 2000) -> DataFrame:
@@ -283,5 +298,6 @@ def mine(documents: DataFrame, threshold: int = 100, most: int = 2000, size: int
     totals = stage(spark, sketched.where("block = -1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     frequent = frequent_cells(sketched.where("block >= 0"), bits, threshold)
     release(spark, sketched)
-    counts = stage(spark, shard_counts(rows, bits, frequent, size).groupBy("lang", "phrase").agg(F.max("words").alias("words"), F.sum("n").alias("n")).where(F.col("n") >= threshold), "counts")
+    groups = min(MOST_GROUPS, 1 + chars // CHARS_A_GROUP)
+    counts = stage(spark, summed_counts(shard_counts(rows, bits, frequent, groups, size), threshold), "counts")
     return collocations(counts, totals, threshold, most)
