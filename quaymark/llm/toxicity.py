@@ -5,9 +5,9 @@ a small vector.  A word's vector is the mean of its buckets', a text's the mean
 softmax tells the two classes apart.  Vectors and softmax are trained jointly in numpy, so a misspelling that
 was never seen shares most of its vectors with the word that was.
 
-Labelled documents are made bags of buckets once and written.  Buckets of too few of them keep a zero vector; the
-others' vectors are trained in units of one over the root of their mean weight, so that rare n-grams move as fast
-as common ones.  The documents are dealt into shards of a bounded size; in each round every shard takes steps of
+Labelled documents are made bags of words once and written.  Buckets of too few of their words keep a zero vector;
+the others' vectors are trained in units of one over the root of their mean weight, so that rare n-grams move as
+fast as common ones.  The documents are dealt into shards of a bounded size; in each round every shard takes steps of
 its own from the common parameters (whole gradients with momentum), and the parameters are averaged.  The driver
 sees only tables by bucket and parameters, both of a fixed size.  Documents kept aside calibrate the softmax's
 log-odds (Platt scaling).
@@ -49,8 +49,8 @@ BROADCAST_MARKS = 200_000
 #: Parts of the labelled documents that train beside each other, and how many of 8 parts are kept aside.
 SHARDS, ASIDE = 8, 1
 STEPS, STEP, MOMENTUM = 30, 30.0, 0.9
-#: A bucket is trained if so many labelled documents have it, or one in SHARE of them where those are few.
-MOST_DOCS, SHARE = 50, 50
+#: A bucket is trained if so many words of labelled documents have it, or one in SHARE of the documents where those are few.
+MOST_WORDS, SHARE = 50, 50
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 #: Signs around a word that do not belong to it.
 _AROUND = " \t\r\n.,;:!?\"'()[]{}<>|-_*#=+/\\"
@@ -108,26 +108,17 @@ def word_runs(texts: list[str]) -> Iterator[tuple[int, int, pa.Array, np.ndarray
         size += len(t or "")
 
 
-def bags(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of each text with their weights (a text's add up to 1), and how many each has."""
-    found, weights, counts = [np.zeros(0, np.int32)], [np.zeros(0, np.float32)], np.zeros(len(texts), np.int64)
+def bags(texts: list[str]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of each text, their shares of it, and how many each text has."""
+    found, shares, counts = [pa.array([], pa.string())], [np.zeros(0, np.float32)], np.zeros(len(texts), np.int64)
     for first, last, words, at, owner in word_runs(texts):
-        if not len(at):
-            continue
-        # How often each text has each word, then each bucket by the words' shares.
-        pair, times = np.unique(owner * len(words) + at, return_counts=True)
-        text, word = pair // len(words), pair % len(words)
-        flat, sizes = subwords(words)
-        stops = np.cumsum(sizes)
-        span = sizes[word]
-        grams = flat[np.repeat((stops - sizes)[word] - np.cumsum(span) + span, span) + np.arange(span.sum())]
-        share = times / np.bincount(owner, minlength=last - first)[text] / span
-        key = np.repeat(text, span) << BITS | grams
-        keys, where = np.unique(key, return_inverse=True)
-        found.append((keys & (BUCKETS - 1)).astype(np.int32))
-        weights.append(np.bincount(where, np.repeat(share, span), minlength=len(keys)).astype(np.float32))
-        counts[first:last] = np.bincount(keys >> BITS, minlength=last - first)
-    return np.concatenate(found), np.concatenate(weights), counts
+        coded = words.dictionary_encode()
+        pair, times = np.unique(owner * len(words) + coded.indices.to_numpy()[at], return_counts=True) if len(at) else (at, at)
+        text = pair // max(1, len(words))
+        found.append(coded.dictionary.take(pa.array(pair % max(1, len(words)))))
+        shares.append((times / np.bincount(owner, minlength=last - first)[text]).astype(np.float32))
+        counts[first:last] = np.bincount(text, minlength=last - first)
+    return pa.concat_arrays(found), np.concatenate(shares), counts
 
 
 @dataclass
@@ -145,23 +136,60 @@ class Parameters:
         return Parameters(np.zeros((n, WIDTH), np.float32), softmax / np.linalg.norm(softmax), float(np.log(share / (1 - share))))
 
 
-def train_shard(p: Parameters, bucket: np.ndarray, weight: np.ndarray, owner: np.ndarray, toxic: np.ndarray, steps: int = STEPS) -> Parameters:
-    """Steps from ``p`` over one shard's bags, given as triples: vectors and softmax move together.
+@dataclass
+class Bags:
+    """A shard: which text has which word to what share, and which word has which trained buckets."""
+
+    text: np.ndarray
+    word: np.ndarray
+    share: np.ndarray
+    of_word: np.ndarray
+    bucket: np.ndarray
+    per_word: np.ndarray  # one over the number of all buckets of a word
+    units: np.ndarray
+    texts: int
+
+    @staticmethod
+    def of(words: pa.Array, shares: np.ndarray, counts: np.ndarray, units: np.ndarray, renumber: np.ndarray) -> Bags:
+        coded = words.dictionary_encode()
+        flat, sizes = subwords(coded.dictionary)
+        number, of_word = renumber[flat], np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        keep = number >= 0
+        text = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        return Bags(text, coded.indices.to_numpy(), shares, of_word[keep], number[keep], 1 / np.maximum(sizes, 1), units, len(counts))
+
+    def margins(self, buckets: np.ndarray) -> np.ndarray:
+        """The texts' means of their words' means of what each bucket counts."""
+        value = np.bincount(self.of_word, (self.units * buckets)[self.bucket], minlength=len(self.per_word)) * self.per_word
+        return np.bincount(self.text, self.share * value[self.word], minlength=self.texts)
+
+    def pull(self, errors: np.ndarray) -> np.ndarray:
+        """The transposed product: what the texts' errors add up to by bucket."""
+        word = np.bincount(self.word, self.share * errors[self.text], minlength=len(self.per_word)) * self.per_word
+        return np.bincount(self.bucket, word[self.of_word], minlength=len(self.units)) * self.units
+
+    def squared(self, probes: int = 8) -> float:
+        """About the mean squared length of the texts' bags, from random signs."""
+        signs = np.random.default_rng(5).choice([-1.0, 1.0], (probes, len(self.units)))
+        return float(np.mean([(self.margins(x) ** 2).mean() for x in signs])) or 1.0
+
+
+def train_shard(p: Parameters, bags: Bags, toxic: np.ndarray, steps: int = STEPS) -> Parameters:
+    """Steps from ``p`` over one shard: vectors and softmax move together.
 
     The two classes' errors add up to zero, so one column of them is enough for the exact gradients.
     """
-    vectors, softmax, offset = p.vectors.copy(), p.softmax.copy(), p.offset
-    moving, turning = np.zeros_like(vectors), np.zeros_like(softmax)
+    vectors, softmax, offset = p.vectors.astype(np.float64), p.softmax.astype(np.float64), p.offset
+    moving, turning, step = np.zeros_like(vectors), np.zeros_like(softmax), STEP / bags.squared()
     for _ in range(steps):
-        share = vectors @ softmax
-        error = _sigmoid(np.bincount(owner, weight * share[bucket], minlength=len(toxic)) + offset) - toxic
-        pull = np.bincount(bucket, weight * error[owner], minlength=len(vectors)).astype(np.float32) / len(toxic)
+        error = _sigmoid(bags.margins(vectors @ softmax) + offset) - toxic
+        pull = bags.pull(error) / len(toxic)
         turning = MOMENTUM * turning + vectors.T @ pull
         moving = MOMENTUM * moving + np.outer(pull, softmax)
-        vectors -= STEP * moving
+        vectors -= step * moving
         softmax = softmax - 0.01 * turning
         offset -= float(error.mean())
-    return Parameters(vectors, softmax, offset)
+    return Parameters(vectors.astype(np.float32), softmax.astype(np.float32), offset)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -225,30 +253,33 @@ def labelled_bags(documents: DataFrame, marks: DataFrame) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
-            found, weights, counts = bags(texts_of(b.column("text")))
+            found, shares, counts = bags(texts_of(b.column("text")))
             bounds = pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32))
-            lists = [pa.ListArray.from_arrays(bounds, pa.array(x)) for x in (found, weights)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("part"), b.column("toxic"), *lists], names=["doc_id", "part", "toxic", "buckets", "weights"])
+            lists = [pa.ListArray.from_arrays(bounds, x) for x in (found, pa.array(shares))]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("part"), b.column("toxic"), *lists], names=["doc_id", "part", "toxic", "words", "shares"])
 
-    return map_arrow(rows, run, "doc_id long, part int, toxic int, buckets array<int>, weights array<float>")
+    return map_arrow(rows, run, "doc_id long, part int, toxic int, words array<string>, shares array<float>")
 
 
-def bucket_table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each bucket: documents that have it, and sums of its weights and of their squares."""
+def bucket_table(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Of each bucket: words of documents that have it, and the sum of its weights."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, BUCKETS))
+        sums = np.zeros((2, BUCKETS))
         for b in batches(parts):
-            at, weight = b.column("buckets").flatten().to_numpy(), b.column("weights").flatten().to_numpy().astype(float)
-            for k, x in enumerate((None, weight, weight**2)):
-                sums[k] += np.bincount(at, x, minlength=BUCKETS)
+            coded = b.column("words").flatten().dictionary_encode()
+            flat, sizes = subwords(coded.dictionary)
+            of_word, at = np.repeat(np.arange(len(sizes)), sizes), coded.indices.to_numpy()
+            share = np.bincount(at, b.column("shares").flatten().to_numpy(), minlength=len(sizes)) / np.maximum(sizes, 1)
+            for k, x in enumerate((np.bincount(at, minlength=len(sizes)), share)):
+                sums[k] += np.bincount(flat, x[of_word], minlength=BUCKETS)
         some = np.flatnonzero(sums[0])
         if len(some):
-            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x[some]) for x in sums)], names=["bucket", "n", "w", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(some), *(pa.array(x[some]) for x in sums)], names=["bucket", "n", "w"])
 
-    summed = map_arrow(rows.select("buckets", "weights"), run, "bucket long, n double, w double, q double").groupBy("bucket").agg(*(F.sum(c).alias(c) for c in "nwq")).toArrow()
-    out = np.zeros((3, BUCKETS))
-    out[:, summed.column("bucket").to_numpy()] = [summed.column(c).to_numpy() for c in "nwq"]
+    summed = map_arrow(rows.select("words", "shares"), run, "bucket long, n double, w double").groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("w").alias("w")).toArrow()
+    out = np.zeros((2, BUCKETS))
+    out[:, summed.column("bucket").to_numpy()] = [summed.column(c).to_numpy() for c in "nw"]
     return tuple(out)
 
 
@@ -258,12 +289,11 @@ def _stepper(shared) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
         before, units, renumber = shared.value
         table = table.sort_by([("doc_id", "ascending"), ("toxic", "ascending")])  # the rows' order does not matter
-        bucket, weight = (table.column(c).combine_chunks().flatten().to_numpy() for c in ("buckets", "weights"))
-        owner = np.repeat(np.arange(table.num_rows, dtype=np.int32), table.column("buckets").combine_chunks().value_lengths().to_numpy())
-        keep = renumber[bucket] >= 0
-        bucket, weight, owner = bucket[keep], weight[keep], owner[keep]
-        after = train_shard(before, renumber[bucket], weight * units[bucket], owner, table.column("toxic").to_numpy())
-        return pa.table({"n": pa.array([table.num_rows], pa.int64()), "vectors": pa.array([after.vectors.tobytes()], pa.binary()), "head": pa.array([np.r_[after.softmax, np.float32(after.offset)].astype(np.float32).tobytes()], pa.binary())})
+        words, shares = (table.column(c).combine_chunks() for c in ("words", "shares"))
+        shard = Bags.of(words.flatten(), shares.flatten().to_numpy(), words.value_lengths().to_numpy(), units, renumber)
+        after = train_shard(before, shard, table.column("toxic").to_numpy())
+        head = np.r_[after.softmax, np.float32(after.offset)].astype(np.float32)
+        return pa.table({"n": pa.array([table.num_rows], pa.int64()), "vectors": pa.array([after.vectors.tobytes()], pa.binary()), "head": pa.array([head.tobytes()], pa.binary())})
 
     return run
 
@@ -278,12 +308,9 @@ def fit(rows: DataFrame, rounds: int) -> Model:
     if any(not 0 < sums.get(part, (0, 0))[1] < sums.get(part, (0, 0))[0] for part in (False, True)):
         return Model(float(share))
     train, n = rows.where("not aside"), sums[False][0]
-    documents, weight, square = bucket_table(train)
-    trained = np.flatnonzero(documents >= min(MOST_DOCS, max(2, n // SHARE)))
-    unit = np.sqrt(n / weight[trained])
-    unit /= np.sqrt((unit**2 * square[trained]).sum() / n) or 1.0
-    units = np.zeros(BUCKETS, np.float32)
-    units[trained] = unit
+    found, weight = bucket_table(train)
+    trained = np.flatnonzero(found >= min(MOST_WORDS, max(2, n // SHARE)))
+    units = np.sqrt(n / weight[trained])
     renumber = np.full(BUCKETS, -1, np.int32)
     renumber[trained] = np.arange(len(trained))
     p = Parameters.first(len(trained), share)
@@ -298,17 +325,16 @@ def fit(rows: DataFrame, rounds: int) -> Model:
         p = Parameters(vectors.astype(np.float32), head[:WIDTH].astype(np.float32), float(head[WIDTH]))
         shared.unpersist()
     buckets = np.zeros(BUCKETS)
-    buckets[trained] = (p.vectors @ p.softmax) * unit
+    buckets[trained] = (p.vectors @ p.softmax) * units
     weighed = spark.sparkContext.broadcast(buckets)
 
     def margins(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(parts):
-            size = b.column("buckets").value_lengths().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(b.num_rows), size)
-            values = weighed.value[b.column("buckets").flatten().to_numpy()] * b.column("weights").flatten().to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(np.bincount(owner, values, minlength=b.num_rows)), b.column("toxic")], names=["margin", "toxic"])
+            lists = b.column("words")
+            bag = Bags.of(lists.flatten(), b.column("shares").flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False), np.ones(BUCKETS), np.arange(BUCKETS))
+            yield pa.RecordBatch.from_arrays([pa.array(bag.margins(weighed.value)), b.column("toxic")], names=["margin", "toxic"])
 
-    aside = map_arrow(rows.where("aside").select("buckets", "weights", "toxic"), margins, "margin double, toxic int").toArrow()
+    aside = map_arrow(rows.where("aside").select("words", "shares", "toxic"), margins, "margin double, toxic int").toArrow()
     scale = calibrate(aside.column("margin").to_numpy(), aside.column("toxic").to_numpy())
     return Model(float(share), buckets, scale)
 
