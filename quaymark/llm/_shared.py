@@ -82,6 +82,17 @@ def doc_columns(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def in_order(documents: DataFrame) -> DataFrame:
+    """doc_id, text and part, sorted: ranges of doc_id, of which one that many rows share may fill several.
+
+    Rows of equal doc_id are told apart by a hash of the text, so no number of them meets in one task by its id alone
+    (rows that are equal in both do).  Null doc_id comes first.
+    """
+    hashed = doc_columns(documents, "doc_id", "text").withColumn("__hash", F.xxhash64("text"))
+    dealt = hashed.repartitionByRange("doc_id", "__hash").sortWithinPartitions("doc_id", "__hash", "text")
+    return dealt.select("doc_id", "text", F.spark_partition_id().alias("part"))
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Texts of a batch; null counts as the empty text."""
     return [x or "" for x in column.to_pylist()]

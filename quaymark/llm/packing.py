@@ -13,7 +13,7 @@ A range is planned in blocks of a bounded number of ids: every sequence of a blo
 final, and the last one's ids open the next block.  Sequences are numbered by range and within it.
 
 Defined cases: null text counts as empty (its end id only); rows of equal doc_id are ordered by
-text, null doc_id first; repeated rows are packed each; ranges end with one padded sequence each;
+a hash of the text and the text, null doc_id first; repeated rows are packed each; ranges end with one padded sequence each;
 extra columns are ignored; an empty table gives no rows; texts and single words longer than a
 sequence are cut wherever the capacity falls.
 """
@@ -26,9 +26,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, map_arrow, prepare, texts_of
+from ._shared import batches, in_order, map_arrow, prepare, texts_of
 from .wordids import CACHE_ENTRIES, chunk_encoder, with_ends
 
 #: Ids planned together, and costs in units of one padded id.
@@ -36,7 +35,7 @@ BLOCK_IDS = 1 << 18
 SENTENCE_CUT, WORD_CUT = 2.0, 40.0
 RANGE_BITS = 40
 ENDS = (".", "!", "?")
-#: One sentence end in every SPACING ids is a candidate; where there is none in STRETCH ids, so are word ends.
+#: All ends of documents and sentences are candidates; where there is none in STRETCH ids, so is one word end in SPACING ids.
 SPACING, STRETCH = 16, 64
 #: Texts of an Arrow batch.
 ROWS = 2048
@@ -109,7 +108,7 @@ def candidates(kinds: np.ndarray, stops: np.ndarray, capacity: int) -> tuple[np.
     inner = inner[~(end[inner] | end[inner + 1])]
     sentence = kinds[inner - 1] == 2
     chosen = end[:-1].copy()
-    chosen[spaced(inner[sentence])] = True
+    chosen[inner[sentence]] = True
     at = np.flatnonzero(chosen)
     gaps = np.diff(at, prepend=0)
     if (gaps > STRETCH).any():
@@ -191,5 +190,4 @@ def pack(documents: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: i
         if pieces := stream.flush(True, base):
             yield pieces
 
-    dealt = doc_columns(documents, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return map_arrow(dealt.withColumn("part", F.spark_partition_id()), run, ", ".join(f"{n} long" for n in NAMES), "chunks")
+    return map_arrow(in_order(documents), run, ", ".join(f"{n} long" for n in NAMES), "chunks")

@@ -9,8 +9,8 @@ reading a range of doc_id touches only its pages.
 ``first`` is a document's offset within its file and ``part`` the file's number, so global offsets
 need one row a file and no global sort or single-task window over documents.
 
-Defined cases: null text counts as empty (end id only); rows of equal doc_id stay together, ordered
-by text; null doc_id comes first; extra columns are ignored; an empty table gives an empty store.
+Defined cases: null text counts as empty (end id only); rows of equal doc_id follow one another,
+ordered by a hash of the text and the text; null doc_id comes first; extra columns are ignored; an empty table gives an empty store.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._shared import batches, doc_columns, map_arrow, new_path, prepare, texts_of
+from ._shared import batches, in_order, map_arrow, new_path, prepare, texts_of
 from .packing import ROWS
 from .wordids import chunk_encoder, with_ends
 
@@ -58,8 +58,7 @@ def encode_documents(documents: DataFrame, tokenizer_path: str, end_id: int) ->
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("part").cast(pa.int32()), pa.array(first + offsets[:-1]), pa.array(np.diff(offsets)), ids], names=["doc_id", "part", "first", "n_tokens", "ids"])
             first += int(offsets[-1])
 
-    dealt = doc_columns(documents, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return map_arrow(dealt.withColumn("part", F.spark_partition_id()), run, SCHEMA, "chunks")
+    return map_arrow(in_order(documents), run, SCHEMA, "chunks")
 
 
 def write_token_store(documents: DataFrame, path: str, tokenizer_path: str, end_id: int) -> None:

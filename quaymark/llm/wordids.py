@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from ._shared import trim, worker_cache
 
 #: Distinct chunks that a Python worker remembers.
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 1_000_000
 MARK = "\x01"
 #: Chunks that are joined for the library, and joined texts of one call.
 GROUP, CALL = 2000, 16
