@@ -67,7 +67,7 @@ def grams(texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.nda
             mixed = (mixed ^ codes[k : k + size]) * MULTIPLIERS[k]
             mixed ^= mixed >> np.uint32(15)
         bucket = (mixed * np.uint32(0x27D4EB2F)) >> np.uint32(32 - BUCKET_BITS)
-        out.append((bucket, np.stack([start, np.maximum(start, stop - n + 1)], 1)))
+        out.append((bucket, np.minimum(np.stack([start, np.maximum(start, stop - n + 1)], 1), size)))
     return out, n_letters
 
 

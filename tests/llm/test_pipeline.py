@@ -6,7 +6,9 @@ import pytest
 
 pytest.importorskip("quaymark.llm")
 import corpus_pipeline  # noqa: E402
-from quaymark.llm import components  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from quaymark.llm import components, pii  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -43,7 +45,11 @@ def groups_of(rows):
     return out.values()
 
 
-def test_near_duplicates_keeps_one_row_of_each_group(spark):
+@pytest.mark.parametrize("keys", [None, 1, 3])
+def test_near_duplicates_keeps_one_row_of_each_group(spark, monkeypatch, keys):
+    if keys:  # different rows share a key
+        plain = pii.key
+        monkeypatch.setattr(pii, "key", lambda text="text": F.pmod(plain(text), F.lit(keys)))
     rows = rows_with_odd_ids()
     got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), "").collect()]
     groups = list(groups_of(rows))
@@ -55,6 +61,37 @@ def test_near_duplicates_keeps_one_row_of_each_group(spark):
             assert len(kept) == 1 and kept[0][0] == min((r[0] for r in group if r[0] is not None), default=None)
 
 
+def test_row_keys_tell_rows_apart(spark, monkeypatch):
+    docs = spark.createDataFrame(rows_with_odd_ids(), SCHEMA)
+    for keys in (None, 1):
+        if keys:
+            monkeypatch.setattr(pii, "key", lambda text="text": F.lit(7).cast("long"))
+        keyed = corpus_pipeline.with_row_keys(docs)
+        assert keyed.select("__row").distinct().count() == docs.select("doc_id", "text").distinct().count() == keyed.select("__row", "doc_id", "text").distinct().count()
+    assert corpus_pipeline.with_row_keys(docs.limit(0)).count() == 0
+
+
+def test_language_id_keeps_recognised_rows_and_extra_columns(spark):
+    rows = [(i, f"the words of an english text number {i}" if i % 2 else f"die wörter eines deutschen textes nummer {i}", "en" if i % 2 else "de", "s", 1, "more") for i in range(60)]
+    odd = [(None, rows[1][1], None, None, None, "more"), (61, None, "en", "s", 1, "x"), (62, "", "en", "s", 1, "x"), (63, " 123 ", "en", "s", 1, "x"), rows[3]]
+    docs = spark.createDataFrame(rows + odd, SCHEMA + ", lang_pred string")
+    got = corpus_pipeline.language_id(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, rows + [odd[0], odd[4]]))
+    assert corpus_pipeline.language_id(spark, docs.limit(0), "").count() == 0
+
+
+def test_run_on_the_driver_tables_and_on_an_empty_one(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    pieces = corpus_pipeline.run(spark, sf).collect()
+    ids = {r.doc_id for r in pieces}
+    assert ids <= {r.doc_id for r in docs.select("doc_id").collect()} and 0.5 < len(ids) / docs.count() <= 1
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 def test_decontamination_judges_rows(spark, tmp_path):
     item = "the plain passage of a benchmark that goes on for rather more than eight words in a row"
     spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
