@@ -3,7 +3,7 @@
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir) and works on all rows
 that its predecessor kept.  Results between stages are written as Parquet and read again.
 
-Stages decide by row.  A row is known by ``row_key`` (doc_id and text), so null and repeated doc_ids are
+Stages decide by row.  A row is known by ``with_row_keys`` (doc_id and text), so null and repeated doc_ids are
 rows like others: rows of one doc_id with different texts are judged apart.  A group of near duplicates
 keeps one row, that of the least doc_id (null after all others; ties to the smaller row key, and of rows
 equal in both to the least by the other columns).  Texts without shingles are copies of nothing and stay.
@@ -11,7 +11,7 @@ equal in both to the least by the other columns).  Texts without shingles are co
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaymark.llm import decontaminate, jaccard, langid, packing, pii
@@ -34,9 +34,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return few_files(langid.select_recognised(docs, model, LEAST_SHARE))
 
 
-def row_key() -> Column:
-    """Rows with equal doc_id and text have one key."""
-    return pii.key().alias("__row")
+def with_row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``__row``: one number for rows of equal doc_id and text, another one for any other row.
+
+    The number is a 64-bit hash.  A second hash tells whether different rows share it; those rows get a number made of
+    both, until no number is shared, so rows are told apart by 128 bits.
+    """
+    spark = docs.sparkSession
+    second = F.xxhash64(F.lit("second"), F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    keyed = docs.withColumn("__row", pii.key())
+    while True:
+        shared = keyed.select("__row", second.alias("__second")).groupBy("__row").agg(F.min("__second").alias("low"), F.max("__second").alias("high"))
+        shared = stage(spark, shared.where("low < high").select("__row", F.lit(True).alias("__shared")), "shared_keys")
+        if shared.isEmpty():
+            return keyed
+        keyed = keyed.join(shared, "__row", "left").withColumn("__row", F.when(F.col("__shared"), F.xxhash64("__row", second)).otherwise(F.col("__row"))).drop("__shared")
 
 
 def pick(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
@@ -51,7 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and empty texts have no shingle; of repeated rows one stays; rows without doc_id are grouped like
     others and lose ties against rows with one (see the module for the order).  An empty table keeps no row.
     """
-    keyed = docs.withColumn("__row", row_key())
+    keyed = with_row_keys(docs)
     found = jaccard.near_duplicates(keyed.select(F.col("__row").alias("doc_id"), "text"))
     groups = found.groupBy(F.col("doc_id").alias("__row")).agg(F.max("n_shingles").alias("n"), F.max("component_id").alias("component"), F.count("*").alias("copies"))
     ids = keyed.select("__row", "doc_id").distinct()
@@ -71,7 +83,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Null and empty texts hold none; repeated rows go or stay together; an empty benchmark drops nothing.
     """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    keyed = docs.withColumn("__row", row_key())
+    keyed = with_row_keys(docs)
     hits = decontaminate.contaminated(keyed.select(F.col("__row").alias("doc_id"), "text"), benchmark)
     hits = stage(spark, hits.select(F.col("doc_id").alias("__row")).distinct(), "hits")
     return few_files(pick(keyed, hits, "left_anti").drop("__row"))
