@@ -138,6 +138,12 @@ def closeness(value: Cols, low: Cols, high: Cols, weight: float, tolerance: floa
     return F.coalesce(F.when(mid != 0, score), F.lit(0.0))
 
 
+def around(value: Cols, mid: Cols, weight: float, tolerance: float = 0.25) -> Column:
+    """N16 with the midpoint at hand."""
+    score = F.greatest(F.lit(0.0), 1 - F.abs(_c(value) - _c(mid)) / _c(mid) / tolerance) * weight
+    return F.coalesce(F.when(_c(mid) != 0, score), F.lit(0.0))
+
+
 def recency(updated: Cols, created: Cols, now: Cols, weight: float = 10, days: float = 7) -> Column:
     """The age part of N17: zero counts as missing."""
     at = F.coalesce(F.nullif(_c(updated), F.lit(0)), F.nullif(_c(created), F.lit(0)))

@@ -20,7 +20,7 @@ from ..operators import ranking as R
 from ..operators import records as E
 from ..operators import threads as T
 from ..operators import users as U
-from ..session import ship
+from ..session import ship, written
 from . import monitor
 from .domain import NOW, YEAR, rows, sql
 from .queries import query, table
@@ -150,23 +150,29 @@ AND (NOT wish_car OR coalesce(x.car, FALSE)) AND (NOT wish_village OR coalesce(x
 PROP_PAIRS = f"{sql('listings', 'prefs', 'geocodes')}, {prefs_sql(MONEY_SQL)}, x AS (SELECT *, {MONEY_SQL.format('rent_price')} AS price, {MONEY_SQL.format('bedrooms')} AS beds, net_size AS area FROM listings)"
 
 
-def prop_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = preferences(spark, sf_dir, N.whole_money_or_null)
+PROP_TEST_COLUMNS = ("near", "bedrooms", "price", "size", "age", "car", "village", "pets")
+
+
+def prop_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     x = rows(spark, sf_dir, "listings").select("k", "lat", "lng", "age", "car", "village", "pets", "confidence", N.whole_money_or_null("rent_price").alias("price"), N.whole_money_or_null("bedrooms").alias("bedrooms"), F.col("net_size").alias("size"))
-    pairs = C.match_join(p, x, "min_price", "max_price", "price")
-    return pairs.where(C.prop_matches(wishes(), columns("lat", "lng", "bedrooms", "price", "size", "age", "car", "village", "pets")))
+    p = written(preferences(spark, sf_dir, N.whole_money_or_null))
+    return p, C.with_near(x, "k", p).drop("lat", "lng")
 
 
 @query(f"{PROP_PAIRS} SELECT p.conv_id, x.k FROM p, x WHERE {PROP_TEST}")
 def prop_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every listing that meets every preference."""
-    return prop_pairs(spark, sf_dir).select("conv_id", "k")
+    p, x = prop_sides(spark, sf_dir)
+    return C.match_cells(p, x).where(C.prop_matches(wishes(), columns(*PROP_TEST_COLUMNS))).select("conv_id", "k")
 
 
 @query(f"{PROP_PAIRS} SELECT conv_id, k, place FROM (SELECT p.conv_id, x.k, row_number() OVER (PARTITION BY p.conv_id ORDER BY coalesce(confidence, 0) DESC, k) AS place FROM p, x WHERE {PROP_TEST}) WHERE place <= 6")
 def prop_match_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2, C4: the six of the best confidence, a missing one counting 0."""
-    return R.top_per_key(prop_pairs(spark, sf_dir), ["conv_id"], [F.coalesce("confidence", F.lit(0)).desc(), F.col("k")], 6).select("conv_id", "k", "place")
+    p, x = prop_sides(spark, sf_dir)
+    confidence = F.coalesce("confidence", F.lit(0))
+    found = C.top_matches(p, x, "conv_id", "k", C.prop_matches(wishes(), columns(*PROP_TEST_COLUMNS)), confidence, confidence, 6)
+    return found.select("conv_id", "k", "place")
 
 
 WHOLE_SQL = f"({WHOLE})"
@@ -198,8 +204,7 @@ SCORE = f"{_near('x.price', 'min_price', 'max_price', 45, 0.25)} + {_near('x.are
 POST_PAIRS = f"{sql('listings', 'prefs', 'geocodes', 'estates')}, {prefs_sql(WHOLE_SQL)}, x AS (SELECT l.* EXCLUDE (lat, lng), e.* EXCLUDE (estate_id), CASE WHEN kind = 'sale' THEN coalesce({WHOLE_SQL.format('sell_price')}, {WHOLE_SQL.format('rent_price')}) ELSE coalesce({WHOLE_SQL.format('rent_price')}, {WHOLE_SQL.format('sell_price')}) END AS price, {WHOLE_SQL.format('bedrooms')} AS beds, coalesce(net_size, gross_size) AS area, CASE WHEN built_in > 1800 AND built_in <= {YEAR} THEN {YEAR} - built_in END AS years FROM listings l JOIN estates e ON l.estate_id = e.estate_id)"
 
 
-def post_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = preferences(spark, sf_dir, N.int_or_null)
+def post_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     l = rows(spark, sf_dir, "listings").drop("lat", "lng", "age")
     e = rows(spark, sf_dir, "estates")
     x = l.join(e, "estate_id").select(
@@ -207,16 +212,22 @@ def post_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         K.price_of(F.col("kind"), N.int_or_null("rent_price"), N.int_or_null("sell_price")).alias("price"), K.size_of(F.col("net_size"), F.col("gross_size")).alias("size"),
         N.int_or_null("bedrooms").alias("bedrooms"), K.building_age(F.col("built_in"), YEAR).alias("age"),
     )
-    pairs = C.match_join(p, x, "min_price", "max_price", "price")
-    return pairs.where(C.post_matches(wishes(), columns("lat", "lng", "bedrooms", "price", "size", "age", "features", "district_en", "district_zh", "name_en", "name_zh")))
+    p = written(preferences(spark, sf_dir, N.int_or_null))
+    facts = C.post_facts(columns("features", "name_en", "name_zh"))
+    return p, C.with_named(C.with_near(x.withColumns(facts), "k", p), p).drop("lat", "lng", "features", "name_en", "name_zh", "district_en", "district_zh")
 
 
 @query(f"{POST_PAIRS} SELECT conv_id, k, score, place FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, k) AS place FROM (SELECT p.conv_id, x.k, round({SCORE} + 1e-9, 2) AS score FROM p, x WHERE {POST_TEST})) WHERE place <= 6")
 def post_match_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts that meet the preferences, the six of the best score."""
-    score = N.listing_score("price", "size", "bedrooms", "updated_at", "created_at", wishes(), NOW)
-    scored = post_pairs(spark, sf_dir).select("conv_id", "k", N.nudged_round(score, 2).alias("score"))
-    return R.top_per_key(scored, ["conv_id"], [F.desc("score"), F.col("k")], 6).select("conv_id", "k", "score", "place")
+    p, x = post_sides(spark, sf_dir)
+    # What depends on one side alone is found once for each row of it, so the expression over pairs stays small.
+    for name in ("price", "size", "bedrooms"):
+        p = p.withColumn(f"mid_{name}", N.midpoint(f"min_{name}", f"max_{name}"))
+    x = x.withColumn("fresh", F.least(F.lit(10.0), N.recency("updated_at", "created_at", F.lit(NOW)))).drop("updated_at", "created_at")
+    score = N.nudged_round(N.around("price", "mid_price", 45.0) + N.around("size", "mid_size", 25.0) + N.around("bedrooms", "mid_bedrooms", 20.0, 1.0) + F.col("fresh"), 2)
+    test = C.post_matches(wishes(), columns("near", "named", "bedrooms", "price", "size", "age", "has_features", "has_words", "says_car", "says_pets", "says_village"))
+    return C.top_matches(p, x, "conv_id", "k", test, score, N.nudged_round(F.col("fresh") + 90.0, 2), 6).select("conv_id", "k", "score", "place")
 
 
 # Queues.

@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The JVM never compiles a method of more bytecode than this: such stages run operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 _SHIPPED: set[str] = set()
 
@@ -53,4 +55,8 @@ def written(df: DataFrame) -> DataFrame:
         if not folder and not context.master.startswith("local[") and context.master != "local":
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         context.setCheckpointDir(folder or os.path.join(tempfile.gettempdir(), "quaymark-checkpoints"))
-    return df.checkpoint()
+    # A checkpoint runs its plan twice, once to count and once to write: the rows are held in between.
+    held = df.persist()
+    out = held.checkpoint()
+    held.unpersist()
+    return out
