@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from .joins import holding
+
 
 def tier(usage: dict[str, Column], caps: dict[str, int], order: tuple[str, ...], default: str | None = None) -> Column:
     """The first tier whose usage of the month is below its cap."""
@@ -74,11 +76,14 @@ def district_like(rows: DataFrame, references: DataFrame) -> DataFrame:
     """Rows (source_id, channel_id, district) with the first reference (by ref_id) of their channel whose
     Chinese or English name holds the last word of the district; error where there is none.
 
-    References are a dimension: each row meets those of its channel, and keeps the least.
+    A keyword meets only the names that share its rarest gram (see ``holding``).  An empty one is held by every name.
     """
     word = F.element_at(F.split(F.replace(F.coalesce("district", F.lit("")), F.lit(","), F.lit(" ")), " "), -1)
     asked = rows.withColumn("keyword", F.trim(word)).select("channel_id", "keyword").distinct()
-    hits = asked.join(references, "channel_id").where(F.col("district_chi").contains(F.col("keyword")) | F.col("district").contains(F.col("keyword"))).groupBy("channel_id", "keyword").agg(F.min("ref_id").alias("ref_id"))
+    names = references.select("channel_id", "ref_id", F.explode(F.array("district_chi", "district")).alias("text")).where("text is not null")
+    pairs = holding(asked.select("keyword").distinct(), names.select("text").distinct())
+    met = asked.join(pairs, "keyword").join(names, ["channel_id", "text"]).unionByName(asked.where("keyword = ''").join(names, "channel_id"))
+    hits = met.groupBy("channel_id", "keyword").agg(F.min("ref_id").alias("ref_id"))
     out = rows.withColumn("keyword", F.trim(word)).join(hits, ["channel_id", "keyword"], "left")
     return out.select("source_id", "keyword", "ref_id", F.when(F.col("ref_id").isNull(), "district_not_found").alias("error"))
 
