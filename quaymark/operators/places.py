@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .joins import holding
@@ -63,11 +62,14 @@ def upsert_by_names(old: DataFrame, new: DataFrame, columns: list[str]) -> DataF
     rows for one old row the last (by name_en, name_zh) counts."""
     named = new.withColumn("__en", F.nullif("name_en", F.lit(""))).withColumn("__zh", F.nullif("name_zh", F.lit(""))).where("__en is not null or __zh is not null")
     keys = old.select("id", F.col("name_en").alias("__k"), F.lit("en").alias("__by")).union(old.select("id", "name_zh", F.lit("zh"))).where("__k is not null and __k <> ''")
-    tries = named.select("name_en", "name_zh", F.explode(F.array(F.struct(F.lit("en").alias("__by"), F.col("__en").alias("__k")), F.struct(F.lit("zh").alias("__by"), F.col("__zh").alias("__k")))).alias("t"))
-    hits = tries.select("name_en", "name_zh", "t.*").join(keys, ["__by", "__k"]).groupBy("name_en", "name_zh").agg(F.min("id").alias("id"))
+    # Many rows may share a name: only the first old id of each name is met, once for each pair of new names.
+    firsts = keys.groupBy("__by", "__k").agg(F.min("id").alias("id"))
+    pairs = named.select("name_en", "name_zh", "__en", "__zh").distinct()
+    tries = pairs.select("name_en", "name_zh", F.explode(F.array(F.struct(F.lit("en").alias("__by"), F.col("__en").alias("__k")), F.struct(F.lit("zh").alias("__by"), F.col("__zh").alias("__k")))).alias("t"))
+    hits = tries.select("name_en", "name_zh", "t.*").join(firsts, ["__by", "__k"]).groupBy("name_en", "name_zh").agg(F.min("id").alias("id"))
     placed = named.drop("__en", "__zh").join(hits.toDF("__e", "__z", "__id"), F.col("name_en").eqNullSafe(F.col("__e")) & F.col("name_zh").eqNullSafe(F.col("__z")), "left")
-    last = F.row_number().over(W.partitionBy("__id").orderBy(F.desc("name_en"), F.desc("name_zh")))
-    hit = placed.where("__id is not null").withColumn("__n", last).where("__n = 1").select(F.col("__id").alias("id"), *columns)
+    best = F.max_by(F.struct(*columns), F.struct("name_en", "name_zh"))
+    hit = placed.where("__id is not null").groupBy(F.col("__id").alias("id")).agg(best.alias("__b")).select("id", "__b.*")
     inserted = placed.where("__id is null").select(F.lit(None).cast(old.schema["id"].dataType).alias("id"), *columns).distinct()
     return old.join(hit.select("id"), "id", "left_anti").select("id", *columns).unionByName(hit).unionByName(inserted)
 
