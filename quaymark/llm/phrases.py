@@ -43,7 +43,9 @@ UNKNOWN = "und"
 #: Code points that are scanned together; texts of an Arrow batch.
 SHARD, ROWS = 12 << 20, 2048
 #: Cells of a row of the sketch as a power of two: by the corpus, between these bounds; code points for each cell.
-LEAST_BITS, MOST_BITS, CHARS_A_CELL = 12, 22, 64
+LEAST_BITS, MOST_BITS, CHARS_A_CELL = 12, 26, 64
+#: Beyond so many bits a cell has more code points: some 40 words, so chance alone does not bring it to the threshold.
+WIDE_BITS, CHARS_A_FULL_CELL = 22, 256
 #: Rows of the sketch for each number of words.
 DEPTHS = (1, 2, 2, 2, 2)
 ROWS_BEFORE = (0, 1, 3, 5, 7, 9)
@@ -107,6 +109,14 @@ def cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (spread >> np.uint64(64 - bits)).astype(np.uint32)
 
 
+def sketch_bits(chars: int, most: int = MOST_BITS) -> int:
+    """Cells of a row as a power of two: they grow with the corpus, else every cell would reach the threshold by chance."""
+    bits = int(np.ceil(np.log2(max(1, chars / CHARS_A_CELL))))
+    if bits > WIDE_BITS:
+        bits = max(WIDE_BITS, int(np.ceil(np.log2(chars / CHARS_A_FULL_CELL))))
+    return min(most, max(LEAST_BITS, bits))
+
+
 def cell_type(cap: int) -> type:
     return np.uint8 if cap < 1 << 8 else np.uint32
 
@@ -293,7 +303,7 @@ def mine(documents: DataFrame, threshold: int = 100, most: int = 2000, size: int
     spark = prepare(documents.sparkSession, ROWS)
     rows = doc_columns(documents, "text", "lang").select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     chars = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(most_bits, max(LEAST_BITS, int(np.ceil(np.log2(max(1, chars / CHARS_A_CELL))))))
+    bits = sketch_bits(chars, most_bits)
     sketched = stage(spark, sketch(rows, bits, threshold, size), "sketch")
     totals = stage(spark, sketched.where("block = -1").groupBy("lang").agg(F.sum("n").alias("n")), "words")
     frequent = frequent_cells(sketched.where("block >= 0"), bits, threshold)
