@@ -20,7 +20,7 @@ from ..operators import ranking as R
 from ..operators import records as E
 from ..operators import threads as T
 from ..operators import users as U
-from ..session import ship, written
+from ..session import in_small_batches, ship, written
 from . import monitor
 from .domain import NOW, YEAR, rows, sql
 from .queries import query, table
@@ -698,12 +698,12 @@ def knowledge_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def page_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X11: title and main text of pages; tested on small pages."""
-    ship(spark)
+    in_small_batches(spark)
     return table(spark, sf_dir, "pages").select("page_id", G.cleaned("html").alias("c")).select("page_id", "c.*")
 
 
 @query()
 def page_model_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of pages for a request, up to the length of a request; tested on small pages."""
-    ship(spark)
+    in_small_batches(spark)
     return table(spark, sf_dir, "pages").select("page_id", G.model_text("html").alias("text"))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from quaymark.operators import places
+from quaymark.plans.queries import QUERIES
 
 
 def met(df):
@@ -31,3 +32,10 @@ def test_upsert_by_a_name_that_many_share(spark):
     found = {r.id: r for r in rows}
     assert len(rows) == n and found[0].v == 1 and found[0].name_zh == "z" + str(max((n // 2 + i for i in range(n) if i % 3), key=str)) and not any(r.v for r in rows if r.id)
     assert most <= 3 * n
+
+
+def test_pages_are_parsed_in_small_batches(spark):
+    for name in ("page_cleaned", "page_model_texts"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 512
